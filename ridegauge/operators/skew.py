@@ -1,0 +1,45 @@
+"""Keys too large for one task.
+
+A key is hot when it holds more than ``max(slice_rows, total / SLICES)`` rows.  Fewer than
+``SLICES`` keys can exceed that share, so the list of hot keys has a fixed size bound however
+large the data is, and may be broadcast.
+"""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SLICES = 10_000
+SLICE_ROWS = 1 << 20
+
+
+def hot_keys(df: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Hot keys of ``df`` with ``_slices``, the number of parts each is to be cut into."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    limit = F.greatest(F.lit(slice_rows), F.ceil(total / SLICES))
+    return counts.where(F.col("_n") > limit).select(
+        *keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")
+    )
+
+
+def join_on_skewed_key(
+    facts: DataFrame, dim: DataFrame, key: str, spread: str | None = None, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Inner join of many ``facts`` to one ``dim`` row per ``key``, with hot keys cut into slices.
+
+    Facts of a hot key are dealt over its slices by the number column ``spread``, best a message
+    position, so that copies of one row part too.  Without it the position in the scan is used:
+    that is the same when a task is rerun as long as ``facts`` is read from a table without a
+    shuffle.  The dim row of a hot key is copied to each slice, ``2 * SLICES`` copies at most.
+    """
+    hot = F.broadcast(hot_keys(facts, [key], slice_rows))
+    place = F.col(spread) if spread else F.monotonically_increasing_id()
+    sliced = (
+        facts.withColumn("_place", place)
+        .join(hot, key, "left")
+        .withColumn("_slice", F.coalesce(F.pmod("_place", "_slices"), F.lit(0)).cast("int"))
+    )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
+    copied = dim.join(hot, key, "left").withColumn("_slice", F.explode(copies))
+    joined = sliced.drop("_slices", "_place").join(copied.drop("_slices"), [key, "_slice"])
+    return joined.drop("_slice")
