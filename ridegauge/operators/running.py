@@ -78,6 +78,7 @@ def running(
     aggs: dict[str, tuple[str, str]],
     attach: DataFrame | None = None,
     include_current: bool = True,
+    keep_slice: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add running aggregates to ``rows``, per ``keys`` (or over all rows) in ``order``.
@@ -85,7 +86,9 @@ def running(
     ``aggs`` maps a new column to ``(kind, column)`` with kind count, sum, max or min.  ``order``
     is a unique number such as a message position.  ``attach`` holds one row per key; its columns
     are joined on in the same shuffle, and rows of other keys are dropped.  Without
-    ``include_current`` the aggregates cover only the rows before the current one.
+    ``include_current`` the aggregates cover only the rows before the current one.  With
+    ``keep_slice`` the result has ``_slice``: it is partitioned and sorted by the keys and
+    ``_slice``, so a grouping by these needs neither shuffle nor sort.
     """
     columns = rows.columns
     sliced = _ranges(rows, keys, order, slice_rows)
@@ -108,6 +111,7 @@ def running(
     return joined.select(
         *columns,
         *extra,
+        *(["_slice"] if keep_slice else []),
         *[
             _combine(kind, F.col(carry), _INSIDE[kind](column).over(inside)).alias(name)
             for (name, (kind, column)), carry in zip(aggs.items(), carries, strict=True)

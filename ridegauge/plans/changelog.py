@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ridegauge.functions.occupancy import available_seats, occupancy_pct
 from ridegauge.operators.keyed import first_by, known
-from ridegauge.operators.running import records, running
+from ridegauge.operators.running import running
 from ridegauge.operators.skew import SLICE_ROWS
 from ridegauge.operators.windows import without_late
 from ridegauge.plans import state
+from ridegauge.session import written
 
 _EXACT = "decimal(38,0)"
 
@@ -106,7 +107,7 @@ def passenger_with_most_trips_changelog(trips: DataFrame) -> DataFrame:
 def occupancy_updates(
     routes: DataFrame, trips: DataFrame, *attributes: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Every occupancy ever reported: ``seq, routeId, <attributes>, occupancyPercentage``.
+    """Every occupancy ever reported: ``seq, routeId, _slice, <attributes>, occupancyPercentage``.
 
     ``attributes`` come from the latest version of the route.
     """
@@ -114,30 +115,28 @@ def occupancy_updates(
     published = state.route_capacity(routes).join(latest, "routeId")
     travelled = known(trips, "routeId").select("routeId", "seq")
     numbered = running(
-        travelled, ["routeId"], "seq", {"k": ("count", "seq")}, attach=published, slice_rows=slice_rows
+        travelled, ["routeId"], "seq", {"k": ("count", "seq")},
+        attach=published, keep_slice=True, slice_rows=slice_rows,
     )
     pct = occupancy_pct(F.col("k"), available_seats(F.col("capacity"), F.col("k")))
-    return numbered.select("seq", "routeId", *attributes, pct.alias("occupancyPercentage"))
-
-
-def _typed_updates(routes: DataFrame, trips: DataFrame, slice_rows: int) -> DataFrame:
-    updates = occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows)
-    return known(updates, "transportType")
-
-
-def _operator_updates(routes: DataFrame, trips: DataFrame, slice_rows: int) -> DataFrame:
-    updates = occupancy_updates(routes, trips, "operator", slice_rows=slice_rows)
-    return known(updates, "operator")
+    return numbered.select(
+        "seq", "routeId", "_slice", *attributes, pct.alias("occupancyPercentage")
+    )
 
 
 def least_occupied_route_per_type_changelog(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Smallest occupancy each type ever reported, the earliest on ties."""
+    """Smallest occupancy each type ever reported, the earliest on ties.
+
+    Each route is reduced to its own smallest where it lies; only those rows move to their type.
+    """
+    updates = occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows)
+    columns = [F.col("transportType"), F.col("occupancyPercentage"), F.col("seq")]
+    rank = [F.col("occupancyPercentage"), F.col("seq")]
+    per_route = first_by(known(updates, "transportType"), ["routeId", "_slice"], columns, rank)
     return first_by(
-        _typed_updates(routes, trips, slice_rows), ["transportType"],
-        [F.col("routeId"), F.col("occupancyPercentage")],
-        [F.col("occupancyPercentage"), F.col("seq")],
+        per_route, ["transportType"], [F.col("routeId"), F.col("occupancyPercentage")], rank
     ).select("routeId", F.col("transportType").alias("name"), "occupancyPercentage")
 
 
@@ -145,8 +144,9 @@ def operator_with_max_occupancy_changelog(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Largest occupancy ever reported, the earliest on ties."""
+    updates = occupancy_updates(routes, trips, "operator", slice_rows=slice_rows)
     return first_by(
-        _operator_updates(routes, trips, slice_rows), [],
+        known(updates, "operator"), [],
         [F.col("routeId"), F.col("operator").alias("name"), F.col("occupancyPercentage")],
         [-F.col("occupancyPercentage"), F.col("seq")],
     )
@@ -156,11 +156,12 @@ def average_updates(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Every average occupancy a type ever reported: ``seq, transportType, average``."""
-    updates = _typed_updates(routes, trips, slice_rows).withColumn(
-        "pct", F.col("occupancyPercentage").cast("double")
+    updates = known(
+        occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows), "transportType"
     )
+    pct = F.col("occupancyPercentage").cast("double").alias("pct")
     summed = running(
-        updates.select("seq", "transportType", "pct"), ["transportType"], "seq",
+        written(updates.select("seq", "transportType", pct), "updates"), ["transportType"], "seq",
         {"total": ("sum", "pct"), "k": ("count", "seq")}, slice_rows=slice_rows,
     )
     average = (F.col("total") / F.col("k").cast("double")).cast("float")
@@ -178,7 +179,7 @@ def least_occupied_transport_type_changelog(
     return top.select(F.lit("min_occupancy").alias("id"), "value")
 
 
-def _hourly(routes: DataFrame, slice_rows: int) -> DataFrame:
+def in_open_hour(routes: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Publications that arrived while their hour was open, with that hour."""
     wanted = routes.select("transportType", "ts", "seq")
     in_time = without_late(wanted, "transportType", slice_rows=slice_rows)
@@ -187,7 +188,7 @@ def _hourly(routes: DataFrame, slice_rows: int) -> DataFrame:
 
 def most_used_type_changelog(routes: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Largest hourly count of any hour so far, the latest to reach it on ties."""
-    counted = _hourly(routes, slice_rows).groupBy("hour", "transportType").agg(
+    counted = in_open_hour(routes, slice_rows).groupBy("hour", "transportType").agg(
         F.count(F.lit(1)).alias("n"), F.max("seq").alias("reached")
     )
     return first_by(

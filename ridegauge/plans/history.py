@@ -1,7 +1,8 @@
 """Every leader there ever was.
 
 The result tables of the leader reports are keyed by the leader, so a former leader keeps the
-last row it was reported with.
+last row it was reported with.  Numbering the trips is written out before the leaders are looked
+for, since that step reads its input more than once.
 """
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from ridegauge.operators.keyed import known, latest_by
 from ridegauge.operators.running import records, running
 from ridegauge.operators.skew import SLICE_ROWS
-from ridegauge.plans.changelog import _hourly, occupancy_updates
+from ridegauge.plans.changelog import in_open_hour, occupancy_updates
+from ridegauge.session import written
 
 
 def least_occupied_route_history(
@@ -21,7 +23,7 @@ def least_occupied_route_history(
         occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows), "transportType"
     )
     led = records(
-        updates, ["transportType"], "seq", "occupancyPercentage", lowest=True, slice_rows=slice_rows
+        written(updates.drop("_slice"), "updates"), ["transportType"], "seq", "occupancyPercentage", lowest=True, slice_rows=slice_rows
     )
     return latest_by(led, ["routeId"], "seq").select(
         "routeId", F.col("transportType").alias("name"), "occupancyPercentage"
@@ -31,10 +33,11 @@ def least_occupied_route_history(
 def most_used_type_history(routes: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Transport types that ever had the largest hourly count."""
     numbered = running(
-        _hourly(routes, slice_rows), ["hour", "transportType"], "seq", {"k": ("count", "seq")},
-        slice_rows=slice_rows,
+        written(in_open_hour(routes, slice_rows), "in-time"), ["hour", "transportType"], "seq",
+        {"k": ("count", "seq")}, slice_rows=slice_rows,
     )
-    led = records(numbered.drop("hour"), [], "seq", "k", ties=True, slice_rows=slice_rows)
+    counts = written(numbered.drop("hour"), "counts")
+    led = records(counts, [], "seq", "k", ties=True, slice_rows=slice_rows)
     return latest_by(led, ["transportType"], "seq").select(
         F.col("transportType").alias("id"), F.col("k").alias("value")
     )
@@ -45,6 +48,7 @@ def max_occupancy_history(
 ) -> DataFrame:
     """Routes that ever had the largest occupancy of all."""
     updates = known(occupancy_updates(routes, trips, "operator", slice_rows=slice_rows), "operator")
+    updates = written(updates.drop("_slice"), "updates")
     led = records(updates, [], "seq", "occupancyPercentage", slice_rows=slice_rows)
     return latest_by(led, ["routeId"], "seq").select(
         "routeId", F.col("operator").alias("name"), "occupancyPercentage"
@@ -57,7 +61,7 @@ def most_trips_history(trips: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFr
     numbered = running(
         travelled, ["passengerId"], "seq", {"k": ("count", "seq")}, slice_rows=slice_rows
     )
-    led = records(numbered, [], "seq", "k", slice_rows=slice_rows)
+    led = records(written(numbered, "counts"), [], "seq", "k", slice_rows=slice_rows)
     return latest_by(led, ["passengerId"], "seq").select(
         F.col("passengerId").cast("string").alias("id"), F.col("k").alias("value")
     )
