@@ -57,6 +57,12 @@ def route_passengers(trips: DataFrame) -> DataFrame:
     return _counts(trips, "routeId", "passengers")
 
 
+def all_passengers(trips: DataFrame) -> DataFrame:
+    """One row with ``passengers``: what ``route_passengers`` adds up to, without grouping."""
+    total = known(trips, "routeId").agg(F.count(F.lit(1)).alias("passengers"))
+    return total.where(F.col("passengers") > 0)
+
+
 def type_routes(routes: DataFrame) -> DataFrame:
     """``transportType, routes``."""
     return _counts(routes, "transportType", "routes")

@@ -1,0 +1,51 @@
+"""Reports as messages with their schema."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from ridegauge.functions.envelope import encode
+
+# Class names in the schemas of the messages, by report.
+MESSAGE_NAMES = {
+    "operators_list": "Operator",
+    "routes_latest": "Route",
+    "passengers_per_route": "Number",
+    "available_seats_per_route": "Number",
+    "occupancy_per_route": "RouteOccupancy",
+    "total_passengers": "Number",
+    "total_available_seats": "Number",
+    "total_occupancy": "RouteOccupancy",
+    "avg_passengers_per_type": "NameNumber",
+    "busiest_transport_type": "TransporType",
+    "least_occupied_route_per_type": "RouteOccupancyWithAddedField",
+    "most_used_type_last_hour": "NameNumber",
+    "least_occupied_transport_type": "TransporType",
+    "operator_with_max_occupancy": "RouteOccupancyWithAddedField",
+    "passenger_with_most_trips": "NameNumber",
+}
+
+
+def as_messages(report: DataFrame, name: str, key: str | None = None) -> DataFrame:
+    """``key, value`` messages of a report."""
+    return encode(report, MESSAGE_NAMES[name], F.col(key) if key else None)
+
+
+def write_topic(messages: DataFrame, topic: str, servers: str) -> None:
+    """Write messages to a topic (needs the Kafka connector on the class path)."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option(
+        "topic", topic
+    ).save()
+
+
+def stream_topic(
+    messages: DataFrame, topic: str, servers: str, checkpoint: str, mode: str = "update"
+) -> DataStreamWriter:
+    """A stream of messages to a topic, ready to start."""
+    return (
+        messages.writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .outputMode(mode)
+    )

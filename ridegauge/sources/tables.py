@@ -73,17 +73,31 @@ def event_trips(spark: SparkSession, folder: str) -> DataFrame:
     return trips_of_events(table(spark, folder, "events"))
 
 
-def event_publications(spark: SparkSession, folder: str) -> DataFrame:
+def publications_of_events(events: DataFrame) -> DataFrame:
     """Each event as a publication in its hour, for the hourly reports."""
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("event_id").alias("id"), F.col("event_type").alias("transportType"),
         F.col("event_id").alias("seq"), "ts",
     )
 
 
+def event_publications(spark: SparkSession, folder: str) -> DataFrame:
+    return publications_of_events(table(spark, folder, "events"))
+
+
 def order_publications(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as publications whose times are out of order, so that many arrive late."""
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("transportType"),
         F.col("o_orderkey").alias("seq"), F.col("o_orderdate").alias("ts"),
     )
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """``events`` as a stream of its files, whether the table is one file or a folder of them.
+
+    The braces make the path a pattern; a stream refuses the plain path of a single file.
+    """
+    schema = table(spark, folder, "events").schema
+    log = spark.readStream.schema(schema).parquet(f"{folder}/{{events}}.parquet")
+    return log.withColumn("ts", F.col("ts").cast("timestamp"))
