@@ -46,5 +46,6 @@ def last_window(df: DataFrame, ts: str = "ts", unit: str = "hour") -> DataFrame:
     The bound is a scalar subquery on one column, so the scan of the other columns can skip
     everything older.
     """
-    newest = df.agg(F.date_trunc(unit, F.max(ts)).alias("newest")).scalar()
+    kind = df.schema[ts].dataType
+    newest = df.agg(F.date_trunc(unit, F.max(ts)).cast(kind).alias("newest")).scalar()
     return df.where(F.col(ts) >= newest)

@@ -47,3 +47,10 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def finished_writes(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in ``folder`` that a write has completed."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
+    files = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return [mark.getPath().getParent().getName() for mark in files or []]

@@ -1,20 +1,22 @@
 """Result tables that hold the last row written for each key.
 
-A batch only writes its own rows, under its number; nothing is rewritten in place, so a batch
-that fails half-way or runs twice changes nothing.  Readers see a batch once its commit row
-exists.  Every ``fold_every`` batches the table is folded into one copy, which bounds what a
-reader has to look at.
+A batch writes only its own rows, to a folder of its own; nothing is rewritten in place, so a
+batch that fails half-way or runs twice changes nothing.  Readers see a batch once its write has
+finished.  Before every ``fold_every``-th batch the table is folded into one copy, which bounds
+how many batches a reader has to look at.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridegauge.operators.keyed import latest_by
+from ridegauge.session import finished_writes
 
-_COMMIT = "batch bigint, folded boolean"
+_BATCH = "upsert_batch"
 
 
 @dataclass(frozen=True)
@@ -30,48 +32,45 @@ class KeyedTable:
     def upsert(self, rows: DataFrame, batch: int) -> None:
         """Write the rows of one batch, one row per key.  Batch numbers grow.
 
-        Columns that the table did not have so far are added to it.
+        A batch that is already there is left alone.  New columns are added to the table.
         """
-        last, folded = self._committed()
-        if last is not None and batch <= last:
+        generation = batch // self.fold_every
+        folded = self._last_fold()
+        if generation < folded or batch in self._batches(generation):
             return
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch}")
-        self._commit(batch, folded=False)
-        if batch - (-1 if folded is None else folded) >= self.fold_every:
-            self.read().write.mode("overwrite").parquet(f"{self.path}/folds/batch={batch}")
-            self._commit(batch, folded=True)
+        if generation > folded:
+            self.read().write.mode("overwrite").parquet(self._fold(generation))
+        target = f"{self._rows(generation)}/{_BATCH}={batch}"
+        rows.hint("rebalance").write.mode("overwrite").parquet(target)
 
     def read(self) -> DataFrame:
         """The current rows."""
-        last, folded = self._committed()
-        if last is None:
+        folded = self._last_fold()
+        reader = self.spark.read.option("mergeSchema", True)
+        parts = []
+        if folded:
+            parts.append(reader.parquet(self._fold(folded)).withColumn(_BATCH, F.lit(-1)))
+        batches = self._batches(folded)
+        if batches:
+            base = self._rows(folded)
+            paths = [f"{base}/{_BATCH}={batch}" for batch in batches]
+            parts.append(reader.option("basePath", base).parquet(*paths))
+        if not parts:
             return self.spark.createDataFrame([], self.schema)
-        versions = self._files("rows").where(F.col("batch") <= last)
-        if folded is not None:
-            copy = self._files("folds").where(F.col("batch") == folded)
-            newer = versions.where(F.col("batch") > folded)
-            versions = copy.unionByName(newer, allowMissingColumns=True)
-        return latest_by(versions, list(self.keys), "batch")
+        versions = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        if len(batches) == 1 and not folded:
+            return versions.drop(_BATCH)
+        return latest_by(versions, list(self.keys), _BATCH).drop(_BATCH)
 
-    def _files(self, kind: str) -> DataFrame:
-        # batch=* leaves out what an unfinished write keeps beside the finished batches
-        reader = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.path}/{kind}")
-        files = reader.parquet(f"{self.path}/{kind}/batch=*")
-        return files.withColumn("batch", F.col("batch").cast("bigint"))
+    def _rows(self, generation: int) -> str:
+        return f"{self.path}/rows/{generation}"
 
-    def _commit(self, batch: int, folded: bool) -> None:
-        note = self.spark.createDataFrame([(batch, folded)], _COMMIT)
-        name = f"{batch}-{'fold' if folded else 'rows'}"
-        note.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{name}")
+    def _fold(self, generation: int) -> str:
+        return f"{self.path}/folds/{generation}"
 
-    def _committed(self) -> tuple[int | None, int | None]:
-        """Numbers of the last batch and of the last folded one."""
-        notes = self.spark.read.schema(_COMMIT).option("recursiveFileLookup", True)
-        try:
-            seen = notes.parquet(f"{self.path}/commits")
-        except Exception as error:  # no batch yet, no folder
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return None, None
-        row = seen.agg(F.max("batch"), F.max(F.when(F.col("folded"), F.col("batch")))).first()
-        return row[0], row[1]
+    def _last_fold(self) -> int:
+        return max(map(int, finished_writes(self.spark, f"{self.path}/folds")), default=0)
+
+    def _batches(self, generation: int) -> list[int]:
+        names = finished_writes(self.spark, self._rows(generation))
+        return sorted(int(name.partition("=")[2]) for name in names)
