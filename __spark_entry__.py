@@ -201,9 +201,7 @@ CHANGELOG_QUERIES: dict[str, Query] = {
     "passenger_with_most_trips_changelog": _on_log_trips(
         changelog.passenger_with_most_trips_changelog
     ),
-    "occupancy_updates": _on_log(
-        lambda routes, trips: changelog.occupancy_updates(routes, trips).drop("_slice")
-    ),
+    "occupancy_updates": _on_log(changelog.occupancy_updates),
     "publications_in_open_hour": _on_late_publications(changelog.in_open_hour),
     "least_occupied_route_history": _on_log(history.least_occupied_route_history),
     "most_used_type_history": _on_publications(history.most_used_type_history),

@@ -77,18 +77,13 @@ def running(
     order: str,
     aggs: dict[str, tuple[str, str]],
     attach: DataFrame | None = None,
-    include_current: bool = True,
-    keep_slice: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add running aggregates to ``rows``, per ``keys`` (or over all rows) in ``order``.
 
     ``aggs`` maps a new column to ``(kind, column)`` with kind count, sum, max or min.  ``order``
     is a unique number such as a message position.  ``attach`` holds one row per key; its columns
-    are joined on in the same shuffle, and rows of other keys are dropped.  Without
-    ``include_current`` the aggregates cover only the rows before the current one.  With
-    ``keep_slice`` the result has ``_slice``: it is partitioned and sorted by the keys and
-    ``_slice``, so a grouping by these needs neither shuffle nor sort.
+    are joined on in the same shuffle, and rows of other keys are dropped. 
     """
     columns = rows.columns
     sliced = _ranges(rows, keys, order, slice_rows)
@@ -105,13 +100,10 @@ def running(
             "_slice", F.coalesce("_slice", F.lit(0))
         )
         joined = sliced.join(side, on, "inner")
-    inside = Window.partitionBy(*on).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, 0 if include_current else -1
-    )
+    inside = Window.partitionBy(*on).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *columns,
         *extra,
-        *(["_slice"] if keep_slice else []),
         *[
             _combine(kind, F.col(carry), _INSIDE[kind](column).over(inside)).alias(name)
             for (name, (kind, column)), carry in zip(aggs.items(), carries, strict=True)
@@ -125,17 +117,26 @@ def records(
     order: str,
     value: str,
     lowest: bool = False,
-    ties: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Rows whose ``value`` beats every earlier one of the key (``ties``: beats or equals)."""
+    """Rows whose ``value`` beats every earlier one of the key.
+
+    Rows that do not beat the ranges before theirs are dropped first; of the whole input few rows
+    are left to be put in order.
+    """
     kind = "min" if lowest else "max"
-    best = running(
-        rows, keys, order, {"_best": (kind, value)}, include_current=False, slice_rows=slice_rows
-    )
-    gap, best_so_far = F.col(value), F.col("_best")
-    if lowest:
-        beats = gap <= best_so_far if ties else gap < best_so_far
-    else:
-        beats = gap >= best_so_far if ties else gap > best_so_far
-    return best.where(best_so_far.isNull() | beats).drop("_best")
+    sliced = _ranges(rows, keys, order, slice_rows)
+    side = _carried(sliced, keys, {"best": (kind, value)})
+    if not keys:
+        side = F.broadcast(side)  # one row per range, of which there are SLICES at most
+
+    def beats(best: str) -> Column:
+        better = F.col(value) < F.col(best) if lowest else F.col(value) > F.col(best)
+        return F.col(best).isNull() | better
+
+    on = [*keys, "_slice"]
+    hopeful = sliced.join(side, on, "left").where(beats("_carry_best"))
+    before = Window.partitionBy(*on).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    best_before = _INSIDE[kind](value).over(before)
+    led = hopeful.withColumn("_best", best_before).where(beats("_best"))
+    return led.select(*rows.columns)

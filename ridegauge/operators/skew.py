@@ -43,3 +43,12 @@ def join_on_skewed_key(
     copied = dim.join(hot, key, "left").withColumn("_slice", F.explode(copies))
     joined = sliced.drop("_slices", "_place").join(copied.drop("_slices"), [key, "_slice"])
     return joined.drop("_slice")
+
+
+def only_keys(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in the table ``wanted``.
+
+    A list of up to ``SLICES`` keys is counted first and sent to the tasks; a longer one is joined.
+    """
+    short = wanted.limit(SLICES + 1).count() <= SLICES
+    return df.join(F.broadcast(wanted) if short else wanted, key, "left_semi")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ridegauge.functions.occupancy import available_seats, occupancy_pct
 from ridegauge.operators.keyed import first_by, known
 from ridegauge.operators.running import running
-from ridegauge.operators.skew import SLICE_ROWS
+from ridegauge.operators.skew import SLICE_ROWS, only_keys
 from ridegauge.operators.windows import without_late
 from ridegauge.plans import state
 from ridegauge.session import written
@@ -104,47 +104,90 @@ def passenger_with_most_trips_changelog(trips: DataFrame) -> DataFrame:
     )
 
 
-def occupancy_updates(
+def numbered_trips(
     routes: DataFrame, trips: DataFrame, *attributes: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Every occupancy ever reported: ``seq, routeId, _slice, <attributes>, occupancyPercentage``.
+    """Trips on published routes as ``seq, routeId, k, capacity, <attributes>``.
 
     ``attributes`` come from the latest version of the route.
     """
-    latest = state.latest_routes(routes, *attributes).select(F.col("id").alias("routeId"), *attributes)
+    latest = state.latest_routes(routes, *attributes).select(
+        F.col("id").alias("routeId"), *attributes
+    )
     published = state.route_capacity(routes).join(latest, "routeId")
     travelled = known(trips, "routeId").select("routeId", "seq")
-    numbered = running(
-        travelled, ["routeId"], "seq", {"k": ("count", "seq")},
-        attach=published, keep_slice=True, slice_rows=slice_rows,
-    )
-    pct = occupancy_pct(F.col("k"), available_seats(F.col("capacity"), F.col("k")))
-    return numbered.select(
-        "seq", "routeId", "_slice", *attributes, pct.alias("occupancyPercentage")
+    return running(
+        travelled, ["routeId"], "seq", {"k": ("count", "seq")}, attach=published, slice_rows=slice_rows
     )
 
 
-def least_occupied_route_per_type_changelog(
+def _pct_at(k: Column, capacity: str = "capacity") -> Column:
+    return occupancy_pct(k, available_seats(F.col(capacity), k))
+
+
+def occupancy_updates(
+    routes: DataFrame, trips: DataFrame, *attributes: str, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Every occupancy ever reported: ``seq, routeId, <attributes>, occupancyPercentage``."""
+    numbered = numbered_trips(routes, trips, *attributes, slice_rows=slice_rows)
+    pct = _pct_at(F.col("k")).alias("occupancyPercentage")
+    return numbered.select("seq", "routeId", *attributes, pct)
+
+
+def new_lows(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Smallest occupancy each type ever reported, the earliest on ties.
+    """Occupancies that may be below all earlier ones of their route, with its transport type.
 
-    Each route is reduced to its own smallest where it lies; only those rows move to their type.
+    Occupancy rises from trip to trip, but a route without a free seat reports 0.  So only the
+    first trip and the one that fills the route can be a low; below a capacity of zero, where
+    occupancy falls, any can.
     """
-    updates = occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows)
-    columns = [F.col("transportType"), F.col("occupancyPercentage"), F.col("seq")]
-    rank = [F.col("occupancyPercentage"), F.col("seq")]
-    per_route = first_by(known(updates, "transportType"), ["routeId", "_slice"], columns, rank)
+    numbered = known(
+        numbered_trips(routes, trips, "transportType", slice_rows=slice_rows), "transportType"
+    )
+    k, capacity = F.col("k"), F.col("capacity")
+    lows = numbered.where((k == 1) | (k == capacity) | (capacity < 0))
+    return lows.select("seq", "routeId", "transportType", _pct_at(k).alias("occupancyPercentage"))
+
+
+def least_occupied_route_per_type_changelog(
+    routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Smallest occupancy each type ever reported, the earliest on ties."""
     return first_by(
-        per_route, ["transportType"], [F.col("routeId"), F.col("occupancyPercentage")], rank
+        new_lows(routes, trips, slice_rows), ["transportType"],
+        [F.col("routeId"), F.col("occupancyPercentage")],
+        [F.col("occupancyPercentage"), F.col("seq")],
     ).select("routeId", F.col("transportType").alias("name"), "occupancyPercentage")
 
 
+def _routes_at_the_top(routes: DataFrame, trips: DataFrame) -> DataFrame:
+    """Routes whose largest occupancy ever is the largest of all.
+
+    Apart from the 0 of a full route occupancy only rises (or only falls) with the trips, so a
+    route's largest is at its first, last or last but one trip.
+    """
+    operated = known(state.latest_routes(routes, "operator"), "operator")
+    per_route = known(state.route_state(routes, trips), "capacity", "passengers").join(
+        operated.select(F.col("id").alias("routeId")), "routeId"
+    )
+    first, last = F.lit(1).cast("bigint"), F.col("passengers")
+    peak = F.greatest(_pct_at(first), _pct_at(last), _pct_at(F.greatest(first, last - 1)))
+    peaks = per_route.select("routeId", peak.alias("peak"))
+    return peaks.where(F.col("peak") == peaks.agg(F.max("peak")).scalar()).select("routeId")
+
+
 def operator_with_max_occupancy_changelog(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Largest occupancy ever reported, the earliest on ties."""
-    updates = occupancy_updates(routes, trips, "operator", slice_rows=slice_rows)
+    """Largest occupancy ever reported, the earliest on ties.
+
+    The value follows from the trip counts; trips are numbered only on the routes that reach it.
+    """
+    top = written(_routes_at_the_top(routes, trips), "top-routes")
+    on_top = only_keys(trips, "routeId", top)
+    updates = occupancy_updates(routes, on_top, "operator", slice_rows=slice_rows)
     return first_by(
         known(updates, "operator"), [],
         [F.col("routeId"), F.col("operator").alias("name"), F.col("occupancyPercentage")],
