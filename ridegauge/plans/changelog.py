@@ -73,13 +73,14 @@ def total_occupancy_changelog(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Occupancy computed from the two accumulated totals."""
-    seats = total_available_seats_changelog(routes, trips, _EXACT, slice_rows)
     passengers = total_passengers_changelog(state.route_passengers(trips), _EXACT)
-    totals = passengers.select("id", F.col("value").alias("p")).join(
-        seats.select("id", F.col("value").alias("s")), "id"
+    seats = total_available_seats_changelog(routes, trips, _EXACT, slice_rows)
+    each = passengers.select(F.col("value").alias("p")).unionByName(
+        seats.select(F.col("value").alias("s")), allowMissingColumns=True
     )
+    totals = known(each.agg(F.max("p").alias("p"), F.max("s").alias("s")), "p", "s")
     return totals.select(
-        F.col("id").alias("routeId"),
+        F.lit(0).cast("bigint").alias("routeId"),
         occupancy_pct(F.col("p"), F.col("s")).alias("occupancyPercentage"),
     )
 

@@ -2,16 +2,24 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Stream state on local disk with its changes in the checkpoint: keys never expire, so the state
+# must not have to fit in memory.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STREAM_SETTINGS,
 }
 
 
@@ -25,6 +33,22 @@ def build(app: str = "ridegauge", master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """The stream settings while a query starts; it keeps them, the session gets its own back."""
+    before = {name: spark.conf.get(name, None) for name in STREAM_SETTINGS}
+    try:
+        for name, value in STREAM_SETTINGS.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for tables and stream checkpoints, in the folder ``spark.checkpoint.dir`` names.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridegauge.operators.windows import HOUR, windowed_counts
-from ridegauge.session import work_folder
+from ridegauge.session import stream_settings, work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
 
 
@@ -53,7 +53,8 @@ def maintain(
         .foreachBatch(lambda rows, batch: table.upsert(rows, batch))
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with stream_settings(updates.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 def catch_up(updates: DataFrame, *keys: str) -> KeyedTable:
