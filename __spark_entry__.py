@@ -248,6 +248,14 @@ def _stream_operator_with_max_occupancy(spark: SparkSession, folder: str) -> Dat
     )
 
 
+def _stream_trips_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    trips = tables.trips_of_events(tables.event_stream(spark, folder)).select(
+        "id", "routeId", "transportType"
+    )
+    latest = state.latest_routes(tables.event_routes(spark, folder), "transportType", "operator")
+    return live.append_all(live.enriched_trips(trips, latest, "transportType", "operator"))
+
+
 STREAM_QUERIES: dict[str, Query] = {
     "stream_available_seats_per_route": _streamed(
         _route_updates, ("routeId",), reports.available_seats_per_route
@@ -278,6 +286,7 @@ STREAM_QUERIES: dict[str, Query] = {
         lambda hourly: _in_utc(reports.most_used_type_per_hour(hourly)),
     ),
     "stream_operator_with_max_occupancy": _stream_operator_with_max_occupancy,
+    "stream_trips_enriched": _stream_trips_enriched,
 }
 
 
@@ -592,5 +601,10 @@ FROM part""",
         "stream_hourly_type_counts": _HOURLY,
         "stream_most_used_type_per_hour": current["most_used_type_per_hour"],
         "stream_operator_with_max_occupancy": _on(_LOG, _STATE, select=_MAX_OPERATOR),
+        "stream_trips_enriched": _on(
+            _LOG, _UPDATES,
+            select="SELECT trips.seq AS id, routeId, latest.type AS transportType, operator "
+            "FROM trips JOIN latest ON routeId = latest.id",
+        ),
     }
     return {**current, **updates, **streams}

@@ -8,8 +8,11 @@ large the data is, and may be broadcast.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridegauge.session import written
+
 SLICES = 10_000
 SLICE_ROWS = 1 << 20
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -22,6 +25,12 @@ def hot_keys(df: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> Da
     )
 
 
+def fits_in_a_task(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether all of ``df`` takes up at most ``limit`` bytes, measured on its rows."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return (df.agg(size).first()[0] or 0) <= limit
+
+
 def join_on_skewed_key(
     facts: DataFrame, dim: DataFrame, key: str, spread: str | None = None, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -45,6 +54,18 @@ def join_on_skewed_key(
     return joined.drop("_slice")
 
 
+def look_up(facts: DataFrame, dim: DataFrame, key: str, spread: str | None = None) -> DataFrame:
+    """Inner join of many ``facts`` to one ``dim`` row per ``key``.
+
+    The dim is written out and measured.  A small one is sent to the tasks, so the facts stay
+    where they are; otherwise both sides move, with hot keys cut into slices.
+    """
+    dim = written(dim, "dim")
+    if fits_in_a_task(dim):
+        return facts.join(F.broadcast(dim), key)
+    return join_on_skewed_key(facts, dim, key, spread)
+
+
 def only_keys(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in the table ``wanted``.
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ridegauge.functions.occupancy import available_seats, occupancy_pct, whole_average
 from ridegauge.operators.keyed import first_by, known
-from ridegauge.operators.skew import join_on_skewed_key
+from ridegauge.operators.skew import look_up
 
 
 def _no_id(name: str) -> Column:
@@ -150,7 +150,10 @@ def most_used_type_last_hour(hourly: DataFrame) -> DataFrame:
 
 
 def trips_enriched(trips: DataFrame, latest: DataFrame, spread: str | None = None) -> DataFrame:
-    """Trips with origin, destination and type of their route in place of their own."""
+    """Trips with origin, destination and type of their route in place of their own.
+
+    ``spread`` names a number that tells trips apart; see ``look_up``.
+    """
     route = latest.select(F.col("id").alias("routeId"), "origin", "destination", "transportType")
     bare = trips.drop("origin", "destination", "transportType")
-    return join_on_skewed_key(known(bare, "routeId"), route, "routeId", spread=spread)
+    return look_up(known(bare, "routeId"), route, "routeId", spread)

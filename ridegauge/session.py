@@ -23,12 +23,24 @@ SETTINGS = {
 }
 
 
+# Many small shuffle partitions that adaptive execution merges to an even size.  The number also
+# fixes the state partitions of a stream at its first start.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def build(app: str = "ridegauge", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the library is tuned for; ``settings`` override them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, "spark.ui.enabled": "false", **settings}.items():
+    local = (master or "").startswith("local")
+    defaults = {**SETTINGS, "spark.ui.enabled": "false", **({} if local else CLUSTER_SETTINGS)}
+    for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

@@ -5,10 +5,13 @@ of ``plans.reports`` run on these tables as they do on any other.  The state fun
 ``plans.state`` are used as they are: on a stream they are update-mode aggregates.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ridegauge.operators.keyed import known
 from ridegauge.operators.windows import HOUR, windowed_counts
 from ridegauge.session import stream_settings, work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
@@ -40,17 +43,38 @@ def keyed_table(spark: SparkSession, updates: DataFrame, path: str, *keys: str)
     return KeyedTable(spark, path, keys, updates.schema)
 
 
+def enriched_trips(trips: DataFrame, latest: DataFrame, *attributes: str) -> DataFrame:
+    """A stream of trips with attributes of their route, as an append-mode stream.
+
+    ``latest`` is a table; each trip meets the route as the table holds it when the trip comes in.
+    """
+    route = latest.select(F.col("id").alias("routeId"), *attributes)
+    return known(trips.drop(*attributes), "routeId").join(route, "routeId")
+
+
 def maintain(
-    updates: DataFrame, table: KeyedTable, checkpoint: str, every: str | None = None
+    updates: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    every: str | None = None,
+    then: Callable[[KeyedTable, int], None] | None = None,
 ) -> StreamingQuery:
     """Keep ``table`` equal to the state of ``updates``.
 
     Runs each ``every`` (say ``1 minute``), or without it once over all that is there now.
+    ``then(table, batch)`` follows each batch, to write reports on the table elsewhere; a batch
+    that is repeated after a failure repeats it too.
     """
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        table.upsert(rows, batch)
+        if then:
+            then(table, batch)
+
     writer = (
         updates.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda rows, batch: table.upsert(rows, batch))
+        .foreachBatch(apply)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
     with stream_settings(updates.sparkSession):
@@ -64,3 +88,14 @@ def catch_up(updates: DataFrame, *keys: str) -> KeyedTable:
     table = keyed_table(spark, updates, f"{folder}/table", *keys)
     maintain(updates, table, f"{folder}/checkpoint").awaitTermination()
     return table
+
+
+def append_all(rows: DataFrame) -> DataFrame:
+    """Run an append-mode stream over all that is there now, into files in the work folder."""
+    folder = work_folder(rows.sparkSession, "stream")
+    writer = rows.writeStream.outputMode("append").format("parquet")
+    writer = writer.option("checkpointLocation", f"{folder}/checkpoint")
+    with stream_settings(rows.sparkSession):
+        query = writer.trigger(availableNow=True).start(f"{folder}/rows")
+    query.awaitTermination()
+    return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from ridegauge.operators import skew
 from ridegauge.operators.running import records, running
 from ridegauge.operators.skew import hot_keys, join_on_skewed_key, only_keys
 
@@ -37,6 +38,18 @@ def test_skewed_join(spark, facts, spread):
         assert values(got) == expected
 
 
+def test_look_up_measures_first(spark, facts, monkeypatch):
+    dim = spark.range(0, 30).select(F.col("id").alias("key"), F.lit("n").alias("name"))
+    expected = values(facts.join(dim, "key"))
+    assert skew.fits_in_a_task(dim)
+    assert not skew.fits_in_a_task(dim, limit=100)
+    assert "BroadcastHashJoin" in plan_of(skew.look_up(facts, dim, "key"))
+    assert values(skew.look_up(facts, dim, "key")) == expected
+    monkeypatch.setattr(skew, "fits_in_a_task", lambda df: False)
+    assert "_slice" in plan_of(skew.look_up(facts, dim, "key", "seq"))
+    assert values(skew.look_up(facts, dim, "key", "seq")) == expected
+
+
 def test_copies_of_one_row_are_spread(spark):
     copies = spark.range(400).select(F.lit(1).cast("bigint").alias("key"))
     dim = spark.createDataFrame([(1, "x")], "key bigint, name string")

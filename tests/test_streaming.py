@@ -156,3 +156,22 @@ def test_one_file_or_a_folder(spark, log):
         events = tables.event_stream(spark, folder)
         table = live.catch_up(state.route_passengers(tables.trips_of_events(events)), "routeId")
         assert table.read().agg(F.sum("passengers")).first()[0] > 0
+
+
+def test_reports_follow_each_batch(spark, log, tmp_path):
+    """Totals written after every batch: the last is the batch result, earlier ones are smaller."""
+    folder = str(tmp_path / "totals")
+    live_routes, live_trips = split(stream(spark, log))
+    updates = state.route_state(live_routes, live_trips)
+    table = live.keyed_table(spark, updates, str(tmp_path / "table"), "routeId")
+
+    def publish(current, batch):
+        total = reports.total_passengers(current.read())
+        total.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+    live.maintain(updates, table, str(tmp_path / "checkpoint"), then=publish).awaitTermination()
+    totals = [r["value"] for r in spark.read.parquet(folder).orderBy("batch").collect()]
+    _, trips = split(tables.table(spark, log, "events"))
+    assert totals == sorted(totals)
+    assert len(totals) > 2
+    assert totals[-1] == trips.count()
