@@ -52,6 +52,11 @@ def _counts(df: DataFrame, key: str, name: str) -> DataFrame:
     return known(df, key).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def operator_state(routes: DataFrame) -> DataFrame:
+    """``operator, routes``: publications of each operator."""
+    return _counts(routes, "operator", "routes")
+
+
 def route_passengers(trips: DataFrame) -> DataFrame:
     """``routeId, passengers`` of travelled routes."""
     return _counts(trips, "routeId", "passengers")

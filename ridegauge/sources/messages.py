@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from ridegauge.functions.envelope import decode
 from ridegauge.operators.keyed import known
+from ridegauge.schemas import OPERATOR, ROUTE, TRIP
 
 # Topic names.
 ROUTES_TOPIC = "routes-topic"
@@ -34,6 +35,19 @@ def records(messages: DataFrame, schema: T.StructType, key: str, strict: bool =
     return known(decode(messages, schema, keep=keep, strict=strict), key)
 
 
+def routes(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
+    """Published routes; a table read returns what the topic holds now."""
+    return records(topic(spark, ROUTES_TOPIC, servers, stream, **options), ROUTE, "id")
+
+
+def trips(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
+    return records(topic(spark, TRIPS_TOPIC, servers, stream, **options), TRIP, "id")
+
+
+def operators(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
+    return records(topic(spark, OPERATORS_TOPIC, servers, stream, **options), OPERATOR, "operator")
+
+
 def message_files(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """One message per line in text files: ``value``."""
     return (spark.readStream if stream else spark.read).text(folder)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridegauge.operators.keyed import known
 from ridegauge.operators.windows import HOUR, windowed_counts
+from ridegauge.plans.suite import STATES
 from ridegauge.session import stream_settings, work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
 
@@ -90,6 +91,23 @@ def catch_up(updates: DataFrame, *keys: str) -> KeyedTable:
     return table
 
 
+def live_states(
+    routes: DataFrame, trips: DataFrame, folder: str, every: str | None = None
+) -> tuple[dict[str, KeyedTable], list[StreamingQuery]]:
+    """Start one stream per state; ``folder`` holds the tables and checkpoints.
+
+    Read the tables into ``plans.suite.States`` for the reports as of now.  ``routes`` needs the
+    record time ``ts``, which bounds how long an hour stays open.
+    """
+    timed = routes.withWatermark("ts", "0 seconds")
+    tables, running = {}, []
+    for name, (build, keys) in STATES.items():
+        updates = build(timed if name == "hourly" else routes, trips)
+        tables[name] = keyed_table(updates.sparkSession, updates, f"{folder}/{name}/table", *keys)
+        running.append(maintain(updates, tables[name], f"{folder}/{name}/checkpoint", every))
+    return tables, running
+
+
 def append_all(rows: DataFrame) -> DataFrame:
     """Run an append-mode stream over all that is there now, into files in the work folder."""
     folder = work_folder(rows.sparkSession, "stream")

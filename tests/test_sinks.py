@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 from ridegauge import session
 from ridegauge.functions.envelope import decode, encode, schema_literal
 from ridegauge.schemas import NUMBER, OPERATOR, ROUTE, wire_type
+from ridegauge.plans import suite
 from ridegauge.sinks import database
 from ridegauge.sinks.keyed_table import KeyedTable
-from ridegauge.sinks.messages import as_messages
+from ridegauge.sinks.results import RESULTS, as_messages
 from ridegauge.sources import messages
 
 
@@ -77,11 +78,32 @@ def test_schema_literal_is_constant(spark):
 
 def test_report_messages(spark):
     report = spark.createDataFrame([(3, 9)], NUMBER)
-    row = as_messages(report, "passengers_per_route", "id").first()
+    row = as_messages(report, "passengers_per_route").first()
     assert row["key"] == "3"
     assert json.loads(row["value"])["schema"]["name"] == "Number_record"
 
 
+def test_every_report_has_a_place(spark, make_routes, make_trips, tmp_path):
+    """All reports of one run: message keys, and the tables they are kept in."""
+    routes = make_routes([(1, 10, "Bus", "A"), (2, 4, "Taxi", "B")])
+    trips = make_trips([(1, 7, "Bus"), (2, 7, "Taxi"), (2, 8, "Taxi")])
+    found = suite.all_reports(suite.states(routes, trips))
+    assert set(found) == set(RESULTS)
+    assert values(found["operators_list"]) == [("A",), ("B",)]
+    assert values(found["total_occupancy"]) == [(0, 21.428571701049805)]
+    assert values(found["most_used_type_last_hour"]) == [("Bus", 1)]
+    keys = {name: values(as_messages(df, name).select("key")) for name, df in found.items()}
+    assert keys["total_passengers"] == [("total",)]
+    assert keys["passenger_with_most_trips"] == [("max_trips",)]
+    assert keys["operator_with_max_occupancy"] == [("B",)]
+    assert keys["routes_latest"] == [("route_1",), ("route_2",)]
+    for name, df in found.items():
+        result = RESULTS[name]
+        kept = KeyedTable(spark, f"{tmp_path}/{result.table}", (result.key,), df.schema)
+        kept.upsert(df, 0)
+        assert values(kept.read().select(*df.columns)) == values(df)
+
+
 def table(spark, tmp_path, **options):
     return KeyedTable(spark, str(tmp_path / "table"), ("id",), NUMBER, **options)
 

@@ -6,12 +6,12 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from ridegauge.functions.envelope import encode
 from ridegauge.operators.windows import windowed_counts
-from ridegauge.plans import changelog, reports, state
+from ridegauge.plans import changelog, reports, state, suite
+from ridegauge.schemas import ROUTE, TRIP
 from ridegauge.sources import messages, tables
 from ridegauge.streaming import live
-from ridegauge.functions.envelope import encode
-from ridegauge.schemas import ROUTE, TRIP
 
 SF = "/root/testdata/sf0.001"
 
@@ -175,3 +175,16 @@ def test_reports_follow_each_batch(spark, log, tmp_path):
     assert totals == sorted(totals)
     assert len(totals) > 2
     assert totals[-1] == trips.count()
+
+
+def test_all_states(spark, log, tmp_path):
+    """Every report from live states equals the report over tables."""
+    events = tables.table(spark, log, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    expected = suite.all_reports(suite.states(*split(events)))
+    kept, queries = live.live_states(*split(stream(spark, log)), str(tmp_path))
+    for query in queries:
+        query.awaitTermination()
+    found = suite.all_reports(suite.States(**{name: t.read() for name, t in kept.items()}))
+    assert set(found) == set(expected)
+    for name in expected:
+        assert values(found[name]) == values(expected[name]), name
