@@ -10,8 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Declared up front, which saves a job per read that would look into the files.
+SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _named(prefix: str, number: str) -> F.Column:
@@ -98,6 +112,5 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
 
     The braces make the path a pattern; a stream refuses the plain path of a single file.
     """
-    schema = table(spark, folder, "events").schema
-    log = spark.readStream.schema(schema).parquet(f"{folder}/{{events}}.parquet")
+    log = spark.readStream.schema(SCHEMAS["events"]).parquet(f"{folder}/{{events}}.parquet")
     return log.withColumn("ts", F.col("ts").cast("timestamp"))

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from ridegauge.sources import tables
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("part", "lineitem", "orders", "events")
@@ -20,6 +21,12 @@ def database():
     connection.close()
 
 
+@pytest.mark.parametrize("name", TABLES)
+def test_declared_schemas(spark, name):
+    found = spark.read.parquet(f"{SF}/{name}.parquet").schema
+    assert tables.table(spark, SF, name).schema == found
+
+
 def test_every_query_has_its_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
 

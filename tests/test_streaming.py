@@ -29,8 +29,7 @@ def log(spark, tmp_path_factory):
 
 
 def stream(spark, folder):
-    schema = tables.table(spark, folder, "events").schema
-    parts = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    parts = spark.readStream.schema(tables.SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
     rows = parts.parquet(f"{folder}/events.parquet")
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
