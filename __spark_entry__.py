@@ -287,6 +287,15 @@ STREAM_QUERIES: dict[str, Query] = {
     ),
     "stream_operator_with_max_occupancy": _stream_operator_with_max_occupancy,
     "stream_trips_enriched": _stream_trips_enriched,
+    "stream_hourly_leaders": lambda spark, folder: _in_utc(
+        live.append_all(
+            live.hourly_leaders(tables.publications_of_events(tables.event_stream(spark, folder)))
+        )
+    ),
+    "stream_counters": _streamed(
+        lambda log: state.counters(tables.routes_of_events(log), tables.trips_of_events(log)),
+        ("kind", "key"), lambda counted: counted,
+    ),
 }
 
 
@@ -405,6 +414,17 @@ SELECT id, arg_max(capacity, seq) AS passengerCapacity, arg_max(type, seq) AS tr
 _HOURLY = """
 SELECT date_trunc('hour', ts) AS window_start, event_type AS transportType, COUNT(*) AS n
 FROM events GROUP BY 1, 2"""
+_COUNTERS = """
+SELECT kind, key, CAST(SUM(capacity) AS BIGINT) AS capacity, COUNT(route) AS routes,
+       COUNT(trip) AS trips
+FROM (
+  SELECT 'route' AS kind, CAST(id AS VARCHAR) AS key, capacity, 1 AS route, NULL AS trip FROM routes
+  UNION ALL SELECT 'type', type, NULL, 1, NULL FROM routes
+  UNION ALL SELECT 'operator', operator, NULL, 1, NULL FROM routes
+  UNION ALL SELECT 'route', CAST(routeId AS VARCHAR), NULL, NULL, 1 FROM trips
+  UNION ALL SELECT 'type', type, NULL, NULL, 1 FROM trips
+  UNION ALL SELECT 'passenger', CAST(passengerId AS VARCHAR), NULL, NULL, 1 FROM trips)
+GROUP BY kind, key"""
 _ALL_COUNTS = "SELECT CAST(0 AS BIGINT) AS id, CAST(SUM(k) AS BIGINT) AS value FROM ranked"
 _ALL_SEATS = """(
   SELECT SUM(v) FROM (
@@ -601,6 +621,9 @@ FROM part""",
         "stream_hourly_type_counts": _HOURLY,
         "stream_most_used_type_per_hour": current["most_used_type_per_hour"],
         "stream_operator_with_max_occupancy": _on(_LOG, _STATE, select=_MAX_OPERATOR),
+        "stream_hourly_leaders": _on(_PUBLISHED, select="") + ","
+            + _hourly_leader("AND hour + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM routes)"),
+        "stream_counters": _on(_LOG, select=_COUNTERS),
         "stream_trips_enriched": _on(
             _LOG, _UPDATES,
             select="SELECT trips.seq AS id, routeId, latest.type AS transportType, operator "

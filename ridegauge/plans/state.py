@@ -5,7 +5,7 @@ update-mode aggregate, on streams.  Counts and sums combine map-side, which also
 weight off a key that holds most of the rows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridegauge.operators.keyed import known, latest_by
@@ -52,11 +52,6 @@ def _counts(df: DataFrame, key: str, name: str) -> DataFrame:
     return known(df, key).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def operator_state(routes: DataFrame) -> DataFrame:
-    """``operator, routes``: publications of each operator."""
-    return _counts(routes, "operator", "routes")
-
-
 def route_passengers(trips: DataFrame) -> DataFrame:
     """``routeId, passengers`` of travelled routes."""
     return _counts(trips, "routeId", "passengers")
@@ -95,3 +90,64 @@ def latest_routes(routes: DataFrame, *columns: str, order: str = "seq") -> DataF
     """The last published version of each route; ``columns`` limits what is carried."""
     wanted = [c for c in routes.columns if not columns or c in columns or c in ("id", order)]
     return latest_by(known(routes, "id").select(*wanted), ["id"], order)
+
+
+def counters(routes: DataFrame, trips: DataFrame) -> DataFrame:
+    """All countable states in one grouping: ``kind, key, capacity, routes, trips``.
+
+    Reads either input once, however many states are wanted; kinds are route, type, operator and
+    passenger.  The functions below pick one kind.
+    """
+    capacity, nothing = F.col("passengerCapacity"), F.lit(None).cast("bigint")
+
+    def entry(kind: str, key: str, places: Column = nothing) -> Column:
+        named = F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key")
+        return F.struct(*named, places.alias("capacity"))
+
+    published = F.inline(
+        F.array(entry("route", "id", capacity), entry("type", "transportType"),
+                entry("operator", "operator"))
+    )
+    travelled = F.inline(
+        F.array(entry("route", "routeId"), entry("type", "transportType"),
+                entry("passenger", "passengerId"))
+    )
+    one = F.lit(1).cast("bigint")
+    rows = routes.select(published).select("*", one.alias("route"), nothing.alias("trip"))
+    rows = rows.unionByName(
+        trips.select(travelled).select("*", nothing.alias("route"), one.alias("trip"))
+    )
+    return known(rows, "key").groupBy("kind", "key").agg(
+        F.sum("capacity").alias("capacity"),
+        F.count("route").alias("routes"),
+        F.count("trip").alias("trips"),
+    )
+
+
+def routes_counted(counted: DataFrame) -> DataFrame:
+    """``route_state`` out of ``counters``."""
+    travelled = F.when(F.col("trips") > 0, F.col("trips"))
+    return counted.where(F.col("kind") == "route").select(
+        F.col("key").cast("bigint").alias("routeId"), "capacity", travelled.alias("passengers")
+    )
+
+
+def types_counted(counted: DataFrame) -> DataFrame:
+    """``type_state`` out of ``counters``."""
+    return counted.where(F.col("kind") == "type").select(
+        F.col("key").alias("transportType"), "routes", "trips"
+    )
+
+
+def operators_counted(counted: DataFrame) -> DataFrame:
+    """``operator`` and its publications out of ``counters``."""
+    return counted.where(F.col("kind") == "operator").select(
+        F.col("key").alias("operator"), "routes"
+    )
+
+
+def passengers_counted(counted: DataFrame) -> DataFrame:
+    """``passenger_state`` out of ``counters``."""
+    return counted.where(F.col("kind") == "passenger").select(
+        F.col("key").cast("bigint").alias("passengerId"), "trips"
+    )

@@ -53,6 +53,16 @@ def test_null_keys_are_skipped(make_routes, make_trips):
     assert values(state.route_capacity(routes)) == [(2, 4)]
 
 
+def test_counters_hold_the_single_states(make_routes, make_trips):
+    routes = make_routes([(1, 5, "Bus", "A"), (1, None, "Taxi", None), (2, 0, None, "A")])
+    trips = make_trips([(1, 7, "Bus"), (9, 7, "Bus"), (None, None, None)])
+    counted = state.counters(routes, trips)
+    assert values(state.routes_counted(counted)) == values(state.route_state(routes, trips))
+    assert values(state.types_counted(counted)) == values(state.type_state(routes, trips))
+    assert values(state.passengers_counted(counted)) == values(state.passenger_state(trips))
+    assert values(state.operators_counted(counted)) == [("A", 2)]
+
+
 def test_empty_inputs_give_empty_reports(make_routes, make_trips):
     routes, trips = make_routes([]), make_trips([])
     per_route = state.route_state(routes, trips)
@@ -111,6 +121,12 @@ def test_occupancy_pct(spark, passengers, seats, expected):
     assert df.select(occupancy_pct(F.col("p"), F.col("s"))).first()[0] == expected
 
 
+def test_full_can_count_as_full(spark):
+    df = spark.createDataFrame([(5, 0), (0, 0), (1, 3)], "p bigint, s bigint")
+    pct = occupancy_pct(F.col("p"), F.col("s"), full_as_zero=False)
+    assert [row[0] for row in df.select(pct).collect()] == [100.0, 0.0, 25.0]
+
+
 def test_whole_average_cuts(spark):
     df = spark.createDataFrame([(37, 2)], "t bigint, n bigint")
     assert df.select(whole_average(F.col("t"), F.col("n"))).first()[0] == 18
