@@ -66,9 +66,8 @@ def _on_log_trips(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _named_occupancy(attribute: str, report: Callable[[DataFrame], DataFrame]):
     def plan(routes: DataFrame, trips: DataFrame) -> DataFrame:
-        occupancy = reports.occupancy_per_route(state.route_state(routes, trips))
-        latest = state.latest_routes(routes, attribute)
-        return report(reports.occupancy_with(occupancy, latest, attribute))
+        travelled = state.travelled_routes(routes, trips, attribute)
+        return report(reports.occupancy_by(travelled, attribute))
 
     return plan
 

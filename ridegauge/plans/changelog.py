@@ -112,10 +112,7 @@ def numbered_trips(
 
     ``attributes`` come from the latest version of the route.
     """
-    latest = state.latest_routes(routes, *attributes).select(
-        F.col("id").alias("routeId"), *attributes
-    )
-    published = state.route_capacity(routes).join(latest, "routeId")
+    published = state.published_routes(routes, *attributes)
     travelled = known(trips, "routeId").select("routeId", "seq")
     return running(
         travelled, ["routeId"], "seq", {"k": ("count", "seq")}, attach=published, slice_rows=slice_rows
@@ -169,10 +166,7 @@ def _routes_at_the_top(routes: DataFrame, trips: DataFrame) -> DataFrame:
     Apart from the 0 of a full route occupancy only rises (or only falls) with the trips, so a
     route's largest is at its first, last or last but one trip.
     """
-    operated = known(state.latest_routes(routes, "operator"), "operator")
-    per_route = known(state.route_state(routes, trips), "capacity", "passengers").join(
-        operated.select(F.col("id").alias("routeId")), "routeId"
-    )
+    per_route = known(state.travelled_routes(routes, trips, "operator"), "operator")
     first, last = F.lit(1).cast("bigint"), F.col("passengers")
     peak = F.greatest(_pct_at(first), _pct_at(last), _pct_at(F.greatest(first, last - 1)))
     peaks = per_route.select("routeId", peak.alias("peak"))

@@ -81,6 +81,12 @@ def occupancy_with(occupancy: DataFrame, latest: DataFrame, attribute: str) -> D
     return occupancy.join(named, "routeId").select("routeId", "name", "occupancyPercentage")
 
 
+def occupancy_by(travelled: DataFrame, attribute: str) -> DataFrame:
+    """The same from ``state.travelled_routes``, which has the attribute already."""
+    pct = occupancy_pct(F.col("passengers"), F.col("seats")).alias("occupancyPercentage")
+    return _with_seats(travelled).select("routeId", F.col(attribute).alias("name"), pct)
+
+
 def least_occupied_route_per_type(typed: DataFrame) -> DataFrame:
     return first_by(
         known(typed, "name"), ["name"],

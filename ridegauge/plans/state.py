@@ -86,6 +86,20 @@ def route_capacity(routes: DataFrame) -> DataFrame:
     )
 
 
+def published_routes(routes: DataFrame, *attributes: str, order: str = "seq") -> DataFrame:
+    """``routeId, capacity`` and attributes of the last version, of routes that have a capacity."""
+    newest = F.max_by(F.struct(*attributes), order).alias("_row")
+    grouped = known(routes, "id").groupBy(F.col("id").alias("routeId")).agg(
+        F.sum("passengerCapacity").alias("capacity"), newest
+    )
+    return known(grouped, "capacity").select("routeId", "capacity", "_row.*")
+
+
+def travelled_routes(routes: DataFrame, trips: DataFrame, *attributes: str) -> DataFrame:
+    """Routes that are both published and travelled: ``published_routes`` with ``passengers``."""
+    return published_routes(routes, *attributes).join(route_passengers(trips), "routeId")
+
+
 def latest_routes(routes: DataFrame, *columns: str, order: str = "seq") -> DataFrame:
     """The last published version of each route; ``columns`` limits what is carried."""
     wanted = [c for c in routes.columns if not columns or c in columns or c in ("id", order)]
