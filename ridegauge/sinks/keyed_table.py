@@ -32,11 +32,13 @@ class KeyedTable:
     def upsert(self, rows: DataFrame, batch: int) -> None:
         """Write the rows of one batch, one row per key.  Batch numbers grow.
 
-        A batch that is already there is left alone.  New columns are added to the table.
+        A batch that is already there is left alone; its rows are still computed, because a stream
+        that repeats a batch has to write its state.  New columns are added to the table.
         """
         generation = batch // self.fold_every
         folded = self._last_fold()
         if generation < folded or batch in self._batches(generation):
+            rows.write.format("noop").mode("overwrite").save()
             return
         if generation > folded:
             self.read().write.mode("overwrite").parquet(self._fold(generation))

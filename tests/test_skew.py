@@ -113,3 +113,40 @@ def test_scans_read_only_what_they_need(spark):
     assert "ReadSchema: struct<l_partkey:bigint>" in plan
     plan = plan_of(registry.queries()["busiest_transport_type_changelog"](spark, SF))
     assert "Not(EqualTo(event_type,signup))" in plan
+
+
+@pytest.mark.parametrize(
+    ("name", "shuffles"),
+    [
+        ("passengers_per_route", 1),
+        ("occupancy_per_route", 1),  # routes and trips in one grouping
+        ("avg_passengers_per_type", 1),
+        ("max_occupancy_per_operator", 3),  # trips and routes by route, then by operator
+        ("total_passengers", 0),
+        ("busiest_transport_type_changelog", 0),
+    ],
+)
+def test_shuffles(spark, name, shuffles):
+    """Hash exchanges of the plan when nothing is small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.queries()[name](spark, SF)
+        physical = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert physical.count("Exchange hashpartitioning") == shuffles
+
+
+def test_one_shuffle_moves_the_numbered_trips(spark):
+    """Joining the routes on, carrying ranges in and numbering share one exchange of the trips."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.queries()["occupancy_updates"](spark, SF)
+        physical = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    window = physical.index("Window ")
+    join = physical.index("SortMergeJoin", window)
+    assert "Exchange" not in physical[window:join]

@@ -187,3 +187,25 @@ def test_all_states(spark, log, tmp_path):
     assert set(found) == set(expected)
     for name in expected:
         assert values(found[name]) == values(expected[name]), name
+
+
+def test_failed_batch_is_repeated(spark, log, tmp_path):
+    """A run that dies after its second batch, and one that takes over."""
+    live_routes, live_trips = split(stream(spark, log))
+    updates = state.route_state(live_routes, live_trips)
+    table = live.keyed_table(spark, updates, str(tmp_path / "table"), "routeId")
+    checkpoint = str(tmp_path / "checkpoint")
+    seen = []
+
+    def die(current, batch):
+        seen.append(batch)
+        if batch == 1 and seen.count(1) == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        live.maintain(updates, table, checkpoint, then=die).awaitTermination()
+    live.maintain(updates, table, checkpoint, then=die).awaitTermination()
+    assert seen.count(1) == 2
+    assert values(table.read()) == values(
+        state.route_state(*split(tables.table(spark, log, "events")))
+    )
