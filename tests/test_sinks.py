@@ -16,7 +16,7 @@ from ridegauge.sources import messages
 
 
 def test_encode_carries_the_schema(spark):
-    df = spark.createDataFrame([(1, 50, "Coimbra", None, "Bus", "FlixBus")], ROUTE)
+    df = spark.createDataFrame([(1, 50, "Lisboa", None, "Bus", "FlixBus")], ROUTE)
     row = encode(df, "Route", F.concat(F.lit("route_"), F.col("id"))).first()
     assert row["key"] == "route_1"
     message = json.loads(row["value"])
@@ -33,7 +33,7 @@ def test_encode_carries_the_schema(spark):
         ],
     }
     assert message["payload"] == {
-        "id": 1, "passengerCapacity": 50, "origin": "Coimbra", "transportType": "Bus",
+        "id": 1, "passengerCapacity": 50, "origin": "Lisboa", "transportType": "Bus",
         "operator": "FlixBus",
     }
 
