@@ -1,0 +1,49 @@
+"""Encode a text chunk by chunk, with a memory of chunks seen before.
+
+The vocabularies' pre-tokenizer never lets a token cross from a character that is not white space
+into a following single space: a token either starts with that space or ends before it.  So a text
+may be cut before each single space between two other characters, and each piece be encoded by
+itself.  Texts with other white space at such a place are given to the encoder whole.
+"""
+
+import re
+from collections.abc import Callable
+
+import numpy as np
+
+_UNEVEN = re.compile(r"\s\s|\A[^\S ]|\s\Z")
+
+
+class ChunkMemory:
+    """``encode`` maps a list of strings to a list of id lists; results are 4-byte ids in bytes."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 200_000):
+        self._encode, self._most, self._known = encode, most, {}
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        if len(self._known) > self._most:
+            self._known.clear()
+        known, cut, fresh = self._known, [], {}
+        for text in texts:
+            chunks = self._chunks(text)
+            cut.append(chunks)
+            for chunk in chunks:
+                if chunk not in known:
+                    fresh[chunk] = None
+        once = {}
+        if fresh:
+            new = list(fresh)
+            for chunk, ids in zip(new, self._encode(new)):
+                # long pieces hardly come again, and would fill the memory
+                (known if len(chunk) <= 40 else once)[chunk] = np.array(ids, "<u4").tobytes()
+        if once:
+            return [b"".join([known[c] if c in known else once[c] for c in chunks]) for chunks in cut]
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        if not text or _UNEVEN.search(text):
+            return [text] if text else []
+        first, *rest = text.split(" ")
+        chunks = [" " + chunk for chunk in rest]
+        return [first, *chunks] if first else chunks
