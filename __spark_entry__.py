@@ -7,6 +7,7 @@ depend on message order (see ``ridegauge.sources.tables``).
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -298,8 +299,25 @@ STREAM_QUERIES: dict[str, Query] = {
 }
 
 
+def _optional(module: str):
+    """A module of the text operators, or None where they have been taken out."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as missing:
+        if missing.name and (module == missing.name or module.startswith(f"{missing.name}.")):
+            return None
+        raise
+
+
 def queries() -> dict[str, Query]:
-    return {**STATE_QUERIES, **CHANGELOG_QUERIES, **STREAM_QUERIES}
+    found = {**STATE_QUERIES, **CHANGELOG_QUERIES, **STREAM_QUERIES}
+    text = _optional("ridegauge.llm.queries")
+    if text:
+        found |= text.QUERIES
+    pipeline = _optional("corpus_pipeline")
+    if pipeline:
+        found["pipeline"] = pipeline.run
+    return found
 
 
 # --- the same in SQL -----------------------------------------------------------------------
@@ -629,4 +647,7 @@ FROM part""",
             "FROM trips JOIN latest ON routeId = latest.id",
         ),
     }
-    return {**current, **updates, **streams}
+    text = _optional("ridegauge.llm.queries")
+    pipeline = _optional("corpus_pipeline")
+    piped = {"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}
+    return {**current, **updates, **streams, **(text.SQL if text else {}), **piped}
