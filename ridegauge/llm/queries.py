@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridegauge.llm import bpe, minhash, packing, rules, toxicity
+from ridegauge.llm import (
+    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, warc,
+)
 from ridegauge.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,16 @@ def registered(query: Query) -> Query:
     return run
 
 
+def op1_brown_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return brown.scored(docs, brown.fitted(docs.filter(~brown.held_out())))
+
+
+def op2_pii_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans(table(spark, folder, "documents"))
+    return found.select("doc_id", *(c.alias(name) for name, c in pii.summary().items()))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     learned = rules.learned(docs, table(spark, folder, "labels"))
@@ -43,11 +55,26 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_copies(table(spark, folder, "documents"), words=4, similarity=0.8)
 
 
+def op5_norm_sorted_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.whole_components(table(spark, folder, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+def op6_host_suffix_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extracted(table(spark, folder, "pages"))
+
+
 def op7_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, folder, "documents"), path).drop("ids")
 
 
+def op8_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.written_and_read(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = table(spark, folder, "documents").select(
@@ -70,7 +97,9 @@ def op10_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _ALL: tuple[Query, ...] = (
-    op3_quality_rules, op4_minhash_near_dedup, op7_pattern_packing, op9_bpe_tree, op10_toxicity_chain,
+    op1_brown_scoring, op2_pii_weak_supervision, op3_quality_rules, op4_minhash_near_dedup,
+    op5_norm_sorted_topk, op6_host_suffix_text, op7_pattern_packing, op8_zip_warc, op9_bpe_tree,
+    op10_toxicity_chain,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: registered(query) for query in _ALL}
@@ -101,6 +130,33 @@ reach AS (
 SELECT s.doc_id, s.n AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
 FROM sizes s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON s.doc_id = r.a"""
 
+_PRODUCTS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20"""
+
+_RECORDS = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT payload_digest AS d, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f ON d = payload_digest"""
+
 SQL: dict[str, str] = {
+    "op5_norm_sorted_topk": _PRODUCTS,
+    "op8_zip_warc": _RECORDS,
     "op4_minhash_near_dedup": _SHINGLED,
 }
