@@ -7,7 +7,8 @@
 3. Bands of minima are bucket keys.  Buckets of one node are dropped.
 4. Links are found in rounds.  A round compares the nodes of a bucket with few *pivots* of it, so a
    bucket makes at most ``PIVOTS`` times as many pairs as it has nodes, and pairs within a component
-   found so far are never made.  The first two rounds keep one pivot per node, the most similar by
+   found so far are never made, nor pairs whose sizes and own shingles (those no other candidate has)
+   rule the similarity out.  The first two rounds keep one pivot per node, the most similar by
    signature; by then large groups have become components.  After that every node outside the
    largest component of its bucket is a pivot once, in lanes of about ``PIVOTS``, until no bucket
    holds an untested pair of two components.
@@ -28,14 +29,14 @@ and out (``without_near_copies``).
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridegauge.llm.common import in_batches, whole
 from ridegauge.session import written
 
 BANDS, ROWS = 42, 6
-PIVOTS = 16
+PIVOTS = 64
 _MARGIN = 5.5
 
 
@@ -174,53 +175,66 @@ def _labelled(buckets: DataFrame, components: DataFrame | None) -> DataFrame:
     named = components.select(F.col("node").alias("named"), "component")
     return (
         buckets.join(named, buckets["node"] == named["named"], "left")
-        .select("key", "node", F.coalesce("component", "node").alias("label"))
+        .select("key", "node", "n", "own", F.coalesce("component", "node").alias("label"))
     )
 
 
 def _open_buckets(members: DataFrame) -> DataFrame:
-    """Buckets that hold several components: ``at`` (key), members, the largest component there."""
-    per_label = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    """Buckets that hold several components: ``at`` (key), the largest one there, nodes of others."""
+    per_label = members.groupBy("key", "label").agg(F.count("*").alias("many"))
     return (
         per_label.groupBy(F.col("key").alias("at"))
         .agg(
-            F.sum("n").alias("members"), F.max(F.struct("n", "label")).alias("largest"),
+            F.sum("many").alias("members"), F.max(F.struct("many", "label")).alias("largest"),
             F.count("*").alias("labels"),
         )
         .filter("labels > 1")
-        .select("at", "members", F.col("largest.label").alias("largest"))
+        .select("at", F.col("largest.label").alias("largest"),
+                (F.col("members") - F.col("largest.many")).alias("others"))
     )
 
 
-def _star_pairs(members: DataFrame, salt: int) -> DataFrame:
-    """Each member with its bucket's pivot, where that is of another component."""
-    order = F.col("node") if salt == 0 else F.xxhash64("node", "key", F.lit(salt))
+def _possible(percent: int) -> Column:
+    """Whether a node and a pivot can be similar enough at all, by their sizes and own shingles.
+
+    What a node shares with any other is at most its shingles that some other node has too.
+    """
+    shared = F.least(F.col("n") - F.col("own"), F.col("pivot_n") - F.col("pivot_own"))
+    return 100 * shared >= percent * (F.col("n") + F.col("pivot_n") - shared)
+
+
+def _met(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
+    """Members with the pivots of their bucket that are of another component: ``u`` and pivot ``v``."""
+    return (
+        members.join(
+            pivots, (F.col("key") == F.col("at")) & (F.col("label") != F.col("pivot_label")) & _possible(percent)
+        ).select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    )
+
+
+def _star_pairs(members: DataFrame, salt: int, percent: int) -> DataFrame:
+    """Each member with its bucket's pivot: first the one with the least shingles of its own."""
+    order = F.col("own") if salt == 0 else F.xxhash64("node", F.lit(salt))
     pivots = (
         members.groupBy(F.col("key").alias("at"))
-        .agg(F.min(F.struct(order.alias("order"), "node", "label")).alias("p"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("at", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
-    )
-    return (
-        members.join(pivots, F.col("key") == F.col("at"))
-        .filter("label <> pivot_label")
-        .select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        .agg(F.min(F.struct(order.alias("order"), "node", "label", "n", "own")).alias("p"), F.count("*").alias("many"))
+        .filter("many > 1")
+        .selectExpr("at", "p.node AS pivot", "p.label AS pivot_label", "p.n AS pivot_n", "p.own AS pivot_own")
     )
+    return _met(members, pivots, percent)
 
 
-def _lane_pairs(members: DataFrame, still: DataFrame, lane: int) -> DataFrame:
-    """Each member with the pivots of this lane in its bucket that are of another component."""
-    lanes = F.ceil(F.col("members") / PIVOTS)
-    inside = members.join(still.filter(lanes > lane), F.col("key") == F.col("at"))
-    pivots = inside.filter(
-        (F.col("label") != F.col("largest"))
-        & (F.pmod(F.xxhash64("node"), lanes) == lane)
-    ).select(F.col("key").alias("at"), F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-    return (
-        members.join(pivots, F.col("key") == F.col("at"))
-        .filter("label <> pivot_label")
-        .select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
+def _lane_pairs(members: DataFrame, still: DataFrame, lane: int, percent: int) -> DataFrame:
+    """Each member with the pivots of this lane in its bucket."""
+    lanes = F.ceil(F.col("others") / PIVOTS)
+    pivots = (
+        members.join(still.filter(lanes > lane), F.col("key") == F.col("at"))
+        .filter((F.col("label") != F.col("largest")) & (F.pmod(F.xxhash64("node"), lanes) == lane))
+        .selectExpr("at", "node AS pivot", "label AS pivot_label", "n AS pivot_n", "own AS pivot_own")
     )
+    return _met(members, pivots, percent).select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    ).distinct()
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -270,6 +284,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     )
 
 
+def _sized(sets: DataFrame, percent: int) -> DataFrame:
+    """``node, n, own``: sizes, and how many shingles no other set here has; without the hopeless.
+
+    A node of which more shingles are its own than similarity allows is linked with nothing, whatever
+    it is compared with.  That settles most nodes that look alike without being alike enough.
+    """
+    alone = (
+        sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
+        .agg(F.count("*").alias("sets"), F.min("node").alias("of")).filter("sets = 1")
+        .groupBy("of").agg(F.count("*").alias("own"))
+    )
+    return written(
+        sets.select("node", F.size("shingles").alias("n")).join(alone, F.col("node") == F.col("of"), "left")
+        .select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+        .filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "sizes",
+    )
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -295,8 +327,10 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     )
     members = buckets.select("node").distinct()
     sets = written(_sets(docs, members, words), "sets")
-    near = written(nodes.join(members, "node", "left_semi").select("node", "signature"), "signatures")
     percent = round(100 * similarity)
+    sized = _sized(sets, percent)
+    near = written(nodes.join(sized, "node", "left_semi").select("node", "signature"), "signatures")
+    buckets = written(buckets.join(sized, "node").select("key", "node", "n", "own"), "buckets")
 
     components, links = None, []
 
@@ -314,14 +348,14 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
 
     labelled = _labelled(buckets, None)
     for salt in (0, 1):
-        alike = _alike(_star_pairs(labelled, salt), near, similarity)
+        alike = _alike(_star_pairs(labelled, salt, percent), near, similarity)
         best = alike.groupBy("u").agg(F.max_by("v", F.struct("agreement", "v")).alias("v"))
         if linked(best):
             labelled = _labelled(buckets, components)
     still = written(_open_buckets(labelled), "open")
-    most = still.agg(F.max(F.ceil(F.col("members") / PIVOTS))).first()[0] or 0
+    most = still.agg(F.max(F.ceil(F.col("others") / PIVOTS))).first()[0] or 0
     for lane in range(most):
-        if linked(_alike(_lane_pairs(labelled, still, lane), near, similarity)):
+        if linked(_alike(_lane_pairs(labelled, still, lane, percent), near, similarity)):
             labelled = _labelled(buckets, components)
 
     # copies follow their node; equal doc_ids hold their sets together
