@@ -36,6 +36,7 @@ from ridegauge.llm.common import in_batches, whole
 from ridegauge.session import written
 
 BANDS, ROWS = 42, 6
+SIGNATURE = 768
 PIVOTS = 64
 _MARGIN = 5.5
 
@@ -95,37 +96,33 @@ def minima(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, fingerprint, signature, bands`` of each row.
-
-    ``fingerprint`` is a 128-bit hash of the whole set, ``signature`` one byte of each minimum.
-    """
+    """``doc_id, n_shingles, fingerprint, bands`` of each row; ``fingerprint`` hashes the whole set."""
     a, b = _hash_functions(BANDS * ROWS)
     band_numbers = np.arange(BANDS, dtype=np.uint64)
 
     def sketch(doc_ids, texts):
-        sizes, marks, signatures, bands = [], [], [], []
+        sizes, marks, bands = [], [], []
         for text in texts.to_pylist():
             shingles = shingle_set(text, words)
             sizes.append(len(shingles))
             if not len(shingles):
-                marks.append(None), signatures.append(None), bands.append(None)
+                marks.append(None), bands.append(None)
                 continue
             least = minima(shingles, a, b)
             marks.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-            signatures.append(_mixed(least.astype(np.uint64)).astype(np.uint8).tobytes())
             key = band_numbers
             for row in least.reshape(BANDS, ROWS).T:
                 key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + row.astype(np.uint64))
             bands.append(key.astype(np.int64))
         return pa.RecordBatch.from_arrays(
             [doc_ids, pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-             pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "fingerprint", "signature", "bands"],
+             pa.array(bands, pa.list_(pa.int64()))],
+            names=["doc_id", "n_shingles", "fingerprint", "bands"],
         )
 
     return in_batches(
         docs, sketch,
-        "doc_id long, n_shingles long, fingerprint binary, signature binary, bands array<long>",
+        "doc_id long, n_shingles long, fingerprint binary, bands array<long>",
         F.col("doc_id").cast("long"), whole("text"),
     )
 
@@ -239,7 +236,7 @@ def _lane_pairs(members: DataFrame, still: DataFrame, lane: int, percent: int) -
 
 def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """Pairs whose signatures do not rule the similarity out: ``u, v, agreement``."""
-    count = BANDS * ROWS
+    count = SIGNATURE
     least = similarity - _MARGIN * (similarity * (1 - similarity) / count) ** 0.5
 
     def agreeing(u, v, first, second):
@@ -259,6 +256,20 @@ def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def _signatures(sets: DataFrame) -> DataFrame:
+    """``node, signature``: one byte of each of many minima, other ones than the bands'."""
+    a, b = (x[BANDS * ROWS :] for x in _hash_functions(BANDS * ROWS + SIGNATURE))
+
+    def sign(nodes, shingles):
+        found = [
+            _mixed(minima(np.asarray(s, np.int64).view(np.uint64), a, b).astype(np.uint64)).astype(np.uint8).tobytes()
+            for s in (one.values.to_numpy() for one in shingles)
+        ]
+        return pa.RecordBatch.from_arrays([nodes, pa.array(found, pa.binary())], names=["node", "signature"])
+
+    return in_batches(sets, sign, "node long, signature binary", F.col("node"), F.col("shingles"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs that share at least ``percent`` of their joint shingles."""
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("xu"))
@@ -315,7 +326,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     nodes = written(
         known.join(same.withColumnRenamed("fingerprint", "own"),
                    (F.col("fingerprint") == F.col("own")) & (F.col("doc_id") == F.col("node")))
-        .select("node", "signature", "bands").dropDuplicates(["node", "signature"]), "nodes",
+        .select("node", "fingerprint", "bands").dropDuplicates(["node", "fingerprint"]), "nodes",
     )
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = (
@@ -329,7 +340,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     sets = written(_sets(docs, members, words), "sets")
     percent = round(100 * similarity)
     sized = _sized(sets, percent)
-    near = written(nodes.join(sized, "node", "left_semi").select("node", "signature"), "signatures")
+    near = written(_signatures(sets.join(sized.select("node").distinct(), "node", "left_semi")), "signatures")
     buckets = written(buckets.join(sized, "node").select("key", "node", "n", "own"), "buckets")
 
     components, links = None, []
