@@ -7,35 +7,38 @@ itself.  Texts with other white space at such a place are given to the encoder w
 """
 
 import re
+import struct
 from collections.abc import Callable
 
-import numpy as np
-
 _UNEVEN = re.compile(r"\s\s|\A[^\S ]|\s\Z")
 
 
 class ChunkMemory:
     """``encode`` maps a list of strings to a list of id lists; results are 4-byte ids in bytes."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 200_000):
-        self._encode, self._most, self._known = encode, most, {}
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 150_000):
+        self._encode, self._most, self._known, self._older = encode, most, {}, {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > self._most:
-            self._known.clear()
-        known, cut, fresh = self._known, [], {}
+        if len(self._known) > self._most:  # what is still in use comes back from the older half
+            self._known, self._older = {}, self._known
+        known, older, cut, fresh = self._known, self._older, [], {}
         for text in texts:
             chunks = self._chunks(text)
             cut.append(chunks)
             for chunk in chunks:
                 if chunk not in known:
-                    fresh[chunk] = None
+                    found = older.get(chunk)
+                    if found is None:
+                        fresh[chunk] = None
+                    else:
+                        known[chunk] = found
         once = {}
         if fresh:
             new = list(fresh)
             for chunk, ids in zip(new, self._encode(new)):
                 # long pieces hardly come again, and would fill the memory
-                (known if len(chunk) <= 40 else once)[chunk] = np.array(ids, "<u4").tobytes()
+                (known if len(chunk) <= 40 else once)[chunk] = struct.pack(f"<{len(ids)}I", *ids)
         if once:
             return [b"".join([known[c] if c in known else once[c] for c in chunks]) for chunks in cut]
         return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]

@@ -13,6 +13,7 @@ Null texts count as empty and hold the end token alone.  Repeated rows are packe
 come.  An empty table gives an empty result.
 """
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -44,13 +45,47 @@ def _memory(path: str) -> ChunkMemory:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    by_rank = _by_rank(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
+        if by_rank is not None:
+            return [by_rank.encode_ordinary(text) for text in texts]
         return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     return ChunkMemory(encode)
 
 
+def _by_rank(path: str):
+    """The same vocabulary as an encoder by ranks, four times as fast, where ids are ranks.
+
+    That is so if it is a plain byte-level BPE whose ids after the single bytes follow its merges;
+    any other file gives None and is left to its own library.
+    """
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    model, before = described["model"], described.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE" and before.get("type") == "ByteLevel" and not described.get("normalizer")
+        and not before.get("add_prefix_space") and before.get("use_regex", True)
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    )
+    if not plain:
+        return None
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in shown}  # how byte-level vocabularies write their bytes
+    letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+    special = {token["content"] for token in described.get("added_tokens", ())}
+    ids = {token: i for token, i in model["vocab"].items() if token not in special}
+    merged = [ids.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    if None in merged or merged != sorted(merged) or len(merged) + 256 != len(ids):
+        return None
+    ranks = {bytes(letters[c] for c in token): i for token, i in ids.items()}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; only the first may be shorter."""
     first = length % capacity or capacity
