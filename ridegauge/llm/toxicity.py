@@ -184,9 +184,10 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
         for texts in parts:
             blocks = []
             for at in range(0, len(texts), 512):
-                x = np.array([chain.row(t, memory) for t in texts[at : at + 512]])
-                blocks.append(chain.probabilities(x.reshape(-1, len(chain.places))))
-            yield pd.DataFrame(np.concatenate(blocks), columns=names)
+                part = texts[at : at + 512]
+                x = np.array([chain.row(t, memory) for t in part]).reshape(len(part), len(chain.places))
+                blocks.append(chain.probabilities(x))
+            yield pd.DataFrame(np.concatenate(blocks) if blocks else [], columns=names, dtype=float)
 
     return docs.withColumn("toxicity", score(whole("text")))
 
