@@ -60,8 +60,6 @@ class KeyedTable:
         if not parts:
             return self.spark.createDataFrame([], self.schema)
         versions = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        if len(batches) == 1 and not folded:
-            return versions.drop(_BATCH)
         return latest_by(versions, list(self.keys), _BATCH).drop(_BATCH)
 
     def _rows(self, generation: int) -> str:

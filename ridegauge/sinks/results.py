@@ -10,9 +10,12 @@ from ridegauge.functions.envelope import encode
 
 @dataclass(frozen=True)
 class Result:
-    """``message`` names the record type; ``message_key`` is an expression over the report."""
+    """``message`` names the record type; ``message_key`` is an expression over the report.
 
-    topic: str
+    A report without a topic is kept in its table only.
+    """
+
+    topic: str | None
     table: str
     key: str
     message: str
@@ -22,7 +25,7 @@ class Result:
 # Topics, tables, keys and record names of the reports.
 RESULTS = {
     "operators_list": Result("req1-topic", "operators", "operator", "Operator", "null"),
-    "routes_latest": Result("routes-topic", "req3", "id", "Route", "concat('route_', id)"),
+    "routes_latest": Result(None, "req3", "id", "Route", "concat('route_', id)"),
     "passengers_per_route": Result("req4-topic", "req4", "id", "Number", "id"),
     "available_seats_per_route": Result("req5-topic", "req5", "id", "Number", "id"),
     "occupancy_per_route": Result("req6-topic", "req6", "routeId", "RouteOccupancy", "routeId"),
@@ -46,4 +49,6 @@ RESULTS = {
 def as_messages(report: DataFrame, name: str) -> DataFrame:
     """``key, value`` messages of a report."""
     result = RESULTS[name]
+    if result.topic is None:
+        raise ValueError(f"{name} is kept in table {result.table}, and sent to no topic")
     return encode(report, result.message, F.expr(result.message_key))

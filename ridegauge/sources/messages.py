@@ -1,6 +1,7 @@
 """Routes, trips and operators from topics, message files and databases."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridegauge.functions.envelope import decode
@@ -29,23 +30,47 @@ def topic(spark: SparkSession, name: str, servers: str, stream: bool = False, **
     return raw.selectExpr("value", "offset AS seq", "timestamp AS ts")
 
 
-def records(messages: DataFrame, schema: T.StructType, key: str, strict: bool = False) -> DataFrame:
-    """Decoded messages with their position and time; null and unreadable ones are left out."""
+def records(
+    messages: DataFrame, schema: T.StructType, key: str | None = None, strict: bool = False
+) -> DataFrame:
+    """Decoded messages with their position and time.
+
+    Null messages, and those without any field of ``schema``, are left out (see ``unreadable``);
+    with ``strict`` a malformed one raises.  Rows that lack a field are kept, as each report leaves
+    out only what its own grouping needs; name a ``key`` to leave out rows without that field.
+    """
     keep = tuple(c for c in ("seq", "ts") if c in messages.columns)
-    return known(decode(messages, schema, keep=keep, strict=strict), key)
+    decoded = decode(messages, schema, keep=keep, strict=strict)
+    if key is not None:
+        return known(decoded, key)
+    return decoded.dropna("all", subset=schema.fieldNames())
+
 
+def unreadable(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages, as they came, that are not null and that ``records`` leaves out."""
+    wanted = T.StructType([T.StructField("payload", schema)])
+    payload = F.from_json(F.col("value").cast("string"), wanted)["payload"]
+    empty = F.coalesce(*(payload[name].cast("string") for name in schema.fieldNames())).isNull()
+    return messages.filter(F.col("value").isNotNull() & empty)
 
-def routes(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
+
+def routes(
+    spark: SparkSession, servers: str, stream: bool = False, strict: bool = False, **options: str
+) -> DataFrame:
     """Published routes; a table read returns what the topic holds now."""
-    return records(topic(spark, ROUTES_TOPIC, servers, stream, **options), ROUTE, "id")
+    return records(topic(spark, ROUTES_TOPIC, servers, stream, **options), ROUTE, strict=strict)
 
 
-def trips(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
-    return records(topic(spark, TRIPS_TOPIC, servers, stream, **options), TRIP, "id")
+def trips(
+    spark: SparkSession, servers: str, stream: bool = False, strict: bool = False, **options: str
+) -> DataFrame:
+    return records(topic(spark, TRIPS_TOPIC, servers, stream, **options), TRIP, strict=strict)
 
 
-def operators(spark: SparkSession, servers: str, stream: bool = False, **options: str) -> DataFrame:
-    return records(topic(spark, OPERATORS_TOPIC, servers, stream, **options), OPERATOR, "operator")
+def operators(
+    spark: SparkSession, servers: str, stream: bool = False, strict: bool = False, **options: str
+) -> DataFrame:
+    return records(topic(spark, OPERATORS_TOPIC, servers, stream, **options), OPERATOR, strict=strict)
 
 
 def message_files(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
