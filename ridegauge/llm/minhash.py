@@ -7,8 +7,9 @@
 3. Bands of minima are bucket keys.  Buckets of one node are dropped.
 4. Links are found in rounds.  A round compares the nodes of a bucket with few *pivots* of it, so a
    bucket makes at most ``PIVOTS`` times as many pairs as it has nodes, and pairs within a component
-   found so far are never made, nor pairs whose sizes and own shingles (those no other candidate has)
-   rule the similarity out.  The first two rounds keep one pivot per node, the most similar by
+   found so far are never made, nor pairs whose profiles rule the similarity out: a profile counts
+   a set's shingles that some other candidate has, by ranges of their hashes, and two sets share at
+   most the smaller count of each range.  The first two rounds keep one pivot per node, the most similar by
    signature; by then large groups have become components.  After that every node outside the
    largest component of its bucket is a pivot once, in lanes of about ``PIVOTS``, until no bucket
    holds an untested pair of two components.
@@ -38,6 +39,7 @@ from ridegauge.session import written
 BANDS, ROWS = 42, 6
 SIGNATURE = 768
 PIVOTS = 64
+RANGES = 32
 _MARGIN = 5.5
 
 
@@ -172,7 +174,7 @@ def _labelled(buckets: DataFrame, components: DataFrame | None) -> DataFrame:
     named = components.select(F.col("node").alias("named"), "component")
     return (
         buckets.join(named, buckets["node"] == named["named"], "left")
-        .select("key", "node", "n", "own", F.coalesce("component", "node").alias("label"))
+        .select("key", "node", "n", "own", "profile", F.coalesce("component", "node").alias("label"))
     )
 
 
@@ -192,12 +194,14 @@ def _open_buckets(members: DataFrame) -> DataFrame:
 
 
 def _possible(percent: int) -> Column:
-    """Whether a node and a pivot can be similar enough at all, by their sizes and own shingles.
+    """Whether a node and a pivot can be similar enough at all, by their sizes and profiles."""
+    def enough(shared: Column) -> Column:  # shared >= percent of (n + pivot_n - shared)
+        return F.lit(100 + percent).cast("long") * shared >= F.lit(percent).cast("long") * (F.col("n") + F.col("pivot_n"))
 
-    What a node shares with any other is at most its shingles that some other node has too.
-    """
-    shared = F.least(F.col("n") - F.col("own"), F.col("pivot_n") - F.col("pivot_own"))
-    return 100 * shared >= percent * (F.col("n") + F.col("pivot_n") - shared)
+    by_range = (F.least(F.col("profile")[i], F.col("pivot_profile")[i]) for i in range(RANGES))
+    # the shorter condition first; both stay small enough for Java to compile
+    at_most = F.least(F.col("n") - F.col("own"), F.col("pivot_n") - F.col("pivot_own"))
+    return enough(at_most) & enough(sum(by_range, F.lit(0)))
 
 
 def _met(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
@@ -214,9 +218,9 @@ def _star_pairs(members: DataFrame, salt: int, percent: int) -> DataFrame:
     order = F.col("own") if salt == 0 else F.xxhash64("node", F.lit(salt))
     pivots = (
         members.groupBy(F.col("key").alias("at"))
-        .agg(F.min(F.struct(order.alias("order"), "node", "label", "n", "own")).alias("p"), F.count("*").alias("many"))
+        .agg(F.min(F.struct(order.alias("order"), "node", "label", "n", "own", "profile")).alias("p"), F.count("*").alias("many"))
         .filter("many > 1")
-        .selectExpr("at", "p.node AS pivot", "p.label AS pivot_label", "p.n AS pivot_n", "p.own AS pivot_own")
+        .selectExpr("at", "p.node AS pivot", "p.label AS pivot_label", "p.n AS pivot_n", "p.own AS pivot_own", "p.profile AS pivot_profile")
     )
     return _met(members, pivots, percent)
 
@@ -227,7 +231,7 @@ def _lane_pairs(members: DataFrame, still: DataFrame, lane: int, percent: int) -
     pivots = (
         members.join(still.filter(lanes > lane), F.col("key") == F.col("at"))
         .filter((F.col("label") != F.col("largest")) & (F.pmod(F.xxhash64("node"), lanes) == lane))
-        .selectExpr("at", "node AS pivot", "label AS pivot_label", "n AS pivot_n", "own AS pivot_own")
+        .selectExpr("at", "node AS pivot", "label AS pivot_label", "n AS pivot_n", "own AS pivot_own", "profile AS pivot_profile")
     )
     return _met(members, pivots, percent).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
@@ -282,34 +286,59 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _by_range(shingles: np.ndarray) -> np.ndarray:
+    return np.bincount(shingles & (RANGES - 1), minlength=RANGES).astype(np.int32)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node, shingles, n, ranges, mark``: sets, sizes, shingles in each hash range, the set's hash."""
+
     def shingles(doc_ids, texts):
         found = [shingle_set(text, words).astype(np.int64) for text in texts.to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [doc_ids, pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"]
+            [doc_ids, pa.array(found, pa.list_(pa.int64())), pa.array(map(len, found), pa.int32()),
+             pa.array(map(_by_range, found), pa.list_(pa.int32())),
+             pa.array((xxhash.xxh3_64_intdigest(one.tobytes()) >> 1 for one in found), pa.int64())],
+            names=["node", "shingles", "n", "ranges", "mark"],
         )
 
     chosen = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
     return in_batches(
-        chosen, shingles, "node long, shingles array<long>", F.col("doc_id").cast("long"), whole("text")
+        chosen, shingles, "node long, shingles array<long>, n int, ranges array<int>, mark long",
+        F.col("doc_id").cast("long"), whole("text"),
     )
 
 
 def _sized(sets: DataFrame, percent: int) -> DataFrame:
-    """``node, n, own``: sizes, and how many shingles no other set here has; without the hopeless.
+    """``node, n, own, profile``, without the hopeless.
 
-    A node of which more shingles are its own than similarity allows is linked with nothing, whatever
-    it is compared with.  That settles most nodes that look alike without being alike enough.
+    ``own`` counts the shingles no other set here has, ``profile`` the others by hash range.  A node
+    of which more shingles are its own than similarity allows is linked with nothing, whatever it is
+    compared with.  That settles most nodes that look alike without being alike enough.
     """
     alone = (
-        sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle")
-        .agg(F.count("*").alias("sets"), F.min("node").alias("of")).filter("sets = 1")
-        .groupBy("of").agg(F.count("*").alias("own"))
+        sets.select("mark", F.explode("shingles").alias("shingle")).groupBy("shingle")
+        .agg(F.count("*").alias("sets"), F.min("mark").alias("of")).filter("sets = 1")
+        .groupBy("of").agg(F.collect_list(F.col("shingle").bitwiseAND(RANGES - 1).cast("tinyint")).alias("alone"))
     )
+
+    def profiled(nodes, n, ranges, alone):
+        found = [
+            np.asarray(all_of, np.int32) - _by_range(np.asarray(own or [], np.int64))
+            for all_of, own in zip(ranges.to_pylist(), alone.to_pylist())
+        ]
+        own = [size - int(shared.sum()) for size, shared in zip(n.to_pylist(), found)]
+        return pa.RecordBatch.from_arrays(
+            [nodes, n, pa.array(own, pa.int32()), pa.array(found, pa.list_(pa.int32()))],
+            names=["node", "n", "own", "profile"],
+        )
+
+    joined = sets.select("node", "n", "ranges", "mark").join(alone, F.col("mark") == F.col("of"), "left")
     return written(
-        sets.select("node", F.size("shingles").alias("n")).join(alone, F.col("node") == F.col("of"), "left")
-        .select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
-        .filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "sizes",
+        in_batches(
+            joined, profiled, "node long, n int, own int, profile array<int>", F.col("node"), F.col("n"),
+            F.col("ranges"), F.col("alone"),
+        ).filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")), "sizes",
     )
 
 
@@ -341,7 +370,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     percent = round(100 * similarity)
     sized = _sized(sets, percent)
     near = written(_signatures(sets.join(sized.select("node").distinct(), "node", "left_semi")), "signatures")
-    buckets = written(buckets.join(sized, "node").select("key", "node", "n", "own"), "buckets")
+    buckets = written(buckets.join(sized, "node").select("key", "node", "n", "own", "profile"), "buckets")
 
     components, links = None, []
 
