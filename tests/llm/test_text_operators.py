@@ -176,6 +176,15 @@ def test_near_copies_chain(spark):
     assert got == {5: 5, **{90 - i: 81 for i in range(10)}}
 
 
+def test_near_copies_of_a_repeated_id(spark):
+    def text(name, changed=0):
+        return " ".join([f"{name}{i}" for i in range(200 - changed)] + [f"z{name}{i}" for i in range(changed)])
+
+    rows = [(1, text("a")), (1, text("b")), (2, text("a", 10)), (3, text("b", 10)), (4, text("a", 80)), (5, text("c"))]
+    got = {r.doc_id: r.component_id for r in minhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+
+
 def test_top_k_leaves_out_what_cannot_take_part(spark):
     rows = [(0, [1.0, 0.0]), (20, None), (1, [0.5, None]), (2, [float("nan"), 1.0]), (3, [2.0, 1.0]), (4, [2.0, -1.0]), (4, [2.0, -1.0])]
     vectors = topk.whole_components(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
