@@ -252,8 +252,12 @@ def _stream_trips_enriched(spark: SparkSession, folder: str) -> DataFrame:
     trips = tables.trips_of_events(tables.event_stream(spark, folder)).select(
         "id", "routeId", "transportType"
     )
-    latest = state.latest_routes(tables.event_routes(spark, folder), "transportType", "operator")
-    return live.append_all(live.enriched_trips(trips, latest, "transportType", "operator"))
+    kept = work_folder(spark, "enriched")
+    attributes = ("transportType", "operator")
+    live.enrich(
+        trips, lambda: state.latest_routes(tables.event_routes(spark, folder), *attributes), kept, *attributes
+    ).awaitTermination()
+    return live.enriched(spark, kept).filter("known_route").drop("known_route")
 
 
 STREAM_QUERIES: dict[str, Query] = {

@@ -19,6 +19,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     **STREAM_SETTINGS,
 }
 
@@ -85,8 +86,29 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def finished_writes(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the folders in ``folder`` that a write has completed."""
-    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*/_SUCCESS")
-    files = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
-    return [mark.getPath().getParent().getName() for mark in files or []]
+_MARK = "_written_by_"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path``, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def mark(spark: SparkSession, folder: str, run: str) -> None:
+    """Note in ``folder`` that ``run`` has finished writing it."""
+    files, place = _files(spark, f"{folder}/{_MARK}{run}")
+    files.create(place, True).close()
+
+
+def marked(spark: SparkSession, parent: str) -> dict[str, str]:
+    """Names of the marked folders in ``parent``, and the run that wrote each."""
+    files, marks = _files(spark, f"{parent}/*/{_MARK}*")
+    paths = [found.getPath() for found in files.globStatus(marks) or []]
+    return {path.getParent().getName(): path.getName().removeprefix(_MARK) for path in paths}
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of written rows, if it is there."""
+    files, place = _files(spark, folder)
+    files.delete(place, True)

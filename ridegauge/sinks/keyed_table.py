@@ -1,9 +1,10 @@
 """Result tables that hold the last row written for each key.
 
 A batch writes only its own rows, to a folder of its own; nothing is rewritten in place, so a
-batch that fails half-way or runs twice changes nothing.  Readers see a batch once its write has
-finished.  Before every ``fold_every``-th batch the table is folded into one copy, which bounds
-how many batches a reader has to look at.
+batch that fails half-way or runs twice changes nothing.  A mark of the table's own, named after
+the run, follows each finished write; readers see what is marked.  Before every ``fold_every``-th
+batch the table is folded into one copy, which bounds how many batches a reader has to look at.
+The copy before the last and its batches stay for readers that have begun; older ones are removed.
 """
 
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridegauge.operators.keyed import latest_by
-from ridegauge.session import finished_writes
+from ridegauge.session import mark, marked, removed
 
 _BATCH = "upsert_batch"
 
@@ -29,21 +30,32 @@ class KeyedTable:
     schema: T.StructType
     fold_every: int = 50
 
-    def upsert(self, rows: DataFrame, batch: int) -> None:
-        """Write the rows of one batch, one row per key.  Batch numbers grow.
+    def upsert(self, rows: DataFrame, batch: int, run: str = "only") -> None:
+        """Write the rows of one batch.  Batch numbers grow, and belong to one ``run``.
 
         A batch that is already there is left alone; its rows are still computed, because a stream
-        that repeats a batch has to write its state.  New columns are added to the table.
+        that repeats a batch has to write its state.  New columns are added to the table.  The
+        batch numbers of another run (a stream on a new checkpoint) say nothing about the batches
+        that are here, so it needs a table of its own and gets an error.
         """
         generation = batch // self.fold_every
-        folded = self._last_fold()
+        folds, folded = self._folds(), self._last_fold()
+        others = {*folds.values(), *self._marked(folded).values()} - {run}
+        if others:
+            raise ValueError(f"{self.path} holds batches of run {others.pop()}, not of {run}")
         if generation < folded or batch in self._batches(generation):
             rows.write.format("noop").mode("overwrite").save()
             return
         if generation > folded:
             self.read().write.mode("overwrite").parquet(self._fold(generation))
+            mark(self.spark, self._fold(generation), run)
+            for old in [0, *folds]:
+                if old < folded:
+                    removed(self.spark, self._rows(old))
+                    removed(self.spark, self._fold(old))
         target = f"{self._rows(generation)}/{_BATCH}={batch}"
         rows.hint("rebalance").write.mode("overwrite").parquet(target)
+        mark(self.spark, target, run)
 
     def read(self) -> DataFrame:
         """The current rows."""
@@ -68,9 +80,16 @@ class KeyedTable:
     def _fold(self, generation: int) -> str:
         return f"{self.path}/folds/{generation}"
 
+    def _folds(self) -> dict[int, str]:
+        found = marked(self.spark, f"{self.path}/folds")
+        return {int(name): run for name, run in found.items()}
+
     def _last_fold(self) -> int:
-        return max(map(int, finished_writes(self.spark, f"{self.path}/folds")), default=0)
+        return max(self._folds(), default=0)
+
+    def _marked(self, generation: int) -> dict[int, str]:
+        found = marked(self.spark, self._rows(generation))
+        return {int(name.partition("=")[2]): run for name, run in found.items()}
 
     def _batches(self, generation: int) -> list[int]:
-        names = finished_writes(self.spark, self._rows(generation))
-        return sorted(int(name.partition("=")[2]) for name in names)
+        return sorted(self._marked(generation))

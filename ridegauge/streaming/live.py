@@ -44,13 +44,40 @@ def keyed_table(spark: SparkSession, updates: DataFrame, path: str, *keys: str)
     return KeyedTable(spark, path, keys, updates.schema)
 
 
-def enriched_trips(trips: DataFrame, latest: DataFrame, *attributes: str) -> DataFrame:
-    """A stream of trips with attributes of their route, as an append-mode stream.
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of the stream that a checkpoint belongs to; a new checkpoint has a new one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
-    ``latest`` is a table; each trip meets the route as the table holds it when the trip comes in.
+
+def enrich(
+    trips: DataFrame, latest: Callable[[], DataFrame], folder: str, *attributes: str, every: str | None = None
+) -> StreamingQuery:
+    """Write a stream of trips with attributes of their route; ``enriched`` reads them.
+
+    ``latest()`` is the route table.  It is asked anew for each batch, so a trip meets the route as
+    the table holds it when the trip comes in.  A trip on a route that is not there yet is kept,
+    without attributes and with ``known_route`` false.  A repeated batch replaces its own rows.
     """
-    route = latest.select(F.col("id").alias("routeId"), *attributes)
-    return known(trips.drop(*attributes), "routeId").join(route, "routeId")
+    bare = known(trips.drop(*attributes), "routeId")
+    checkpoint = f"{folder}/checkpoint"
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        route = latest().select(F.col("id").alias("routeId"), *attributes, F.lit(True).alias("known_route"))
+        joined = rows.join(route, "routeId", "left").fillna(False, ["known_route"])
+        target = f"{folder}/rows/{_run_of(rows.sparkSession, checkpoint)}-{batch}"
+        joined.write.mode("overwrite").parquet(target)
+
+    writer = bare.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+    return writer.trigger(**_trigger(every)).start()
+
+
+def enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips that ``enrich`` has written so far."""
+    return spark.read.parquet(f"{folder}/rows/*")
+
+
+def _trigger(every: str | None) -> dict[str, str | bool]:
+    return {"processingTime": every} if every else {"availableNow": True}
 
 
 def maintain(
@@ -64,11 +91,11 @@ def maintain(
 
     Runs each ``every`` (say ``1 minute``), or without it once over all that is there now.
     ``then(table, batch)`` follows each batch, to write reports on the table elsewhere; a batch
-    that is repeated after a failure repeats it too.
+    that is repeated after a failure repeats it too.  A stream on a new checkpoint needs a new table.
     """
 
     def apply(rows: DataFrame, batch: int) -> None:
-        table.upsert(rows, batch)
+        table.upsert(rows, batch, _run_of(rows.sparkSession, checkpoint))
         if then:
             then(table, batch)
 
@@ -77,9 +104,8 @@ def maintain(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(apply)
     )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     with stream_settings(updates.sparkSession):
-        return writer.trigger(**trigger).start()
+        return writer.trigger(**_trigger(every)).start()
 
 
 def catch_up(updates: DataFrame, *keys: str) -> KeyedTable:

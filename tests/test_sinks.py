@@ -177,6 +177,34 @@ def test_folding(spark, tmp_path):
     assert {p.name for p in (tmp_path / "table/folds").iterdir()} == {"1", "2"}
     kept.upsert(numbers(spark, (0, -1)), 1)
     assert values(kept.read()) == [(0, 3), (1, 4), (2, 2), (9, 4)]
+    for batch in range(5, 10):
+        kept.upsert(numbers(spark, (batch % 3, batch), (9, batch)), batch)
+    assert values(kept.read()) == [(0, 9), (1, 7), (2, 8), (9, 9)]
+    assert {p.name for p in (tmp_path / "table/folds").iterdir()} == {"3", "4"}
+    assert {p.name for p in (tmp_path / "table/rows").iterdir()} == {"3", "4"}
+
+
+def test_another_run_is_refused(spark, tmp_path):
+    kept = table(spark, tmp_path)
+    kept.upsert(numbers(spark, (1, 1)), 0, "a")
+    for batch in (0, 1, 60):
+        with pytest.raises(ValueError, match="run a"):
+            kept.upsert(numbers(spark, (1, 99), (2, 5)), batch, "b")
+    kept.upsert(numbers(spark, (1, 2)), 60, "a")
+    with pytest.raises(ValueError, match="run a"):
+        kept.upsert(numbers(spark, (1, 99)), 0, "b")
+    assert values(kept.read()) == [(1, 2)]
+
+
+def test_batches_count_without_success_marks(spark, tmp_path):
+    kept = table(spark, tmp_path)
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        kept.upsert(numbers(spark, (1, 10)), 0)
+        kept.upsert(numbers(spark, (2, 20)), 1)
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert values(kept.read()) == [(1, 10), (2, 20)]
 
 
 def test_new_columns_are_added(spark, tmp_path):

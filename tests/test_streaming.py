@@ -209,3 +209,33 @@ def test_failed_batch_is_repeated(spark, log, tmp_path):
     assert values(table.read()) == values(
         state.route_state(*split(tables.table(spark, log, "events")))
     )
+
+
+def test_enrichment_sees_routes_that_came_between_batches(spark, tmp_path):
+    trips = spark.createDataFrame([(1, 1), (2, 2), (3, None)], "id long, routeId long")
+    kept, sent = str(tmp_path / "kept"), str(tmp_path / "trips")
+    known = []
+
+    def latest():
+        return spark.createDataFrame([(i, f"T{i}") for i in known], "id long, transportType string")
+
+    for route in (1, 2):
+        known.append(route)
+        trips.withColumn("id", F.col("id") + 10 * route).coalesce(1).write.mode("append").parquet(sent)
+        stream = spark.readStream.schema(trips.schema).parquet(sent)
+        live.enrich(stream, latest, kept, "transportType").awaitTermination()
+    found = live.enriched(spark, kept).select("id", "routeId", "transportType", "known_route")
+    assert values(found) == [
+        (11, 1, "T1", True), (12, 2, None, False), (21, 1, "T1", True), (22, 2, "T2", True)
+    ]
+
+
+def test_a_new_checkpoint_needs_a_new_table(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1)], "id long, value long")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "rows"))
+    kept = live.keyed_table(spark, stream, str(tmp_path / "table"), "id")
+    live.maintain(stream, kept, str(tmp_path / "a")).awaitTermination()
+    with pytest.raises(Exception, match="holds batches of run"):
+        live.maintain(stream, kept, str(tmp_path / "b")).awaitTermination()
+    assert values(kept.read()) == [(1, 1)]
