@@ -1,14 +1,16 @@
 """Running aggregates in message order, computed in parallel inside a key.
 
-A window over a whole key puts that key into one task.  Here a hot key is cut into ranges of the
-order column; each range is aggregated on its own, the results of the ranges before it are
-carried in, and the window only runs inside a range.
+A window over a whole key puts that key into one task.  Here the order column is cut into ranges
+of ``slice_rows`` positions; each key is aggregated inside each range, the results of the ranges
+before it are carried in, and the window only runs inside a range.  Positions are unique, so no
+window holds more than ``slice_rows`` rows, however large the key and wherever its rows lie.  The
+input is read twice.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridegauge.operators.skew import SLICE_ROWS, SLICES
+SLICE_ROWS = 1 << 20
 
 _INSIDE = {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}
 _ACROSS = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}
@@ -22,32 +24,9 @@ def _combine(kind: str, carried: Column, inside: Column) -> Column:
     return F.coalesce(carried + inside, carried, inside)
 
 
-def _ranges(rows: DataFrame, keys: list[str], order: str, slice_rows: int) -> DataFrame:
-    """``rows`` with ``_slice``: 0 for ordinary keys, the range of ``order`` for hot ones.
-
-    All ranges are equally wide, at most ``SLICES`` of them, so a range of a hot key holds at
-    most ``max(slice_rows, width)`` rows when positions are unique.
-    """
-    counts = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi")
-    )
-    whole = counts.agg(
-        F.struct(
-            F.sum("_n").alias("n"), F.min("_lo").alias("lo"), F.max("_hi").alias("hi")
-        ).alias("whole")
-    ).scalar()
-    limit = F.greatest(F.lit(slice_rows), F.ceil(whole["n"] / SLICES))
-    width = F.greatest(F.lit(slice_rows), F.ceil((whole["hi"] - whole["lo"] + 1) / SLICES))
-    if not keys:
-        place = F.floor((F.col(order) - whole["lo"]) / width)
-        return rows.withColumn("_slice", place.cast("int"))
-    hot = counts.where(F.col("_n") > limit).select(
-        *keys, whole["lo"].alias("_from"), width.cast("bigint").alias("_width")
-    )
-    place = F.floor((F.col(order) - F.col("_from")) / F.col("_width"))
-    return rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slice", F.coalesce(place, F.lit(0)).cast("int")
-    )
+def _ranges(rows: DataFrame, order: str, slice_rows: int) -> DataFrame:
+    """``rows`` with ``_slice``, the range of ``slice_rows`` positions that holds the row."""
+    return rows.withColumn("_slice", F.floor(F.col(order) / slice_rows))
 
 
 def _carried(
@@ -57,8 +36,7 @@ def _carried(
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    hot = rows.where(F.col("_width").isNotNull()) if keys else rows
-    parts = hot.groupBy(*keys, "_slice").agg(
+    parts = rows.groupBy(*keys, "_slice").agg(
         *[_INSIDE[kind](column).alias(f"_part_{name}") for name, (kind, column) in aggs.items()]
     )
     return parts.select(
@@ -83,23 +61,18 @@ def running(
 
     ``aggs`` maps a new column to ``(kind, column)`` with kind count, sum, max or min.  ``order``
     is a unique number such as a message position.  ``attach`` holds one row per key; its columns
-    are joined on in the same shuffle, and rows of other keys are dropped. 
+    are joined on in the same shuffle, and rows of other keys are dropped.
     """
     columns = rows.columns
-    sliced = _ranges(rows, keys, order, slice_rows)
+    sliced = _ranges(rows, order, slice_rows)
     side = _carried(sliced, keys, aggs)
     carries = [f"_carry_{name}" for name in aggs]
     on = [*keys, "_slice"]
-    sliced = sliced.select(*columns, "_slice")
-    if attach is None:
-        joined = sliced.join(side, on, "left")
-        extra = []
-    else:
+    extra = []
+    if attach is not None:
         extra = [c for c in attach.columns if c not in keys]
-        side = attach.join(side, keys, "left").withColumn(
-            "_slice", F.coalesce("_slice", F.lit(0))
-        )
-        joined = sliced.join(side, on, "inner")
+        side = attach.join(side, keys)
+    joined = sliced.join(side, on, "left" if attach is None else "inner")
     inside = Window.partitionBy(*on).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *columns,
@@ -125,10 +98,8 @@ def records(
     are left to be put in order.
     """
     kind = "min" if lowest else "max"
-    sliced = _ranges(rows, keys, order, slice_rows)
+    sliced = _ranges(rows, order, slice_rows)
     side = _carried(sliced, keys, {"best": (kind, value)})
-    if not keys:
-        side = F.broadcast(side)  # one row per range, of which there are SLICES at most
 
     def beats(best: str) -> Column:
         better = F.col(value) < F.col(best) if lowest else F.col(value) > F.col(best)

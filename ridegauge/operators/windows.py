@@ -4,8 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridegauge.operators.keyed import known
-from ridegauge.operators.running import running
-from ridegauge.operators.skew import SLICE_ROWS
+from ridegauge.operators.running import SLICE_ROWS, running
 
 HOUR = "1 hour"
 

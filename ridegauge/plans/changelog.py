@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from ridegauge.functions.occupancy import available_seats, occupancy_pct
 from ridegauge.operators.keyed import first_by, known
-from ridegauge.operators.running import running
-from ridegauge.operators.skew import SLICE_ROWS, only_keys
+from ridegauge.operators.running import SLICE_ROWS, running
 from ridegauge.operators.windows import without_late
 from ridegauge.plans import state
 from ridegauge.session import written
@@ -181,7 +180,7 @@ def operator_with_max_occupancy_changelog(
     The value follows from the trip counts; trips are numbered only on the routes that reach it.
     """
     top = written(_routes_at_the_top(routes, trips), "top-routes")
-    on_top = only_keys(trips, "routeId", top)
+    on_top = written(trips.join(top, "routeId", "left_semi"), "top-trips")
     updates = occupancy_updates(routes, on_top, "operator", slice_rows=slice_rows)
     return first_by(
         known(updates, "operator"), [],

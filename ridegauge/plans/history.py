@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridegauge.operators.keyed import known, latest_by
-from ridegauge.operators.running import records, running
-from ridegauge.operators.skew import SLICE_ROWS
+from ridegauge.operators.running import SLICE_ROWS, records, running
 from ridegauge.plans.changelog import in_open_hour, new_lows, occupancy_updates
 from ridegauge.session import written
 

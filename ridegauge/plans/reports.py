@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from ridegauge.functions.occupancy import available_seats, occupancy_pct, whole_average
 from ridegauge.operators.keyed import first_by, known
-from ridegauge.operators.skew import look_up
 
 
 def _no_id(name: str) -> Column:
@@ -155,11 +154,12 @@ def most_used_type_last_hour(hourly: DataFrame) -> DataFrame:
     )
 
 
-def trips_enriched(trips: DataFrame, latest: DataFrame, spread: str | None = None) -> DataFrame:
+def trips_enriched(trips: DataFrame, latest: DataFrame) -> DataFrame:
     """Trips with origin, destination and type of their route in place of their own.
 
-    ``spread`` names a number that tells trips apart; see ``look_up``.
+    A plain join: adaptive execution broadcasts the routes if they turn out small, and otherwise
+    splits routes with many trips.
     """
     route = latest.select(F.col("id").alias("routeId"), "origin", "destination", "transportType")
     bare = trips.drop("origin", "destination", "transportType")
-    return look_up(known(bare, "routeId"), route, "routeId", spread)
+    return known(bare, "routeId").join(route, "routeId")

@@ -1,4 +1,4 @@
-"""Hot keys: same results as the plain operators, and plans without dangerous steps."""
+"""Keys cut into ranges: same results as plain windows, and plans without dangerous steps."""
 
 import pytest
 from conftest import values
@@ -6,9 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-from ridegauge.operators import skew
-from ridegauge.operators.running import records, running
-from ridegauge.operators.skew import hot_keys, join_on_skewed_key, only_keys
+from ridegauge.operators.running import _ranges, records, running
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,38 +21,14 @@ def facts(spark):
     ).repartition(5).cache()
 
 
-def test_hot_keys(facts):
-    found = {row["key"]: row["_slices"] for row in hot_keys(facts, ["key"], 50).collect()}
-    assert found == {0: 5}
-    assert values(hot_keys(facts, ["key"], 1000)) == []
-
-
-@pytest.mark.parametrize("spread", [None, "seq"])
-def test_skewed_join(spark, facts, spread):
-    dim = spark.range(0, 30).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
-    expected = values(facts.join(dim, "key"))
-    for slice_rows in (7, 50, 1 << 20):
-        got = join_on_skewed_key(facts, dim, "key", spread, slice_rows)
-        assert values(got) == expected
-
-
-def test_look_up_measures_first(spark, facts, monkeypatch):
-    dim = spark.range(0, 30).select(F.col("id").alias("key"), F.lit("n").alias("name"))
-    expected = values(facts.join(dim, "key"))
-    assert skew.fits_in_a_task(dim)
-    assert not skew.fits_in_a_task(dim, limit=100)
-    assert "BroadcastHashJoin" in plan_of(skew.look_up(facts, dim, "key"))
-    assert values(skew.look_up(facts, dim, "key")) == expected
-    monkeypatch.setattr(skew, "fits_in_a_task", lambda df: False)
-    assert "_slice" in plan_of(skew.look_up(facts, dim, "key", "seq"))
-    assert values(skew.look_up(facts, dim, "key", "seq")) == expected
-
-
-def test_copies_of_one_row_are_spread(spark):
-    copies = spark.range(400).select(F.lit(1).cast("bigint").alias("key"))
-    dim = spark.createDataFrame([(1, "x")], "key bigint, name string")
-    joined = join_on_skewed_key(copies, dim, "key", slice_rows=100)
-    assert joined.count() == 400
+def test_no_range_holds_more_than_its_rows(spark):
+    """Positions in two distant bands, as a partition number in the high bits makes them."""
+    band = F.when(F.col("id") < 5000, 0).otherwise(F.lit(1 << 40))
+    rows = spark.range(10_000).select((band + F.col("id")).alias("seq"), F.col("id").alias("v"))
+    largest = _ranges(rows, "seq", 100).groupBy("_slice").count().agg(F.max("count")).first()[0]
+    assert largest <= 100
+    last = running(rows, [], "seq", {"n": ("count", "v")}, slice_rows=100).agg(F.max("n")).first()[0]
+    assert last == 10_000
 
 
 @pytest.mark.parametrize("keys", [[], ["key"]])
@@ -90,11 +64,6 @@ def test_attach_drops_unknown_keys(spark, facts):
         assert got.agg(F.max("n")).first()[0] == facts.where("key = 0").count()
 
 
-def test_only_keys(spark, facts):
-    wanted = spark.createDataFrame([(0,), (5,)], "key bigint")
-    assert values(only_keys(facts, "key", wanted)) == values(facts.where("key in (0, 5)"))
-
-
 def plan_of(df):
     return df._jdf.queryExecution().toString()
 
@@ -150,3 +119,13 @@ def test_one_shuffle_moves_the_numbered_trips(spark):
     window = physical.index("Window ")
     join = physical.index("SortMergeJoin", window)
     assert "Exchange" not in physical[window:join]
+
+
+def test_enriching_writes_no_table_while_planning(spark, monkeypatch):
+    from ridegauge import session
+
+    def fail(*_):
+        raise AssertionError("a table was written")
+
+    monkeypatch.setattr(session, "work_folder", fail)
+    assert "_slice" not in plan_of(registry.queries()["trips_enriched"](spark, SF))
