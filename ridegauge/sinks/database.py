@@ -66,9 +66,11 @@ def upsert(
     keys: list[str],
     chunk: int = 1000,
     mark: str = "%s",
+    connections: int = 32,
 ) -> None:
-    """Send ``rows``, one per key, from all tasks in parallel.
+    """Send ``rows``, one per key, over at most ``connections`` connections in parallel.
 
+    The rows are dealt to that many tasks by a shuffle, so what computes them keeps its own tasks.
     Rows carry full values, so a task that runs twice leaves the same table.
     """
     prepare(connect, table, rows.schema, keys)
@@ -84,7 +86,7 @@ def upsert(
         finally:
             connection.close()
 
-    rows.foreachPartition(send)
+    rows.repartition(connections).foreachPartition(send)
 
 
 def append(rows: DataFrame, url: str, table: str, **properties: str) -> None:

@@ -266,12 +266,14 @@ def test_rows_reach_the_database_in_chunks(spark, tmp_path):
 
     folder = str(tmp_path)
     rows = spark.range(10).select("id", (F.col("id") * 2).alias("value")).repartition(3)
-    database.upsert(rows, lambda: Recorder(folder), "req", ["id"], chunk=2)
+    database.upsert(rows, lambda: Recorder(folder), "req", ["id"], chunk=2, connections=2)
     calls = [call for file in tmp_path.iterdir() for call in json.loads(file.read_text())]
     sent = [tuple(row) for statement, batch in calls for row in batch or []]
     assert sorted(sent) == [(i, 2 * i) for i in range(10)]
     assert max(len(batch) for _, batch in calls if batch) == 2
     assert any(statement.startswith("CREATE TABLE") for statement, _ in calls)
+    senders = [f for f in tmp_path.iterdir() if any(batch for _, batch in json.loads(f.read_text()))]
+    assert len(senders) <= 2
 
 
 def test_work_folder_follows_the_session(spark):
