@@ -45,7 +45,7 @@ FINDERS = {
     "local": r"(?<![0-9A-Za-z.+(-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,4}(?![0-9A-Za-z]|[.-][0-9])",
     "alone": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
     "secret": r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|bearer)"
-              r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{12,256}+",
+              r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{12,}+",
 }
 _FINDS = {"spelled": "email", "local": "phone", "alone": "card"}
 # Cheap tests that a text must pass to have a match at all.

@@ -130,6 +130,16 @@ def test_pii_masks(spark, awkward):
     assert masked[6].endswith("<CARD> <IP>") and masked[1] is None
 
 
+def test_pii_long_secrets(spark):
+    keys = ["".join(f"{chr(97 + (i + j) % 26)}{j % 10}" for j in range(n)) for i, n in enumerate((20, 150, 800, 3_000))]
+    texts = [f"the config says token={key} and no more" for key in keys]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.spans(rows).select("doc_id", *(c.alias(k) for k, c in pii.summary().items())).collect()}
+    assert got == {i: f"secret:16:{22 + len(key)}" for i, key in enumerate(keys)}
+    masked = {r.doc_id: r.text for r in pii.masked(rows, pii.fitted(pii.detected(rows))).collect()}
+    assert set(masked.values()) == {"the config says <SECRET> and no more"}
+
+
 def test_rules(spark, docs):
     got = {r.doc_id: r for r in QUERIES["op3_quality_rules"](spark, SF).collect()}
     for r in docs.collect():
