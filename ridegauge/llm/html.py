@@ -19,6 +19,7 @@ host of their own.  Repeated rows each come out.
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -52,6 +53,11 @@ BOILERPLATE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 _NEVER_BY_CLASS = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+# Class and id names that, as a whole, tell that an article in there is not the page's.
+FIRM = frozenset(
+    "nav navbar navigation menu footer comment comments comment-list comments-area comments-list comment-body "
+    "disqus disqus_thread reply replies respond".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
@@ -66,34 +72,59 @@ def _attributes(raw: str) -> dict[str, str]:
     return {name.lower(): value.strip("\"'") for name, value in _ATTRIBUTE.findall(raw)}
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+def _is_boilerplate(tag: str, attributes: dict[str, str]) -> tuple[bool, bool]:
+    """Whether an element goes with all it holds, and whether only a word in its class or id says so."""
     if tag in DROPPED:
-        return True
+        return True, False
     if not attributes or tag in _NEVER_BY_CLASS:
-        return False
+        return False, False
     if attributes.get("role", "").lower() in ROLES or "hidden" in attributes:
-        return True
+        return True, False
     if attributes.get("aria-hidden", "").lower() == "true" or re.search(
         r"display\s*:\s*none", attributes.get("style", ""), re.I
     ):
-        return True
+        return True, False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-    return not BOILERPLATE.isdisjoint(_NAME.findall(names))
+    if not FIRM.isdisjoint(names.split()):
+        return True, False
+    return False, not BOILERPLATE.isdisjoint(_NAME.findall(names))
 
 
-def blocks(page: str) -> tuple[list[str], bool]:
-    """The blocks of a page that may be text, and whether they come from a marked article."""
-    inside, outside, now = [], [], []
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped, in the article
-    dropped = marked = False
-    at, end = 0, len(page)
+def _kept(found: list[tuple[str, tuple[int, ...], int]]) -> list[tuple[str, int]]:
+    """Blocks that no class word drops, with their articles.
+
+    A class word does not drop an element that holds the page's article (the marked one with most
+    text) or, on a page without a mark, most of the text.
+    """
+    held: Counter = Counter()
+    articles: Counter = Counter()
+    for text, chain, article in found:
+        if article:
+            articles[article] += len(text)
+        for element in chain:
+            held[element] += len(text)
+    if articles:
+        own = max(articles, key=lambda a: (articles[a], -a))
+        void = {element for _, chain, article in found if article == own for element in chain if element < own}
+    else:
+        void = {element for element, n in held.items() if 2 * n > sum(len(text) for text, _, _ in found)}
+    return [(text, article) for text, chain, article in found if void.issuperset(chain)]
+
+
+def marked_blocks(page: str) -> list[tuple[str, bool]]:
+    """The blocks of a page that may be text, and whether each is in a marked article."""
+    found: list[tuple[str, tuple[int, ...], int]] = []  # text, elements with class words, article
+    now = []
+    stack: list[tuple[str, bool, tuple[int, ...], int]] = []  # element, dropped, and as in found
+    dropped, chain, marked = False, (), 0
+    at, end, elements = 0, len(page), 0
 
     def flush() -> None:
         if now:
             text = " ".join(entities.unescape("".join(now)).split())
             now.clear()
             if text:
-                (inside if marked else outside).append(text)
+                found.append((text, chain, marked))
 
     while at < end:
         token = _TOKEN.search(page, at)
@@ -112,8 +143,11 @@ def blocks(page: str) -> tuple[list[str], bool]:
                 flush()
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
+                    outer = stack[depth - 1][1:] if depth else (False, (), 0)
+                    if outer[1:] != (chain, marked):
+                        flush()
                     del stack[depth:]
-                    dropped, marked = stack[-1][1:] if stack else (False, False)
+                    dropped, chain, marked = outer
                     break
             continue
         if tag in RAW and not token[3].endswith("/"):
@@ -125,21 +159,33 @@ def blocks(page: str) -> tuple[list[str], bool]:
             flush()
             if stack and stack[-1][0] == "p":  # a block ends an open paragraph
                 stack.pop()
-                dropped, marked = stack[-1][1:] if stack else (False, False)
+                dropped, chain, marked = stack[-1][1:] if stack else (False, (), 0)
         elif tag == "br":
             now.append(" ") if not dropped else None
         if tag in VOID or token[3].endswith("/") and tag not in BLOCKS:
             continue
         attributes = _attributes(token[3]) if token[3].strip() else {}
-        drop = dropped or _is_boilerplate(tag, attributes)
-        if tag in CONTAINERS or drop and not dropped:
-            article = marked or tag in ("article", "main") or attributes.get("role", "").lower() == "main"
-            if drop and not dropped:
+        firm, named = _is_boilerplate(tag, attributes)
+        named = named and not dropped
+        drop = dropped or firm
+        if tag in CONTAINERS or named or drop and not dropped:
+            elements += 1
+            article = marked
+            if not article and (tag in ("article", "main") or attributes.get("role", "").lower() == "main"):
+                article = elements
+            if named or drop and not dropped:
                 flush()
-            stack.append((tag, drop, article))
-            dropped, marked = drop, article
+            stack.append((tag, drop, (*chain, elements) if named else chain, article))
+            dropped, chain, marked = stack[-1][1:]
     flush()
-    return (inside, True) if inside else (outside, False)
+    return [(text, article > 0) for text, article in _kept(found)]
+
+
+def blocks(page: str) -> tuple[list[str], bool]:
+    """The blocks of a page that may be text, and whether they come from a marked article."""
+    found = marked_blocks(page)
+    inside = [text for text, marked in found if marked]
+    return (inside, True) if inside else ([text for text, _ in found], False)
 
 
 # --- repetition over a host -----------------------------------------------------------------

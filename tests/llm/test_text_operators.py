@@ -211,6 +211,17 @@ def test_html_blocks():
     assert html.blocks("") == ([], False)
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout has-sidebar'><main>", "<div id='page' class='sidebar-right'><article>",
+    "<section class='search-result'><div role=main>", "<div class='post share-enabled'><div>",
+])
+def test_html_wrapper(wrapper):
+    rest = "<div class=sidebar><p>more</div><section id=comments><article>a comment, longer than the text of the page</section>"
+    page = f"<body>{wrapper}<p>The text of<p>this page<div class=ad>buy</div></div></div></main>"
+    assert html.blocks(page)[0] == ["The text of", "this page"]
+    assert html.blocks(page.replace("<p>this", f"{rest}<p>this"))[0] == ["The text of", "this page"]
+
+
 def test_html_repetition(spark):
     notice = " ".join(f"n{i}" for i in range(12))
     pages = [(i, "https://h.example/x", f"<body><div>{notice}</div><div>own {i} text</div></body>") for i in range(3)]
