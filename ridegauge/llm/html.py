@@ -1,17 +1,26 @@
-"""Main text of web pages: block structure first, then a suffix array over each host.
+"""Main text of web pages: block structure, then suffix ranks over each host.
 
 A page is cut into blocks.  Blocks inside scripts, navigation, headers, footers, forms, adverts,
-notices, comments and the like are dropped.  If the page marks its article (``<article>``,
-``<main>``, ``role="main"``), the blocks in there are the text, unchanged: an article that is
-repeated elsewhere is still the article.  A page without such a mark is *unsure*: its blocks are
-searched for boilerplate by repetition.
-
-For that the token streams of a host's unsure pages are concatenated and their suffixes ranked by
-prefix doubling until every rank stands for the first ``LENGTH`` tokens.  Each task does so for the
-pages it holds and sends on one row per rank, not per suffix; a grouping by host and prefix merges
-the intervals of all tasks, so a host with a third of all pages is never in one place.  Prefixes
-found in two pages of different content mark the tokens they cover; marked tokens are removed and
-the unique runs between them kept.  Copies of a whole page do not mark each other.
+notices, comments and the like are dropped.  What is left of all pages of a host, marked as article
+(``<article>``, ``<main>``, ``role="main"``) or not, is searched for boilerplate by repetition.
+
+A run of at least ``LENGTH`` tokens of one block that ``SHARE`` of the host's distinct pages have, and
+no fewer than ``LEAST``, is boilerplate and goes; inside a marked article it takes ``MARKED_SHARE``.
+Such a run is a maximal repeat or part of one with the same places, so the tokens that maximal
+repeats cover are those that prefixes of ``LENGTH`` tokens cover if as many pages have them; longer
+ranks would not change them.  Suffixes end at the border of their block.
+
+Near copies of a page count once.  A page's *sketch* is, for each of ``SKETCHES`` hash functions, the
+least hash of its shingles.  The pages that have a run count as the distinct sketches of what these
+pages hold besides the run's block (of the page, if that is all it holds), by the function that gives
+fewest; the pages of a host as the distinct sketches of its pages, by the function that gives most.
+Copies whose shingles differ in part count in that proportion.
+
+The pages of a host are dealt to parts of about ``PART`` characters.  A task ranks the suffixes of its
+part by prefix doubling and names the prefixes that are as frequent there as boilerplate is on the
+host; no boilerplate is rarer than that in all parts.  The places of the named prefixes in all pages of
+the host are then counted.  So a host with a third of all pages is never in one place, and only named
+prefixes are sent on.
 
 Null or empty pages have an empty text.  Hosts are taken from ``url``; pages without a url form a
 host of their own.  Repeated rows each come out.
@@ -32,6 +41,11 @@ from ridegauge.llm.common import whole
 from ridegauge.session import written
 
 LENGTH = 8
+LEAST = 3
+SHARE, MARKED_SHARE = 0.2, 0.5
+SKETCHES = 4
+PART = 1_000_000
+_SHINGLE = 4
 
 # How HTML elements are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,10 +196,9 @@ def marked_blocks(page: str) -> list[tuple[str, bool]]:
 
 
 def blocks(page: str) -> tuple[list[str], bool]:
-    """The blocks of a page that may be text, and whether they come from a marked article."""
+    """The blocks of a page that may be text, and whether any is in a marked article."""
     found = marked_blocks(page)
-    inside = [text for text, marked in found if marked]
-    return (inside, True) if inside else ([text for text, _ in found], False)
+    return [text for text, _ in found], any(marked for _, marked in found)
 
 
 # --- repetition over a host -----------------------------------------------------------------
@@ -206,76 +219,137 @@ def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
     return ranks
 
 
-def _stream(page_blocks: list[str]) -> np.ndarray:
-    return np.array(
-        [xxhash.xxh3_64_intdigest(word) for block in page_blocks for word in block.split()], np.uint64
-    )
+def _tokens(page_blocks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a page's tokens, and the block of each."""
+    words = [block.split() for block in page_blocks]
+    hashes = [xxhash.xxh3_64_intdigest(word) for block in words for word in block]
+    return np.array(hashes, np.uint64), np.repeat(np.arange(len(words)), [len(block) for block in words])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _prefixes(streams: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each stream, the places where a whole prefix starts and the prefixes' hashes.
+def _grams(tokens: np.ndarray, block: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``length`` tokens of one block start, and their hashes."""
+    many = max(0, len(tokens) - length + 1)
+    found = np.zeros(many, np.uint64)
+    for step in range(length):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + tokens[step : step + many]
+    places = np.flatnonzero(block[:many] == block[length - 1 :]) if many else np.empty(0, np.int64)
+    return places, _mixed(found[places]).view(np.int64)
 
-    Suffixes of all streams are ranked together; each distinct prefix is hashed once.
+
+def sketches(tokens: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sketch of a page, and for each block that of the rest of the page.
+
+    A block shorter than a shingle is one shingle.
     """
-    lengths = [len(s) for s in streams]
-    joined = np.concatenate(streams) if streams else np.empty(0, np.uint64)
-    if not len(joined):
-        return [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in streams]
-    ranks = suffix_ranks(joined, LENGTH)
-    first = {}
-    found, start = [], 0
-    for length in lengths:
-        places = np.arange(max(0, length - LENGTH + 1))
-        hashes = []
-        for place in (places + start).tolist():
-            rank = int(ranks[place])
-            if rank not in first:
-                first[rank] = np.int64(
-                    xxhash.xxh3_64_intdigest(joined[place : place + LENGTH].tobytes()) - 2**63
-                )
-            hashes.append(first[rank])
-        found.append((places, np.array(hashes, np.int64)))
-        start += length
-    return found
-
-
-def _host_prefixes(batches):
-    """``host, prefix, low, high``: each task's distinct prefixes with the least and greatest content."""
-    for rows in batches:
-        out = []
-        for host, pages in rows.groupby("host", sort=False):
-            streams = [_stream(list(b)) for b in pages["blocks"]]
-            seen: dict[int, tuple[int, int]] = {}
-            for stream, (_, hashes) in zip(streams, _prefixes(streams)):
-                content = xxhash.xxh3_64_intdigest(stream.tobytes()) - 2**63
-                for prefix in set(hashes.tolist()):
-                    low, high = seen.get(prefix, (content, content))
-                    seen[prefix] = min(low, content), max(high, content)
-            out += [(host, prefix, low, high) for prefix, (low, high) in seen.items()]
-        yield pd.DataFrame(out, columns=["host", "prefix", "low", "high"])
-
-
-def _page_prefixes(batches):
+    places, shingles = _grams(tokens, block, _SHINGLE)
+    where = block[places]
+    starts, sizes = np.unique(block, return_index=True, return_counts=True)[1:]
+    short = [
+        (b, xxhash.xxh3_64_intdigest(tokens[start : start + size].tobytes()))
+        for b, (start, size) in enumerate(zip(starts.tolist(), sizes.tolist())) if size < _SHINGLE
+    ]
+    where = np.concatenate([where, np.array([b for b, _ in short], np.int64)])
+    shingles = np.concatenate([shingles.view(np.uint64), np.array([h for _, h in short], np.uint64)])
+    page = np.zeros(SKETCHES, np.int64)
+    rest = np.zeros((len(starts), SKETCHES), np.int64)
+    if len(starts):
+        for j in range(SKETCHES):
+            hashes = _mixed(shingles ^ np.uint64(0x9E3779B97F4A7C15 * (j + 1) % 2**64))
+            first = int(hashes.argmin())
+            others = hashes[where != where[first]]
+            page[j] = hashes[first : first + 1].view(np.int64)[0]
+            rest[:, j] = page[j]
+            if len(others):
+                rest[where[first], j] = others[others.argmin() :][:1].view(np.int64)[0]
+    return page, rest
+
+
+def named_prefixes(pages: list[list[str]], least: float) -> np.ndarray:
+    """Hashes of the prefixes that at least so many of these pages have, near copies counted once."""
+    found = [_tokens(page) for page in pages]
+    # a border after each block, unlike all tokens and other borders
+    line, keys, starts, size = [], [], [], 0
+    for tokens, block in found:
+        _, rest = sketches(tokens, block)
+        ends = np.flatnonzero(np.diff(block, append=-1))
+        line.append(np.insert(tokens, ends + 1, np.uint64(0)))
+        starts.append(size + np.arange(len(tokens)) + block)
+        keys.append(rest[block])
+        size += len(tokens) + len(ends)
+    line, starts, keys = np.concatenate(line), np.concatenate(starts), np.concatenate(keys)
+    if not len(starts):
+        return np.empty(0, np.int64)
+    ids = np.unique(line, return_inverse=True)[1].astype(np.int64)
+    border = np.ones(len(line), bool)
+    border[starts] = False
+    ids[border] = len(line) + np.arange(border.sum())
+    whole_prefix = starts[np.convolve(border, np.ones(LENGTH, int))[LENGTH - 1 :][starts] == 0]
+    whole_prefix = whole_prefix[whole_prefix + LENGTH <= len(line)]
+    if not len(whole_prefix):
+        return np.empty(0, np.int64)
+    at_start = np.zeros(len(line), np.int64)
+    at_start[starts] = np.arange(len(starts))
+    ranks = suffix_ranks(ids, LENGTH)[whole_prefix]
+    counted = np.full(int(ranks.max()) + 1, len(line))
+    often = np.bincount(ranks)[ranks] >= least
+    ranks, whole_prefix = ranks[often], whole_prefix[often]
+    for j in range(SKETCHES):
+        key = np.unique(keys[at_start[whole_prefix], j], return_inverse=True)[1]
+        pairs = np.unique(ranks * (len(line) + 1) + key)
+        counted = np.minimum(counted, np.bincount(pairs // (len(line) + 1), minlength=len(counted)))
+    one = np.unique(ranks, return_index=True)
+    chosen = whole_prefix[one[1][counted[one[0]] >= least]]
+    hashes = np.zeros(len(chosen), np.uint64)
+    for step in range(LENGTH):
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + line[chosen + step]
+    return _mixed(hashes).view(np.int64)
+
+
+def _named(rows: pd.DataFrame) -> pd.DataFrame:
+    least = max(1.0, rows["need"].iloc[0] * len(rows) / rows["pages"].iloc[0])
+    found = named_prefixes([list(b) for b in rows["blocks"]], least)
+    return pd.DataFrame({"host": rows["host"].iloc[0], "prefix": found})
+
+
+def _places(batches):
+    """``host, prefix, j, sketch``: the named prefixes of each page, with what else the page holds."""
     for rows in batches:
         out = []
-        for row, host, page_blocks in zip(rows["row"], rows["host"], rows["blocks"]):
-            (places, hashes), = _prefixes([_stream(list(page_blocks))])
-            out += [(row, host, prefix, place) for place, prefix in zip(places.tolist(), hashes.tolist())]
-        yield pd.DataFrame(out, columns=["row", "host", "prefix", "place"])
-
-
-def unique_runs(page_blocks: list[str], places: list[int]) -> list[str]:
-    """Blocks without the tokens that prefixes at ``places`` cover."""
-    words = [block.split() for block in page_blocks]
-    covered = np.zeros(sum(map(len, words)) + 1, np.int64)
-    for place in places:
-        covered[place] += 1
-        covered[min(place + LENGTH, len(covered) - 1)] -= 1
+        for host, page_blocks, named in zip(rows["host"], rows["blocks"], rows["named"]):
+            tokens, block = _tokens(list(page_blocks))
+            places, hashes = _grams(tokens, block, LENGTH)
+            here = np.isin(hashes, np.asarray(named, np.int64))
+            if here.any():
+                _, rest = sketches(tokens, block)
+                found = set(zip(hashes[here].tolist(), block[places[here]].tolist()))
+                out += [(host, prefix, j, int(rest[b, j])) for prefix, b in found for j in range(SKETCHES)]
+        yield pd.DataFrame(out, columns=["host", "prefix", "j", "sketch"])
+
+
+def unique_runs(page_blocks: list[str], marks: list[bool], anywhere: np.ndarray, unmarked: np.ndarray) -> list[str]:
+    """Blocks without the tokens that boilerplate covers: of all blocks, and of blocks without a mark."""
+    tokens, block = _tokens(page_blocks)
+    places, hashes = _grams(tokens, block, LENGTH)
+    if not len(places):
+        return page_blocks
+    free = ~np.asarray(marks, bool)[block[places]]
+    covered = np.zeros(len(tokens) + 1, np.int64)
+    starts = places[np.isin(hashes, anywhere) | free & np.isin(hashes, unmarked)]
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, starts + LENGTH, -1)
     gone = np.cumsum(covered) > 0
+    if not gone.any():
+        return page_blocks
     left, at = [], 0
-    for block in words:
-        kept = [word for i, word in enumerate(block, at) if not gone[i]]
-        at += len(block)
+    for text in page_blocks:
+        kept = [word for i, word in enumerate(text.split(), at) if not gone[i]]
+        at += len(text.split())
         if kept:
             left.append(" ".join(kept))
     return left
@@ -289,44 +363,66 @@ def extracted(pages: DataFrame) -> DataFrame:
         for rows in batches:
             for at in range(0, len(rows), 256):
                 part = rows.iloc[at : at + 256]
-                found = [blocks(page) for page in part["html"]]
+                found = [marked_blocks(page) for page in part["html"]]
+                texts = [[text for text, _ in page] for page in found]
                 yield pd.DataFrame({
-                    "row": range(row, row + len(part)), "page_id": part["page_id"].array, "url": part["url"].array,
-                    "blocks": [b if not sure else None for b, sure in found],
-                    "text": ["\n\n".join(b) if sure else None for b, sure in found],
+                    "row": range(row, row + len(part)), "page_id": part["page_id"].array, "url": part["url"].array, "host": part["host"].array,
+                    "blocks": texts, "marks": [[marked for _, marked in page] for page in found],
+                    "size": [sum(map(len, page)) for page in texts],
+                    "sketch": [sketches(*_tokens(page))[0].tolist() for page in texts],
                 })
                 row += len(part)
 
+    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
     parsed = written(
-        pages.select(F.col("page_id").cast("long"), "url", whole("html").alias("html")).mapInPandas(
-            cut, "row long, page_id long, url string, blocks array<string>, text string"
+        pages.select(F.col("page_id").cast("long"), "url", whole("html").alias("html"), host.alias("host")).mapInPandas(
+            cut, "row long, page_id long, url string, host string, blocks array<string>, marks array<boolean>, "
+            "size long, sketch array<long>"
         ), "pages",
     )
-    sure = parsed.filter("text IS NOT NULL").select("page_id", "url", "text")
-    host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
-    unsure = parsed.filter("text IS NULL").select("row", "page_id", "url", host.alias("host"), "blocks")
-    repeated = (
-        unsure.select("host", "blocks").mapInPandas(_host_prefixes, "host string, prefix long, low long, high long")
-        .groupBy(F.col("host").alias("at"), F.col("prefix").alias("p"))
-        .agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("at", "p")
+    distinct = (
+        parsed.select("host", F.posexplode("sketch").alias("j", "sketch")).distinct()
+        .groupBy("host", "j").count().groupBy(F.col("host").alias("of")).agg(F.max("count").alias("distinct"))
+    )
+    hosts = written(
+        parsed.groupBy("host").agg(F.count("*").alias("pages"), F.sum("size").alias("size"))
+        .join(distinct, F.col("host") == F.col("of")).filter(F.col("pages") >= LEAST)
+        .select(
+            F.col("host").alias("at"), "pages", F.ceil(F.col("size") / PART).cast("int").alias("parts"),
+            F.greatest(F.lit(LEAST), SHARE * F.col("distinct")).alias("need"),
+            F.greatest(F.lit(LEAST), MARKED_SHARE * F.col("distinct")).alias("need_marked"),
+        ), "hosts",
+    )
+    named = (
+        parsed.select("row", "host", "blocks").join(hosts, F.col("host") == F.col("at"))
+        .withColumn("part", F.pmod(F.xxhash64("row"), F.greatest("parts", F.lit(1))))
+        .select("host", "part", "blocks", "pages", "need").groupBy("host", "part")
+        .applyInPandas(_named, "host string, prefix long")
+    )
+    of_host = written(named.groupBy(F.col("host").alias("at")).agg(F.collect_set("prefix").alias("named")), "named")
+    counted = (
+        parsed.select("host", "blocks").join(of_host, F.col("host") == F.col("at")).select("host", "blocks", "named")
+        .mapInPandas(_places, "host string, prefix long, j int, sketch long").distinct()
+        .groupBy("host", "prefix", "j").count().groupBy("host", "prefix").agg(F.min("count").alias("n"))
     )
-    marked = (
-        unsure.select("row", "host", "blocks")
-        .mapInPandas(_page_prefixes, "row long, host string, prefix long, place int")
-        .join(repeated, (F.col("host") == F.col("at")) & (F.col("prefix") == F.col("p")), "left_semi")
-        .groupBy(F.col("row").alias("of")).agg(F.collect_list("place").alias("places"))  # one page's places
+    boilerplate = (
+        counted.join(hosts, F.col("host") == F.col("at")).filter("n >= need").groupBy("at").agg(
+            F.collect_list(F.when(F.col("n") >= F.col("need_marked"), F.col("prefix"))).alias("anywhere"),
+            F.collect_list("prefix").alias("unmarked"),
+        )
     )
 
     def keep(batches):
         for rows in batches:
             text = [
-                "\n\n".join(unique_runs(list(b), [] if p is None else list(p)))
-                for b, p in zip(rows["blocks"], rows["places"])
+                "\n\n".join(b if a is None else unique_runs(list(b), m, np.asarray(a, np.int64), np.asarray(u, np.int64)))
+                for b, m, a, u in zip(rows["blocks"], rows["marks"], rows["anywhere"], rows["unmarked"])
             ]
             yield pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": text})
 
-    rest = (
-        unsure.join(marked, F.col("row") == F.col("of"), "left").select("page_id", "url", "blocks", "places")
+    texts = (
+        parsed.join(boilerplate, F.col("host") == F.col("at"), "left")
+        .select("page_id", "url", "blocks", "marks", "anywhere", "unmarked")
         .mapInPandas(keep, "page_id long, url string, text string")
     )
-    return sure.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -230,6 +230,71 @@ def test_html_repetition(spark):
     assert got[1] == ("1 text", 6) and got[9] == ("", 0) and got[8][0] == notice
 
 
+def texts_of(spark, pages):
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html.extracted(rows).collect()}
+
+
+def test_html_repetition_in_articles(spark):
+    notice = " ".join(f"n{i}" for i in range(12))
+    own = {i: " ".join(f"w{i}x{j}" for j in range(40)) for i in range(8)}
+    pages = [
+        (i, "https://h.example/x", f"<article><p>{text}</p><p>{notice}</p></article><p>after {i}</p>")
+        for i, text in own.items()
+    ]
+    assert texts_of(spark, pages) == {i: f"{text}\n\nafter {i}" for i, text in own.items()}
+
+
+@pytest.mark.parametrize("part", [html.PART, 2_000])
+def test_html_against_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(html, "PART", part)
+    draw = np.random.default_rng(4)
+    stock = [" ".join(f"s{i}n{j}" for j in range(n)) for i, n in enumerate((6, 8, 9, 15, 30))]
+    pages = []
+    for i in range(90):
+        body = []
+        for _ in range(draw.integers(0, 5)):
+            words = [" ".join(f"w{x}" for x in draw.integers(0, 300, draw.integers(1, 30)))]
+            words += [stock[x] for x in np.flatnonzero(draw.random(5) < (0.1, 0.3, 0.3, 0.15, 0.05))]
+            body.append(" ".join(draw.permutation(words)))
+        inside = draw.random(len(body)) < 0.5
+        pages.append((i, f"http://h{int(i % 7 // 3)}.example/", "".join(
+            f"<main><p>{b}</p></main>" if m else f"<p>{b}</p>" for b, m in zip(body, inside))))
+    pages += [(100 + i, url, page) for i, url, page in pages[:9]]
+    cut = {i: (url, html.marked_blocks(page)) for i, url, page in pages}
+    having, sketched = {}, {}
+    for url, page in cut.values():
+        whole, rest = html.sketches(*html._tokens([text for text, _ in page]))
+        for j in range(html.SKETCHES):
+            sketched.setdefault((url, j), set()).add(int(whole[j]))
+            for b, (text, _) in enumerate(page):
+                for k in range(len(text.split()) - 7):
+                    having.setdefault((url, tuple(text.split()[k : k + 8]), j), set()).add(int(rest[b, j]))
+    expected, gone = {}, 0
+    for i, (url, page) in cut.items():
+        of_host = max(len(sketched[url, j]) for j in range(html.SKETCHES))
+        left = []
+        for text, mark in page:
+            words, cover = text.split(), set()
+            for k in range(len(words) - 7):
+                n = min(len(having[url, tuple(words[k : k + 8]), j]) for j in range(html.SKETCHES))
+                if n >= max(3, (0.5 if mark else 0.2) * of_host):
+                    cover |= set(range(k, k + 8))
+            gone += len(cover)
+            left.append(" ".join(w for k, w in enumerate(words) if k not in cover))
+        expected[i] = "\n\n".join(filter(None, left))
+    assert gone > 100
+    assert texts_of(spark, pages) == expected
+
+
+def test_html_sketches():
+    a, b, c = ("one two three four five", "six", "seven eight nine ten")
+    page, rest = html.sketches(*html._tokens([a, b, c]))
+    for i, others in enumerate(([b, c], [a, c], [a, b])):
+        assert rest[i].tolist() == html.sketches(*html._tokens(others))[0].tolist()
+    assert page.tolist() == html.sketches(*html._tokens([c, b, a]))[0].tolist()
+
+
 def test_suffix_ranks():
     line = np.array([1, 2, 3, 1, 2, 3, 1, 2])
     ranks = html.suffix_ranks(line, 4)
