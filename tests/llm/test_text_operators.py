@@ -245,6 +245,17 @@ def test_html_repetition_in_articles(spark):
     assert texts_of(spark, pages) == {i: f"{text}\n\nafter {i}" for i, text in own.items()}
 
 
+def test_html_repetition_keeps_what_is_not_boilerplate(spark):
+    notice, quote = (" ".join(f"{c}{i}" for i in range(12)) for c in "nq")
+    own = {i: " ".join(f"w{i}x{j}" for j in range(60)) for i in range(16)}
+    own |= {i: f"{own[i]} {quote}" for i in (3, 5)}
+    own |= {i: " ".join([*own[0].split()[:30], f"other{i}", *own[0].split()[31:]]) for i in range(16, 24)}
+    pages = [
+        (i, "https://h.example/x", f"<div>own {i} text</div><div>{notice}</div><p>{text}</p>") for i, text in own.items()
+    ]
+    assert texts_of(spark, pages) == {i: f"own {i} text\n\n{text}" for i, text in own.items()}
+
+
 @pytest.mark.parametrize("part", [html.PART, 2_000])
 def test_html_against_brute_force(spark, monkeypatch, part):
     monkeypatch.setattr(html, "PART", part)
