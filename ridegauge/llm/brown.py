@@ -4,16 +4,18 @@ A word's probability is P(class | class before) * P(word | class), both from cou
 training texts, smoothed by adding to every count.  A text is its words and one end token; the
 first word follows the end.
 
-What is clustered are *units*: the ``most_units`` most frequent words one by one, and every other
-word, seen in training or not, together with those that end alike (a fixed number of endings).  So
-every word has a class, while the clustering's tables are bounded by the number of units, not by
-the vocabulary.  The exchange works on the unit bigrams of the whole corpus.  In each round Spark
-sums, for every unit, how often each class comes before and after it; half of the units, drawn
-anew each round, may move to the class that raises the likelihood most; a round that lowers it is
-undone.
-
-The word counts themselves stay a distributed table.  Scoring looks up the frequent words in the
-task and joins the rest of a text's words, as counts, with that table.
+Every word of the training texts is clustered, over the word bigrams of all of them.  Words are numbered
+by frequency; a table holds, for each word, which words come before and after it and how often.  In
+each round the tasks sum these by class; a share of the words, drawn anew each round, may move to the
+class that raises the likelihood most.  The ``most_units`` most frequent words are exchanged first,
+then all.  A round that lowers the likelihood is undone and the share halved.  It ends when a round
+of at least half of the words gains less than ``TOLERANCE`` of what all rounds before have gained, or
+after twelve rounds in a row without a gain.
+
+The word counts and neighbours are distributed tables.  The classes of all words, one byte each, are
+on the driver and in every task that exchanges.  Scoring looks up the frequent words in the task and
+joins the rest of a text's words with the table of counts and classes.  A word that was not seen in
+training may be of any class, with the classes' probabilities.
 
 A text's whole probability depends only on its own words, so rows are scored one by one; repeated
 rows are scored as often as they come.  Null texts count as empty (the end token alone).  A row
@@ -21,14 +23,12 @@ without ``doc_id`` has no remainder: it is not held out.  With no training texts
 probability of an unseen one.
 """
 
-import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ from ridegauge.llm.common import whole
 from ridegauge.session import written
 
 END = "\n"  # no word contains white space
-ENDINGS = 512
+TOLERANCE = 0.01
 _SMOOTHING = 0.5
 
 
@@ -77,72 +77,82 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Units:
-    """The words that are units of their own; others go by their ending."""
-
-    number: dict[bytes, int]
+    """The numbers of words, by frequency."""
 
-    def __len__(self) -> int:
-        return len(self.number) + ENDINGS
+    numbered: DataFrame
 
     def of(self, word: bytes) -> int:
-        found = self.number.get(word)
-        return len(self.number) + zlib.crc32(word[-4:]) % ENDINGS if found is None else found
+        return self.numbered.filter(F.col("word") == word.decode()).first()["id"]
+
 
-    def of_text(self, tokens: list[bytes]) -> np.ndarray:
-        """Units of an end token, the words, and an end token."""
-        get, frequent, crc = self.number.get, len(self.number), zlib.crc32
-        end = self.of(END.encode())
-        inner = [
-            frequent + crc(word[-4:]) % ENDINGS if (found := get(word)) is None else found
-            for word in tokens
-        ]
-        return np.array([end, *inner, end], np.int64)
+def numbered(counts: DataFrame) -> DataFrame:
+    """``word, n, id``: word counts, numbered from the most frequent on."""
+    ordered = written(
+        counts.orderBy(F.desc("n"), "word").withColumn("place", F.monotonically_increasing_id()), "ordered"
+    )
+    part = F.shiftright("place", 33)
+    sizes = ordered.groupBy(part.alias("part")).count().orderBy("part").collect()
+    starts, total = {}, 0
+    for row in sizes:
+        starts[row["part"]] = total - (row["part"] << 33)
+        total += row["count"]
+    start = F.element_at(F.create_map(*(F.lit(x).cast("long") for pair in starts.items() for x in pair)), part.cast("long"))
+    number = F.col("place") + start if starts else F.col("place")
+    return ordered.select("word", "n", number.cast("int").alias("id"))
 
 
-def unit_bigrams(texts: DataFrame, units: Units) -> DataFrame:
-    """``u, v, n``: how often unit v follows unit u, over all texts."""
-    size = len(units)
+def word_bigrams(texts: DataFrame) -> DataFrame:
+    """``u, v, n``: how often the word of hash v follows that of hash u, over all texts."""
 
     def pairs(batches):
+        local: dict[bytes, int] = {}
+        line: list[int] = []
+        ends: list[int] = []
         for batch in batches:
-            waiting, length = [], 0
             for text in batch.column(0).to_pylist():
-                line = units.of_text(words(text))
-                waiting.append(line[:-1] * size + line[1:])
-                length += len(line)
-                if length > 1_000_000:
-                    yield table(waiting)
-                    waiting, length = [], 0
-            if waiting:
-                yield table(waiting)
-
-    def table(waiting: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(waiting), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], names=["pair", "n"])
+                line += [
+                    local.setdefault(w, len(local)) for w in (END.encode(), *words(text), END.encode())
+                ]
+                ends.append(len(line) - 1)
+                if len(line) > 2_000_000:
+                    yield table(local, line, ends)
+                    local, line, ends = {}, [], []
+        if line:
+            yield table(local, line, ends)
+
+    def table(local: dict[bytes, int], line: list[int], ends: list[int]) -> pa.RecordBatch:
+        hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in local], np.uint64).view(np.int64)
+        at = np.array(line, np.int64)
+        pair = np.delete(at[:-1] * len(local) + at[1:], ends[:-1])  # none from a text to the next
+        keys, n = np.unique(pair, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes[keys // len(local)]), pa.array(hashes[keys % len(local)]), pa.array(n, pa.int64())],
+            names=["u", "v", "n"],
+        )
 
     return (
-        texts.select(whole("text")).mapInArrow(pairs, "pair long, n long")
-        .groupBy("pair").agg(F.sum("n").alias("n"))
-        .select(F.floor(F.col("pair") / size).cast("int").alias("u"),
-                (F.col("pair") % size).cast("int").alias("v"), "n")
+        texts.select(whole("text")).mapInArrow(pairs, "u long, v long, n long")
+        .groupBy("u", "v").agg(F.sum("n").alias("n"))
     )
 
 
-def _class_counts(bigrams: DataFrame, classes: np.ndarray, many: int) -> DataFrame:
-    """``unit, side, cls, n``: classes before (side 0) and after (side 1) each unit."""
-
-    def count(batches):
-        for batch in batches:
-            u, v, n = (batch.column(i).to_numpy() for i in range(3))
-            keys = np.concatenate([
-                (v.astype(np.int64) * 2) * many + classes[u],
-                (u.astype(np.int64) * 2 + 1) * many + classes[v],
-            ])
-            keys, place = np.unique(keys, return_inverse=True)
-            total = np.bincount(place, np.concatenate([n, n])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], names=["at", "n"])
-
-    return bigrams.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+def neighbours(bigrams: DataFrame, words_: DataFrame) -> DataFrame:
+    """``id, before, after``: for each word the other words and how often they come there."""
+    number = words_.select(F.xxhash64("word").alias("hash"), "id")
+    pairs = written(
+        bigrams.join(number.select(F.col("hash").alias("u"), F.col("id").alias("first")), "u")
+        .select("first", "v", "n")
+        .join(number.select(F.col("hash").alias("v"), F.col("id").alias("second")), "v")
+        .select("first", "second", "n"), "bigrams",
+    )
+    none = F.lit(None)
+    both = pairs.select(F.col("second").alias("id"), F.struct(F.col("first").alias("w"), "n").alias("before"),
+                        none.cast("struct<w: int, n: bigint>").alias("after")).unionByName(
+        pairs.select(F.col("first").alias("id"), none.cast("struct<w: int, n: bigint>").alias("before"),
+                     F.struct(F.col("second").alias("w"), "n").alias("after")))
+    return both.groupBy("id").agg(F.collect_list("before").alias("before"), F.collect_list("after").alias("after")) \
+        .select("id", F.col("before.w").alias("b"), F.col("before.n").alias("bn"),
+                F.col("after.w").alias("a"), F.col("after.n").alias("an"))
 
 
 def _log(x: np.ndarray) -> np.ndarray:
@@ -156,105 +166,140 @@ def _likelihood(transitions: np.ndarray) -> float:
     )
 
 
-def _best_class(before: np.ndarray, after: np.ndarray, own: int, transitions: np.ndarray) -> tuple[int, float]:
-    """Where a unit with these neighbour classes goes, and what the objective gains by it."""
-    many = len(transitions)
-    # without the unit: its row and column counts leave its class (pairs of the unit with itself
-    # count as pairs with its class)
-    rest = transitions.copy()
-    rest[:, own] -= before
-    rest[own, :] -= after
-    rest = np.maximum(rest, 0)
-    start, end = rest.sum(axis=1), rest.sum(axis=0)
-    mine_before, mine_after = before.sum(), after.sum()
-    gain = (
-        (_log(rest + before[:, None]) - _log(rest)).sum(axis=0)
-        + (_log(rest + after[None, :]) - _log(rest)).sum(axis=1)
-        - (_log(start + mine_after) - _log(start)) - (_log(end + mine_before) - _log(end))
-    )
-    best = int(np.argmax(gain))
-    return best, float(gain[best] - gain[own])
-
+def best_classes(sides: np.ndarray, own: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where units with these classes before and after them go, and what the objective gains by each.
 
-def exchanged(bigrams: DataFrame, frequency: np.ndarray, many: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of units, and the class transition counts, after some rounds of exchange.
-
-    Starts from the most frequent units in a class each and the others dealt by frequency.
+    A unit is taken out first: its row and column counts leave its class (pairs of the unit with
+    itself count as pairs with its class).
+    """
+    units, many = len(sides), len(transitions)
+    before, after = sides[:, :many], sides[:, many:]
+    mine_before, mine_after = before.sum(axis=1, keepdims=True), after.sum(axis=1, keepdims=True)
+    at_own = np.zeros((units, many))
+    at_own[np.arange(units), own] = 1
+    start = np.maximum(transitions.sum(axis=1) - at_own * mine_after, 0)  # pairs before the unit stay in their row
+    end = np.maximum(transitions.sum(axis=0) - at_own * mine_before, 0)
+    gain = _log(start) - _log(start + mine_after) + _log(end) - _log(end + mine_before)
+    # pairs before and after the unit meet where it goes to the class of both
+    twice = np.maximum(np.diag(transitions) - at_own * (before + after), 0)
+    gain += _log(twice + before + after) - _log(twice + before) - _log(twice + after) + _log(twice)
+    for mine, others, counts in ((before, after, transitions), (after, before, transitions.T)):
+        unit, other = np.nonzero(mine)
+        for at in range(0, len(unit), 16_384):
+            k, g = unit[at : at + 16_384], other[at : at + 16_384]
+            n = mine[k, g]
+            rest = counts[g]
+            rest[np.arange(len(k)), own[k]] -= n
+            same = g == own[k]
+            rest[same] -= others[k[same]]
+            np.maximum(rest, 0, out=rest)
+            first = np.flatnonzero(np.diff(k, prepend=-1))
+            gain[k[first]] += np.add.reduceat(_log(rest + n[:, None]) - _log(rest), first, axis=0)
+    best = gain.argmax(axis=1)
+    return best, gain.max(axis=1) - gain[np.arange(units), own]
+
+
+def _by_class(rows, side: str, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each neighbour on one side: the row it is of, its class, and how often it comes."""
+    lists, counts = rows.column(side), rows.column(side + "n")
+    row = np.repeat(np.arange(rows.num_rows), np.diff(lists.offsets.to_numpy()))
+    return row, classes[lists.flatten().to_numpy()].astype(np.int64), counts.flatten().to_numpy().astype(float)
+
+
+def exchanged(
+    around: DataFrame, size: int, many: int, rounds: int | None, most_units: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of words, and the class transition counts, once exchange gains little (or after ``rounds``).
+
+    Starts from the most frequent words in a class each and the others dealt by frequency.
     """
-    size = len(frequency)
-    order = np.argsort(-frequency, kind="stable")
-    classes = np.empty(size, np.int64)
-    classes[order] = np.arange(size) % many
+    classes = (np.arange(size) % many).astype(np.uint8 if many <= 256 else np.int32)
     drawn = np.random.default_rng(11)
-    kept = None
-    for turn in range(rounds + 1):
-        counted = written(_class_counts(bigrams, classes, many), "class-counts")
-        transitions = _transitions(counted, classes, many)
-        if kept is None or _likelihood(transitions) > _likelihood(kept[1]):
-            kept = classes, transitions, counted
-        if turn == rounds:
-            break
-        classes, transitions, counted = kept
-        may_move = drawn.random(size) < (0.5 if turn else 1.0)
-        moves = _moves(counted, classes, transitions, may_move, many)
-        if not moves:
-            break
-        classes = classes.copy()
-        classes[list(moves)] = list(moves.values())
-    return kept[0], kept[1]
-
-
-def _transitions(counted: DataFrame, classes: np.ndarray, many: int) -> np.ndarray:
-    """Class bigram counts, from what follows each unit."""
+    transitions = _transitions(around, classes, many)
+    gained, share, turn, failed, first = 0.0, 1.0, 0, 0, min(size, most_units)
+    while size and (rounds is None or turn < rounds):
+        turn += 1
+        among = first if first < size else size
+        may_move = np.zeros(size, bool)
+        may_move[:among] = drawn.random(among) < share
+        ids, to = _moves(around, classes, transitions, may_move, many)
+        moved = classes.copy()
+        moved[ids] = to
+        counted = _transitions(around, moved, many) if len(ids) else transitions
+        gain = _likelihood(counted) - _likelihood(transitions)
+        if gain > 0:
+            classes, transitions, gained = moved, counted, gained + gain
+        failed = 0 if gain > 0 else failed + 1
+        if failed and failed < 12 and (len(ids) or share < 1):
+            share = share / 2 if len(ids) else 1.0
+        elif failed or gain <= TOLERANCE * gained and share >= 0.5:
+            if first == size:
+                break
+            first, share, failed = size, 0.5, 0
+        else:
+            share = min(0.5, 2 * share)
+    return classes, transitions
+
+
+def _transitions(around: DataFrame, classes: np.ndarray, many: int) -> np.ndarray:
+    """Class bigram counts, from what follows each word."""
 
     def summed(batches):
+        total = np.zeros(many * many)
         for rows in batches:
-            at, n = rows["at"].to_numpy(), rows["n"].to_numpy()
-            after = (at // many) % 2 == 1
-            key = classes[at[after] // (2 * many)] * many + at[after] % many
-            total = np.bincount(key, n[after], many * many).astype(np.int64)
-            found = np.flatnonzero(total)
-            yield pd.DataFrame({"k": found, "n": total[found]})
-
-    rows = counted.mapInPandas(summed, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+            row, cls, n = _by_class(rows, "a", classes)
+            own = classes[rows.column("id").to_numpy()].astype(np.int64)
+            total += np.bincount(own[row] * many + cls, n, many * many)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array(total[found].astype(np.int64))], names=["k", "n"]
+        )
+
+    rows = around.select("id", "a", "an").mapInArrow(summed, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
     flat = np.zeros(many * many)
-    flat[rows["k"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
+    for row in rows:
+        flat[row["k"]] = row["n"]
     return flat.reshape(many, many)
 
 
 def _moves(
-    counted: DataFrame, classes: np.ndarray, transitions: np.ndarray, may_move: np.ndarray, many: int
-) -> dict[int, int]:
+    around: DataFrame, classes: np.ndarray, transitions: np.ndarray, may_move: np.ndarray, many: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The words that move, and their new classes."""
+
     def best(batches):
         for rows in batches:
-            moves = []
-            for unit, keys, n in zip(rows["unit"], rows["keys"], rows["n"]):
-                if not may_move[unit]:
-                    continue
-                sides = np.zeros(2 * many)
-                sides[np.asarray(keys, np.int64)] = np.asarray(n, float)
-                to, gain = _best_class(sides[:many], sides[many:], classes[unit], transitions)
-                if gain > 1e-6 and to != classes[unit]:
-                    moves.append((unit, to))
-            yield pd.DataFrame(moves, columns=["unit", "to"], dtype="int64")
-
-    # at most 2 * many entries a unit
-    per_unit = (
-        counted.groupBy(F.floor(F.col("at") / (2 * many)).alias("unit"))
-        .agg(F.collect_list(F.struct((F.col("at") % (2 * many)).alias("k"), "n")).alias("found"))
-        .select("unit", F.col("found.k").alias("keys"), F.col("found.n").alias("n"))
-    )
-    return {row["unit"]: row["to"] for row in per_unit.mapInPandas(best, "unit long, to long").collect()}
+            rows = rows.filter(pa.array(may_move[rows.column("id").to_numpy()]))
+            for at in range(0, rows.num_rows, 2_048):
+                part = rows.slice(at, 2_048)
+                ids = part.column("id").to_numpy()
+                sides = np.zeros(len(ids) * 2 * many)
+                for offset, side in ((0, "b"), (many, "a")):
+                    row, cls, n = _by_class(part, side, classes)
+                    sides += np.bincount(row * 2 * many + offset + cls, n, len(sides))
+                own = classes[ids].astype(np.int64)
+                to, gain = best_classes(sides.reshape(len(ids), -1), own, transitions)
+                go = (gain > 1e-6) & (to != own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[go].astype(np.int32).tobytes()]), pa.array([to[go].astype(np.int32).tobytes()])],
+                    names=["ids", "classes"],
+                )
+
+    found = around.mapInArrow(best, "ids binary, classes binary").collect()
+    return tuple(np.frombuffer(b"".join(bytes(row[c]) for row in found), np.int32) for c in ("ids", "classes"))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Word counts as a table; the rest is bounded by the numbers of units and classes."""
+    """Word counts and classes as a table (``word, n, c``), and what is known of classes.
+
+    The driver holds one byte a word (``classes``, by the word's number); tasks that score do not.
+    """
 
     counts: DataFrame
     tokens: int
     distinct: int
-    frequent: dict[bytes, int]
+    frequent: dict[bytes, tuple[int, int]]
     units: Units
     classes: np.ndarray
     steps: np.ndarray  # log10 of the transition probabilities
@@ -263,114 +308,143 @@ class Model:
 
 
 def fitted(
-    texts: DataFrame, most_units: int = 8_192, many: int = 64, rounds: int = 4, most_frequent: int = 32_768
+    texts: DataFrame, most_units: int = 8_192, many: int = 64, rounds: int | None = None,
+    most_frequent: int = 32_768,
 ) -> Model:
-    """The model of all rows of ``text``."""
-    counts = written(word_counts(texts), "words")
-    totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(most_frequent).collect()
-    frequent = {row["word"].encode(): row["n"] for row in top}
-    units = Units({word: i for i, word in enumerate(list(frequent)[:most_units])})
-    bigrams = written(unit_bigrams(texts, units), "bigrams")
-    frequency = np.zeros(len(units))
-    frequency[: len(units.number)] = list(frequent.values())[:most_units]
-    classes, transitions = exchanged(bigrams, frequency, many, rounds)
+    """The model of all rows of ``text``.
+
+    ``most_units`` words are exchanged before all are, ``most_frequent`` are looked up by tasks.
+    """
+    ordered = written(numbered(word_counts(texts)), "words")
+    totals = ordered.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    around = written(neighbours(word_bigrams(texts), ordered), "neighbours")
+    classes, transitions = exchanged(around, totals["v"], many, rounds, most_units)
     steps = np.log10((transitions + _SMOOTHING) / (transitions.sum(axis=1, keepdims=True) + _SMOOTHING * many))
 
-    def of_class(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_class(batches):
         for rows in batches:
-            yield pd.DataFrame({
-                "c": [classes[units.of(w.encode())] for w in rows["word"]], "n": rows["n"],
-            })
+            own = classes[rows.column("id").to_numpy()].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([rows.column("word"), rows.column("n"), pa.array(own)], names=["word", "n", "c"])
 
-    sizes = counts.mapInPandas(of_class, "c long, n long").groupBy("c").agg(
-        F.sum("n").alias("n"), F.count("*").alias("v")
-    ).collect()
+    counts = written(ordered.mapInArrow(of_class, "word string, n long, c int"), "word-classes")
+    sizes = counts.groupBy("c").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     class_tokens, class_words = np.zeros(many), np.zeros(many)
     for row in sizes:
         class_tokens[row["c"]], class_words[row["c"]] = row["n"], row["v"]
+    top = counts.orderBy(F.desc("n"), "word").limit(most_frequent).collect()
+    frequent = {row["word"].encode(): (row["n"], row["c"]) for row in top}
     return Model(
-        counts, totals["n"] or 0, totals["v"], frequent, units, classes, steps, class_tokens, class_words
+        counts, totals["n"] or 0, totals["v"], frequent, Units(ordered), classes, steps, class_tokens,
+        class_words,
     )
 
 
+class Walks:
+    """log10 of the probability to get from class to class by a number of unseen words."""
+
+    def __init__(self, steps: np.ndarray, emission_of: np.ndarray):
+        self.one = 10.0**steps
+        unseen = _SMOOTHING / 10.0**emission_of
+        self.scale = float(unseen.max())
+        self.by_unseen = (unseen / self.scale)[:, None] * self.one
+        self.known = {0: steps}
+
+    def by(self, unseen: int) -> np.ndarray:
+        if unseen not in self.known:
+            longest = max(x for x in self.known if x < unseen)
+            walk, top = self.known[longest], 0.0
+            for _ in range(unseen - longest):
+                top = float(walk.max())
+                walk = np.log10(10.0 ** (walk - top) @ self.by_unseen) + top + np.log10(self.scale)
+            if len(self.known) < 256:  # longer runs are walked again
+                self.known[unseen] = walk
+            return walk
+        return self.known[unseen]
+
+    def along(self, line: np.ndarray) -> float:
+        """Of classes one after the other, -1 for unseen words; the first and the last have a class."""
+        known = np.flatnonzero(line >= 0)
+        unseen = np.diff(known) - 1
+        from_, to = line[known[:-1]], line[known[1:]]
+        return float(sum(self.by(int(x))[from_[unseen == x], to[unseen == x]].sum() for x in np.unique(unseen)))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """Each row's ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    The part of a row that the task can compute, and its rarer words with their counts, are written
-    once under a number for the row; the words meet the count table in a join, and their sums the
-    row by its number.
+    Rows are written once under a number.  Their rarer words meet the table of counts and classes in a
+    join; what is found comes back to the row by its number and the word's place among its rarer words.
     """
-    classes, units, frequent, steps = model.classes, model.units, model.frequent, model.steps
+    frequent = model.frequent
     base_of = float(np.log10(model.tokens + model.distinct + 1))
     emission_of = np.log10(model.class_tokens + _SMOOTHING * (model.class_words + 1))
+    walks = Walks(model.steps, emission_of)
     end = END.encode()
-    schema = pa.schema([
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
-        ("known", pa.int64()), ("base", pa.float64()), ("model", pa.float64()), ("word", pa.string()),
-        ("times", pa.int64()),
-    ])
-    # every text has its end token, and so at least one row without a word
-    frequent_logs = {
-        w: (np.log10(n + 1), np.log10(n + _SMOOTHING)) for w, n in frequent.items()
-    }
-
-    def parts(batches):
+
+    def rows_of(batches):
         row = TaskContext.get().partitionId() << 33
-        get = frequent_logs.get
         for batch in batches:
-            doc_ids, out, texts = (batch.column(i).to_pylist() for i in range(3))
-            for at in range(0, len(texts), 64):
-                found = []
-                for doc_id, held, text in zip(doc_ids[at : at + 64], out[at : at + 64], texts[at : at + 64]):
-                    tokens = words(text)
-                    line = classes[units.of_text(tokens)]
-                    total = len(tokens) + 1
-                    model_score = float(steps[line[:-1], line[1:]].sum() - emission_of[line[1:]].sum())
-                    base, known, rare = -base_of * total, 0, []
-                    tokens.append(end)
-                    for word, times in Counter(tokens).items():
-                        logs = get(word)
-                        if logs is None:
-                            rare.append((word, times))
-                        else:
-                            base += times * logs[0]
-                            model_score += times * logs[1]
-                            known += times
-                    found.append((row, doc_id, held, total, known, base, model_score, None, None))
-                    found += [(row, None, None, None, None, None, None, w.decode(), t) for w, t in rare]
-                    row += 1
+            numbers = pa.array(np.arange(row, row + batch.num_rows))
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([numbers, *batch.columns], names=["row", "doc_id", "held_out", "text"])
+
+    def rarer(batches):
+        for batch in batches:
+            numbers, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(texts), 256):
+                found = [
+                    (row, place, word.decode())
+                    for row, text in zip(numbers[at : at + 256], texts[at : at + 256])
+                    for place, word in enumerate(w for w in dict.fromkeys([*words(text), end]) if w not in frequent)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema
+                    [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.string()))],
+                    names=["row", "place", "word"],
                 )
 
-    pieces = written(
+    def sums(batches):
+        for batch in batches:
+            ids, out, texts, rare = (batch.column(i).to_pylist() for i in range(4))
+            found = []
+            for text, of_rare in zip(texts, rare):
+                tokens = [end, *words(text), end]
+                seen = {x["place"]: (x["n"], x["c"]) for x in of_rare or ()}
+                own, place = {}, 0
+                for word in dict.fromkeys([*tokens[1:-1], end]):
+                    at = frequent.get(word)
+                    if at is None:
+                        at = seen.get(place, (0, 0 if word == end else -1))
+                        place += 1
+                    own[word] = at
+                n, line = np.array([own[word] for word in tokens], np.int64).T
+                n, total = n[1:], len(tokens) - 1
+                of_class = line[1:] >= 0
+                found.append((
+                    total, int((n > 0).sum()), float(np.log10(n + 1).sum() - base_of * total),
+                    walks.along(line) + float((np.log10(n + _SMOOTHING) - emission_of[line[1:]])[of_class].sum()),
+                ))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+            )
+
+    rows = written(
         docs.select(F.col("doc_id").cast("long"), held_out(), whole("text")).mapInArrow(
-            parts,
-            "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, "
-            "model double, word string, times long",
-        ), "scored-parts",
+            rows_of, "row long, doc_id long, held_out boolean, text string"
+        ), "numbered-texts",
     )
-    counts = model.counts.select(F.col("word").alias("counted"), "n")
-    n = F.coalesce("n", F.lit(0))
+    counts = model.counts.select(F.col("word").alias("counted"), "n", "c")
     rare = (
-        pieces.filter("word IS NOT NULL").select("row", "word", "times")
-        .join(counts, F.col("word") == F.col("counted"), "left")
-        .groupBy(F.col("row").alias("of"))
-        .agg(
-            F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum(F.col("times") * F.log10(n + 1)).alias("rare_base"),
-            F.sum(F.col("times") * F.log10(n + _SMOOTHING)).alias("rare_model"),
-        )
+        rows.select("row", "text").mapInArrow(rarer, "row long, place int, word string")
+        .join(counts, F.col("word") == F.col("counted"))
+        .groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("place", "n", "c")).alias("rare"))
     )
-    none = F.lit(0)
     return (
-        pieces.filter("word IS NULL").join(rare, F.col("row") == F.col("of"), "left")
-        .select(
-            "doc_id", "held_out", "n_tokens",
-            (F.col("known") + F.coalesce("rare_known", none)).alias("n_known"),
-            F.lit(model.tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("rare_base", none)).alias("base_score"),
-            (F.col("model") + F.coalesce("rare_model", none)).alias("score"),
+        rows.join(rare, F.col("row") == F.col("of"), "left").select("doc_id", "held_out", "text", "rare")
+        .mapInArrow(
+            sums, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
         )
+        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                "base_score", "score")
     )

@@ -94,6 +94,38 @@ def test_brown_is_a_distribution(spark):
         assert sum(n + 0.5 for n in own) + 0.5 == pytest.approx(whole)
 
 
+def test_brown_exchanges_every_word(spark):
+    draw = np.random.default_rng(3)
+    kinds = [[f"{c}{i}{'xyz'[i % 3]}same" for i in range(30)] for c in "pqrs"]
+    texts = [" ".join(draw.choice(kinds[j % 4]) for j in range(40)) for _ in range(150)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = brown.fitted(rows, most_units=20, many=5, most_frequent=10)
+    classes = {r["word"]: r["c"] for r in model.counts.collect()}
+    own = [{classes[w] for w in kind if w in classes} for kind in kinds]
+    assert all(len(c) == 1 for c in own) and len(set.union(*own)) == 4
+
+
+def test_brown_gain_is_that_of_the_likelihood():
+    draw = np.random.default_rng(8)
+    counts = draw.poisson(0.7, (12, 12)).astype(float)
+    np.fill_diagonal(counts, 0)  # a unit next to itself is counted approximately
+    classes = draw.integers(0, 4, 12)
+
+    def transitions(classes):
+        one = np.eye(4)[classes]
+        return one.T @ counts @ one
+
+    sides = np.hstack([counts.T @ np.eye(4)[classes], counts @ np.eye(4)[classes]])
+    to, gain = brown.best_classes(sides, classes, transitions(classes))
+    for unit in range(12):
+        moved = []
+        for c in range(4):
+            other = classes.copy()
+            other[unit] = c
+            moved.append(brown._likelihood(transitions(other)) - brown._likelihood(transitions(classes)))
+        assert gain[unit] == pytest.approx(max(moved)) and moved[to[unit]] == pytest.approx(max(moved))
+
+
 def base_spans(text):
     found = [("email", m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     found += [("ip", m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
