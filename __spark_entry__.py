@@ -303,22 +303,28 @@ STREAM_QUERIES: dict[str, Query] = {
 }
 
 
-def _optional(module: str):
-    """A module of the text operators, or None where they have been taken out."""
-    try:
-        return importlib.import_module(module)
-    except ModuleNotFoundError as missing:
-        if missing.name and (module == missing.name or module.startswith(f"{missing.name}.")):
-            return None
-        raise
+# What is missing where the text operators have been taken out, with or without the pipeline.
+_TEXT_PARTS = ("ridegauge.llm", "ridegauge.llm.queries", "corpus_pipeline")
+
+
+def _text_modules() -> list:
+    """The modules that hold the text queries and the pipeline, as far as they are there."""
+    found = []
+    for name in _TEXT_PARTS[1:]:
+        try:
+            found.append(importlib.import_module(name))
+        except ModuleNotFoundError as missing:
+            if missing.name not in _TEXT_PARTS:
+                raise
+            break  # the pipeline is of no use without the operators
+    return found
 
 
 def queries() -> dict[str, Query]:
     found = {**STATE_QUERIES, **CHANGELOG_QUERIES, **STREAM_QUERIES}
-    text = _optional("ridegauge.llm.queries")
+    text, pipeline = [*_text_modules(), None, None][:2]
     if text:
         found |= text.QUERIES
-    pipeline = _optional("corpus_pipeline")
     if pipeline:
         found["pipeline"] = pipeline.run
     return found
@@ -651,7 +657,6 @@ FROM part""",
             "FROM trips JOIN latest ON routeId = latest.id",
         ),
     }
-    text = _optional("ridegauge.llm.queries")
-    pipeline = _optional("corpus_pipeline")
+    text, pipeline = [*_text_modules(), None, None][:2]
     piped = {"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}
     return {**current, **updates, **streams, **(text.SQL if text else {}), **piped}
