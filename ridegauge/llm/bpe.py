@@ -3,8 +3,9 @@
 A text is halved until its pieces are small, the pieces are encoded, and neighbours are joined on
 the way back up.  Encodings do not simply concatenate: tokens at the seam may change.  The join
 therefore encodes a window around the seam again and widens it until both its ends are places no
-token can ever cross (a single space after and before another character, see ``chunks``).  Tokens
-beyond such a place cannot depend on what is on its other side, so they are kept as they are.
+token can ever cross: a single space after and before another character, as the pre-tokenizer lets
+a space only begin a token there.  Tokens beyond such a place cannot depend on what is on its other
+side, so they are kept as they are.
 Joining is associative with the empty text as its neutral element, whatever the tree.  Decoding
 concatenates the bytes of tokens up the same kind of tree.
 
@@ -13,13 +14,16 @@ Null texts count as empty; any text, of any length, comes back byte for byte.
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridegauge.llm.chunks import ChunkMemory
+from ridegauge.llm.common import in_batches, whole
+
 
 _LEAF = 2048
 _WINDOW = 64
@@ -62,15 +66,17 @@ class Codec:
         self._lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self._lengths[rank] = len(token)
-        self._memory = ChunkMemory(lambda texts: [self._encoding.encode_ordinary(t) for t in texts])
         self._leaf = leaf
 
     def encode(self, text: str) -> bytes:
         return self._tree(text, 0, len(text)) if text else b""
 
+    def _plain(self, text: str) -> bytes:
+        return self._encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
     def _tree(self, text: str, start: int, end: int) -> bytes:
         if end - start <= self._leaf:
-            return self._memory.packed([text[start:end]])[0]
+            return self._plain(text[start:end])
         seam = (start + end) // 2
         left, right = self._tree(text, start, seam), self._tree(text, seam, end)
         return self._join(text, start, seam, end, left, right)
@@ -93,7 +99,7 @@ class Codec:
             width *= 2
         kept = 4 * self._covering(left, len(text[low:seam].encode()), last=True)
         dropped = 4 * self._covering(right, len(text[seam:high].encode()), last=False)
-        window = self._memory.packed([text[low:high]])[0]
+        window = self._plain(text[low:high])
         return left[: len(left) - kept] + window + right[dropped:]
 
     def _covering(self, ids: bytes, size: int, last: bool) -> int:
@@ -114,7 +120,7 @@ class Codec:
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     """One per Python worker."""
     return Codec(path, pattern)
@@ -142,3 +148,26 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
             yield pd.Series([own.decode(p) for p in packed], dtype=object)
 
     return decode(F.coalesce(ids, F.lit(b"")))
+
+
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id``, the number of ids, and the hashes of the packed ids and of what they decode to.
+
+    Both directions in one pass: neither ids nor decoded texts leave the worker, which holds one
+    vocabulary and one document at a time beside its Arrow batch.
+    """
+
+    def digest(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        own = codec(path, pattern)
+        packed = (own.encode(text.as_py()) for text in texts)
+        rows = [(len(p) // 4, sha256(p).hexdigest(), sha256(own.decode(p)).hexdigest()) for p in packed]
+        counts, coded, plain = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(counts, pa.int64()), pa.array(coded), pa.array(plain)],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    return in_batches(docs, digest, f"doc_id long, {DIGESTS}", F.col("doc_id").cast("long"), whole("text"))

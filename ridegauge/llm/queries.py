@@ -77,15 +77,7 @@ def op8_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = table(spark, folder, "documents").select(
-        "doc_id", bpe.encoded(F.col("text"), path, pattern).alias("ids")
-    )
-    return ids.select(
-        "doc_id",
-        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(F.col("ids"), path, pattern), 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(table(spark, folder, "documents"), path, pattern)
 
 
 def op10_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
