@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridegauge.llm import (
-    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, warc,
+    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, urls, warc,
 )
 from ridegauge.llm.common import table
 
@@ -88,10 +88,24 @@ def op10_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("toxic", toxic).withColumn("kept", ~toxic)
 
 
+# The rules, and the words of host names whose pages are listed.
+URL_RULES = (
+    urls.Rule("org", "/", "allow"), urls.Rule("example.org", "/es/", "block"),
+    urls.Rule("example.org", "/en/1", "block"), urls.Rule("com", "/fr/", "allow"),
+    urls.Rule("com", "/de/", "block"),
+)
+URL_WORDS = ("adult", "ads", "bets", "casino", "pills", "spam")
+
+
+def op12_bloom_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return urls.judged(pages, urls.listing(pages, URL_WORDS), URL_RULES).drop("possible")
+
+
 _ALL: tuple[Query, ...] = (
     op1_brown_scoring, op2_pii_weak_supervision, op3_quality_rules, op4_minhash_near_dedup,
     op5_norm_sorted_topk, op6_host_suffix_text, op7_pattern_packing, op8_zip_warc, op9_bpe_tree,
-    op10_toxicity_chain,
+    op10_toxicity_chain, op12_bloom_url_filter,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: registered(query) for query in _ALL}
@@ -147,8 +161,48 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id > first THEN first END AS refers_to
 FROM p LEFT JOIN f ON d = payload_digest"""
 
+_JUDGED = r"""
+WITH r AS (
+  SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT page_id, rest,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    array_to_string(list_sort(list_filter(
+      string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x,
+        '^(utm_[a-z]*|ref|referrer|fbclid|gclid|msclkid|mc_cid|mc_eid)(=|$)'))), '&') AS asked
+  FROM r),
+c AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(
+      host, '^[^@]*@', ''), ':(80|443)?$', ''), '^www\.|\.$', '', 'g') AS site,
+    regexp_replace(regexp_replace(regexp_replace(
+      path, '/{2,}', '/', 'g'), '/index\.(html?|php)$', '/'), '/$', '') AS page
+  FROM p),
+u AS (
+  SELECT *, CASE WHEN site <> '' THEN site || page || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END END
+    AS canonical_url
+  FROM c),
+l AS (
+  SELECT DISTINCT canonical_url AS url FROM u
+  WHERE regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)')),
+judged AS (
+  SELECT u.*, url IS NOT NULL AS listed,
+    CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+         WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+         WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+         WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+         WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM u LEFT JOIN l ON canonical_url = url)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN listed THEN 'block' ELSE 'allow' END AS verdict, canonical_url, listed
+FROM judged"""
+
 SQL: dict[str, str] = {
     "op5_norm_sorted_topk": _PRODUCTS,
     "op8_zip_warc": _RECORDS,
     "op4_minhash_near_dedup": _SHINGLED,
+    "op12_bloom_url_filter": _JUDGED,
 }
