@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridegauge.llm import (
-    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, urls, warc,
+    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, urls, warc, whitening,
 )
 from ridegauge.llm.common import table
 
@@ -102,10 +102,14 @@ def op12_bloom_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(pages, urls.listing(pages, URL_WORDS), URL_RULES).drop("possible")
 
 
+def op13_mixed_precision_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.components_of(table(spark, folder, "embeddings"), components=8)
+
+
 _ALL: tuple[Query, ...] = (
     op1_brown_scoring, op2_pii_weak_supervision, op3_quality_rules, op4_minhash_near_dedup,
     op5_norm_sorted_topk, op6_host_suffix_text, op7_pattern_packing, op8_zip_warc, op9_bpe_tree,
-    op10_toxicity_chain, op12_bloom_url_filter,
+    op10_toxicity_chain, op12_bloom_url_filter, op13_mixed_precision_whitening,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: registered(query) for query in _ALL}
