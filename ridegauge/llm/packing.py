@@ -17,6 +17,7 @@ import json
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ridegauge.llm.chunks import ChunkMemory
 from ridegauge.llm.common import in_batches, whole
 from ridegauge.session import written
 
@@ -40,26 +40,25 @@ PIECES = (
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str) -> ChunkMemory:
-    from tokenizers import Tokenizer
+def _encoder(path: str) -> Callable[[str], bytes]:
+    """Text to packed ids, as the tokenizer's library gives them without special tokens added.
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    The name of a special token in a text becomes that token, as it does there.
+    """
     by_rank = _by_rank(path)
+    if by_rank is not None:
+        return lambda text: by_rank.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+    from tokenizers import Tokenizer
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        if by_rank is not None:
-            return [by_rank.encode_ordinary(text) for text in texts]
-        return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    return ChunkMemory(encode)
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _by_rank(path: str):
     """The same vocabulary as an encoder by ranks, four times as fast, where ids are ranks.
 
-    That is so if it is a plain byte-level BPE whose ids after the single bytes follow its merges;
-    any other file gives None and is left to its own library.
+    That is so if it is a plain byte-level BPE whose ids after the single bytes follow its merges and
+    its special tokens are plain strings; any other file gives None and is left to its own library.
     """
     import tiktoken
     from public_tokenizers import PATTERN
@@ -77,13 +76,16 @@ def _by_rank(path: str):
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in shown}  # how byte-level vocabularies write their bytes
     letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-    special = {token["content"] for token in described.get("added_tokens", ())}
+    special = {token["content"]: token["id"] for token in described.get("added_tokens", ())}
+    odd = ("single_word", "lstrip", "rstrip")
+    if any(token.get(k) for token in described.get("added_tokens", ()) for k in odd):
+        return None
     ids = {token: i for token, i in model["vocab"].items() if token not in special}
     merged = [ids.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
     if None in merged or merged != sorted(merged) or len(merged) + 256 != len(ids):
         return None
     ranks = {bytes(letters[c] for c in token): i for token, i in ids.items()}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -105,13 +107,13 @@ def tokenized(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is its own, not the machine
-        memory, task, seen = _memory(path), TaskContext.get().partitionId(), defaultdict(int)
+        encode, task, seen = _encoder(path), TaskContext.get().partitionId(), defaultdict(int)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
+            for at in range(0, batch.num_rows, 256):
+                doc_ids, texts = (column.to_pylist() for column in batch.slice(at, 256).columns)
                 rows = []
-                for doc_id, packed in zip(doc_ids[at : at + 256], memory.packed(texts[at : at + 256])):
-                    packed += last
+                for doc_id, text in zip(doc_ids, texts):
+                    packed = encode(text) + last
                     for piece, (start, length) in enumerate(cut(len(packed) // 4, capacity)):
                         ids = packed[4 * start : 4 * (start + length)]
                         rows.append((

@@ -259,7 +259,7 @@ def test_html_repetition(spark):
     pages = [(i, "https://h.example/x", f"<body><div>{notice}</div><div>own {i} text</div></body>") for i in range(3)]
     pages += [(9, None, None), (8, "https://o.example/", f"<body><div>{notice}</div></body>")]
     got = {r.page_id: (r.text, r.n_chars) for r in html.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert got[1] == ("1 text", 6) and got[9] == ("", 0) and got[8][0] == notice
+    assert got[1] == ("own 1 text", 10) and got[9] == ("", 0) and got[8][0] == notice
 
 
 def texts_of(spark, pages):
@@ -351,7 +351,6 @@ def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack(docs, path, keep_ids=True).collect()
     ids = {r.doc_id: tokenizer.encode(r.text or "", add_special_tokens=False).ids + [0] for r in docs.collect()}
     pieces, filled = {}, {}
@@ -374,6 +373,18 @@ def test_packing(spark, docs):
     assert set(pieces) == set(ids) and len(filled) <= 1.03 * least
 
 
+def test_packing_special_tokens(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["see <|endoftext|> here", "<|endoftext|><|endoftext|>", "a <|endoftext|>\n b<|endof", "<|endoftext|", ""]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, keep_ids=True)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows.collect()}
+    assert got == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+    assert got[0] == [3826, 220, 50256, 994, 0]
+
+
 def test_warc_places():
     data, index = b"x" * 50, b"line\n"
     for zip64 in (True, False):
@@ -412,6 +423,24 @@ def test_bpe_tree():
             assert codec.decode(ids) == text.encode()
 
 
+def test_bpe_query(spark, docs):
+    import base64
+
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected = {}
+    for r in docs.collect():
+        ids = plain.encode_ordinary(r.text or "")
+        packed, text = np.array(ids, "<u4").tobytes(), (r.text or "").encode()
+        expected[r.doc_id] = (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(text).hexdigest())
+    rows = QUERIES["op9_bpe_tree"](spark, SF).collect()
+    assert len(rows) == len(expected)
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == expected
+
+
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
