@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridegauge.llm import (
-    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, urls, warc, whitening,
+    bpe, brown, html, minhash, packing, pii, rules, topk, toxicity, urls, variants, warc,
+    whitening,
 )
 from ridegauge.llm.common import table
 
@@ -88,6 +89,10 @@ def op10_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("toxic", toxic).withColumn("kept", ~toxic)
 
 
+def op11_permuterm_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_groups(table(spark, folder, "documents"))
+
+
 # The rules, and the words of host names whose pages are listed.
 URL_RULES = (
     urls.Rule("org", "/", "allow"), urls.Rule("example.org", "/es/", "block"),
@@ -109,7 +114,8 @@ def op13_mixed_precision_whitening(spark: SparkSession, folder: str) -> DataFram
 _ALL: tuple[Query, ...] = (
     op1_brown_scoring, op2_pii_weak_supervision, op3_quality_rules, op4_minhash_near_dedup,
     op5_norm_sorted_topk, op6_host_suffix_text, op7_pattern_packing, op8_zip_warc, op9_bpe_tree,
-    op10_toxicity_chain, op12_bloom_url_filter, op13_mixed_precision_whitening,
+    op10_toxicity_chain, op11_permuterm_variants, op12_bloom_url_filter,
+    op13_mixed_precision_whitening,
 )
 
 QUERIES: dict[str, Query] = {query.__name__: registered(query) for query in _ALL}
