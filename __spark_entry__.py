@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ridegauge.functions import envelope
 from ridegauge.operators import windows
+from ridegauge.operators.ordering import positions
 from ridegauge.plans import changelog, history, reports, state
 from ridegauge.schemas import ROUTE
 from ridegauge.session import work_folder
@@ -61,6 +62,17 @@ def _on_log(report: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     )
 
 
+def _on_partitions(report: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """The log dealt over three partitions, put in one order again."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        routes = tables.over_partitions(tables.event_routes(spark, folder))
+        trips = tables.over_partitions(tables.event_trips(spark, folder))
+        return report(positions(routes), positions(trips))
+
+    return run
+
+
 def _on_log_trips(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: report(tables.event_trips(spark, folder))
 
@@ -100,6 +112,9 @@ STATE_QUERIES: dict[str, Query] = {
     "routes_latest": lambda spark, folder: state.latest_routes(
         tables.event_routes(spark, folder)
     ).drop("seq", "ts"),
+    "partitions_routes_latest": lambda spark, folder: state.latest_routes(
+        tables.over_partitions(tables.event_routes(spark, folder))
+    ).drop("ts", "partition", "offset"),
     "passengers_per_route": _on_trips(
         lambda trips: reports.passengers_per_route(state.route_passengers(trips))
     ),
@@ -202,6 +217,10 @@ CHANGELOG_QUERIES: dict[str, Query] = {
         changelog.passenger_with_most_trips_changelog
     ),
     "occupancy_updates": _on_log(changelog.occupancy_updates),
+    "partitions_occupancy_updates": _on_partitions(changelog.occupancy_updates),
+    "partitions_busiest_transport_type_changelog": _on_partitions(
+        lambda routes, trips: changelog.busiest_transport_type_changelog(trips)
+    ),
     "publications_in_open_hour": _on_late_publications(changelog.in_open_hour),
     "least_occupied_route_history": _on_log(history.least_occupied_route_history),
     "most_used_type_history": _on_publications(history.most_used_type_history),
@@ -353,6 +372,21 @@ trips AS (
          CONCAT('T', CAST(user_id % 5 AS VARCHAR)) AS type
   FROM events WHERE event_type <> 'signup')"""
 
+_DEALT = """
+log AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY event_type = 'signup'
+                               ORDER BY date_trunc('hour', ts), event_id % 3, event_id // 3) - 1 AS place
+  FROM events),
+routes AS (
+  SELECT user_id * 100 + day(ts) AS id, 1 + event_id % 4 AS capacity,
+         CONCAT('T', CAST(event_id % 5 AS VARCHAR)) AS type,
+         CONCAT('O', CAST(event_id % 4 AS VARCHAR)) AS operator, place AS seq
+  FROM log WHERE event_type = 'signup'),
+trips AS (
+  SELECT user_id * 100 + day(ts) AS routeId, event_id % 997 AS passengerId, place AS seq,
+         CONCAT('T', CAST(user_id % 5 AS VARCHAR)) AS type
+  FROM log WHERE event_type <> 'signup')"""
+
 _PUBLISHED = """
 routes AS (
   SELECT event_type AS type, event_id AS seq, ts, date_trunc('hour', ts) AS hour FROM events)"""
@@ -482,6 +516,7 @@ def oracle_sql() -> dict[str, str]:
         "operators_list": "SELECT DISTINCT p_type AS operator FROM part",
         "operators_from_table": "SELECT DISTINCT p_type AS operator FROM part",
         "routes_latest": _on(_LOG, select=_LATEST),
+        "partitions_routes_latest": _on(_DEALT, select=_LATEST),
         "passengers_per_route":
             "SELECT l_partkey AS id, COUNT(*) AS value FROM lineitem GROUP BY l_partkey",
         "capacity_per_route":
@@ -603,6 +638,13 @@ FROM part""",
         "occupancy_updates": _on(
             _LOG, _UPDATES, select="SELECT seq, routeId, pct AS occupancyPercentage FROM occ"
         ),
+        "partitions_occupancy_updates": _on(
+            _DEALT, _UPDATES, select="SELECT seq, routeId, pct AS occupancyPercentage FROM occ"
+        ),
+        "partitions_busiest_transport_type_changelog": _on(
+            _DEALT,
+            select="SELECT 'highest' AS id, type AS value FROM trips ORDER BY seq DESC LIMIT 1",
+        ),
         "publications_in_open_hour": _on(
             _PUBLISHED_LATE, _OPEN, select="SELECT type AS transportType, seq, hour FROM in_time"
         ),

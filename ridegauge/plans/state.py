@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridegauge.operators.keyed import known, latest_by
+from ridegauge.operators.ordering import order_key, order_of
 
 
 def route_state(routes: DataFrame, trips: DataFrame) -> DataFrame:
@@ -86,9 +87,9 @@ def route_capacity(routes: DataFrame) -> DataFrame:
     )
 
 
-def published_routes(routes: DataFrame, *attributes: str, order: str = "seq") -> DataFrame:
+def published_routes(routes: DataFrame, *attributes: str) -> DataFrame:
     """``routeId, capacity`` and attributes of the last version, of routes that have a capacity."""
-    newest = F.max_by(F.struct(*attributes), order).alias("_row")
+    newest = F.max_by(F.struct(*attributes), order_key(routes)).alias("_row")
     grouped = known(routes, "id").groupBy(F.col("id").alias("routeId")).agg(
         F.sum("passengerCapacity").alias("capacity"), newest
     )
@@ -100,10 +101,15 @@ def travelled_routes(routes: DataFrame, trips: DataFrame, *attributes: str) -> D
     return published_routes(routes, *attributes).join(route_passengers(trips), "routeId")
 
 
-def latest_routes(routes: DataFrame, *columns: str, order: str = "seq") -> DataFrame:
-    """The last published version of each route; ``columns`` limits what is carried."""
-    wanted = [c for c in routes.columns if not columns or c in columns or c in ("id", order)]
-    return latest_by(known(routes, "id").select(*wanted), ["id"], order)
+def latest_routes(routes: DataFrame, *columns: str) -> DataFrame:
+    """The last published version of each route; ``columns`` limits what is carried.
+
+    The last is the one of the highest ``seq``, or without that of the latest time, then partition and
+    offset, which orders messages of any number of partitions.
+    """
+    order = order_of(routes)
+    wanted = [c for c in routes.columns if not columns or c in columns or c in ("id", *order)]
+    return latest_by(known(routes, "id").select(*wanted), ["id"], *order)
 
 
 def counters(routes: DataFrame, trips: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from ridegauge.functions.envelope import decode
 from ridegauge.operators.keyed import known
+from ridegauge.operators.ordering import MESSAGE_ORDER, positions
 from ridegauge.schemas import OPERATOR, ROUTE, TRIP
 
 # Topic names.
@@ -18,16 +19,16 @@ SEED_OPERATORS = ("SMTUC", "Bolt")
 
 
 def topic(spark: SparkSession, name: str, servers: str, stream: bool = False, **options: str) -> DataFrame:
-    """Messages of a topic from its start: ``value, seq, ts`` (needs the Kafka connector).
+    """Messages of a topic from its start: ``value, partition, offset, ts`` (needs the Kafka connector).
 
-    A table read covers what the topic holds now.  ``seq`` is the offset, a position over the
-    whole topic only if it has one partition.
+    A table read covers what the topic holds now.  An offset is a position in its partition only; see
+    ``operators.ordering`` for one order over all partitions.
     """
     reader = spark.readStream if stream else spark.read
     settings = {"kafka.bootstrap.servers": servers, "subscribe": name,
                 "startingOffsets": "earliest", **options}
     raw = reader.format("kafka").options(**settings).load()
-    return raw.selectExpr("value", "offset AS seq", "timestamp AS ts")
+    return raw.selectExpr("value", "partition", "offset", "timestamp AS ts")
 
 
 def records(
@@ -39,7 +40,7 @@ def records(
     with ``strict`` a malformed one raises.  Rows that lack a field are kept, as each report leaves
     out only what its own grouping needs; name a ``key`` to leave out rows without that field.
     """
-    keep = tuple(c for c in ("seq", "ts") if c in messages.columns)
+    keep = tuple(c for c in ("seq", *MESSAGE_ORDER) if c in messages.columns)
     decoded = decode(messages, schema, keep=keep, strict=strict)
     if key is not None:
         return known(decoded, key)
@@ -54,17 +55,22 @@ def unreadable(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return messages.filter(F.col("value").isNotNull() & empty)
 
 
+def _in_order(found: DataFrame) -> DataFrame:
+    """Records of a table read with their position over all partitions; a stream keeps the parts of it."""
+    return found if found.isStreaming else positions(found)
+
+
 def routes(
     spark: SparkSession, servers: str, stream: bool = False, strict: bool = False, **options: str
 ) -> DataFrame:
-    """Published routes; a table read returns what the topic holds now."""
-    return records(topic(spark, ROUTES_TOPIC, servers, stream, **options), ROUTE, strict=strict)
+    """Published routes; a table read returns what the topic holds now, numbered by ``seq``."""
+    return _in_order(records(topic(spark, ROUTES_TOPIC, servers, stream, **options), ROUTE, strict=strict))
 
 
 def trips(
     spark: SparkSession, servers: str, stream: bool = False, strict: bool = False, **options: str
 ) -> DataFrame:
-    return records(topic(spark, TRIPS_TOPIC, servers, stream, **options), TRIP, strict=strict)
+    return _in_order(records(topic(spark, TRIPS_TOPIC, servers, stream, **options), TRIP, strict=strict))
 
 
 def operators(

@@ -87,6 +87,18 @@ def event_trips(spark: SparkSession, folder: str) -> DataFrame:
     return trips_of_events(table(spark, folder, "events"))
 
 
+def over_partitions(records: DataFrame, partitions: int = 3) -> DataFrame:
+    """``records`` as a topic of several partitions holds them: offsets repeat, and record times, which
+    are whole hours here, do so in each partition.  What is left of ``seq`` is partition and offset.
+    """
+    return records.select(
+        *[c for c in records.columns if c not in ("seq", "ts")],
+        F.date_trunc("hour", "ts").alias("ts"),
+        F.expr(f"CAST(seq % {partitions} AS INT)").alias("partition"),
+        F.expr(f"seq div {partitions}").alias("offset"),
+    )
+
+
 def publications_of_events(events: DataFrame) -> DataFrame:
     """Each event as a publication in its hour, for the hourly reports."""
     return events.select(
