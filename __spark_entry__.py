@@ -21,7 +21,7 @@ from ridegauge.schemas import ROUTE
 from ridegauge.session import work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
 from ridegauge.sources import tables
-from ridegauge.streaming import live
+from ridegauge.streaming import live, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -279,6 +279,22 @@ def _stream_trips_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return live.enriched(spark, kept).filter("known_route").drop("known_route")
 
 
+def _stream_occupancy_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """All publications come first, then the trips in three micro-batches."""
+    log = tables.table(spark, folder, "events")
+    turn = F.when(F.col("event_type") == "signup", 0).otherwise(1 + tables.turns_of(log, "event_id", 3))
+    given = live.append_in_turns(
+        log, turn, 4,
+        lambda events: updates.occupancy_updates(tables.routes_of_events(events), tables.trips_of_events(events)),
+    )
+    return given.select("seq", "routeId", "occupancyPercentage")
+
+
+def _stream_publications_in_open_hour(spark: SparkSession, folder: str) -> DataFrame:
+    orders = tables.order_publications(spark, folder)
+    return live.append_in_turns(orders, tables.turns_of(orders, "seq", 4), 4, updates.in_open_hour)
+
+
 STREAM_QUERIES: dict[str, Query] = {
     "stream_available_seats_per_route": _streamed(
         _route_updates, ("routeId",), reports.available_seats_per_route
@@ -310,6 +326,8 @@ STREAM_QUERIES: dict[str, Query] = {
     ),
     "stream_operator_with_max_occupancy": _stream_operator_with_max_occupancy,
     "stream_trips_enriched": _stream_trips_enriched,
+    "stream_occupancy_updates": _stream_occupancy_updates,
+    "stream_publications_in_open_hour": _stream_publications_in_open_hour,
     "stream_hourly_leaders": lambda spark, folder: _in_utc(
         live.append_all(
             live.hourly_leaders(tables.publications_of_events(tables.event_stream(spark, folder)))
@@ -693,6 +711,8 @@ FROM part""",
         "stream_hourly_leaders": _on(_PUBLISHED, select="") + ","
             + _hourly_leader("AND hour + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM routes)"),
         "stream_counters": _on(_LOG, select=_COUNTERS),
+        "stream_occupancy_updates": updates["occupancy_updates"],
+        "stream_publications_in_open_hour": updates["publications_in_open_hour"],
         "stream_trips_enriched": _on(
             _LOG, _UPDATES,
             select="SELECT trips.seq AS id, routeId, latest.type AS transportType, operator "

@@ -6,10 +6,9 @@ publishes the route of that user and day, every other event is a trip on it.  Us
 route several times, travel on days without a publication, and the other way round.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 # Declared up front, which saves a job per read that would look into the files.
 SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
@@ -87,6 +86,13 @@ def event_trips(spark: SparkSession, folder: str) -> DataFrame:
     return trips_of_events(table(spark, folder, "events"))
 
 
+def turns_of(rows: DataFrame, order: str, turns: int) -> Column:
+    """Which of ``turns`` equal ranges of ``order`` holds the row, from 0."""
+    lowest, highest = rows.agg(F.min(order), F.max(order)).first()
+    step = ((highest or 0) - (lowest or 0)) // turns + 1
+    return F.floor((F.col(order) - F.lit(lowest or 0)) / F.lit(step))
+
+
 def over_partitions(records: DataFrame, partitions: int = 3) -> DataFrame:
     """``records`` as a topic of several partitions holds them: offsets repeat, and record times, which
     are whole hours here, do so in each partition.  What is left of ``seq`` is partition and offset.

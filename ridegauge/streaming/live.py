@@ -7,7 +7,7 @@ of ``plans.reports`` run on these tables as they do on any other.  The state fun
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -143,3 +143,23 @@ def append_all(rows: DataFrame) -> DataFrame:
         query = writer.trigger(availableNow=True).start(f"{folder}/rows")
     query.awaitTermination()
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def append_in_turns(
+    rows: DataFrame, turn: Column, turns: int, build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What ``build`` makes of a stream that gets ``rows`` in several micro-batches, one a ``turn`` from 0.
+
+    The rows of a turn are written where the stream reads, then the stream goes on from its checkpoint.
+    """
+    spark, folder = rows.sparkSession, work_folder(rows.sparkSession, "turns")
+    rows.limit(0).write.parquet(f"{folder}/log")  # a stream needs its folder
+    made = build(spark.readStream.schema(rows.schema).parquet(f"{folder}/log"))
+    writer = made.writeStream.outputMode("append").format("parquet")
+    writer = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    for number in range(turns):
+        rows.where(turn == number).write.mode("append").parquet(f"{folder}/log")
+        with stream_settings(spark):
+            query = writer.start(f"{folder}/rows")
+        query.awaitTermination()
+    return spark.read.schema(made.schema).parquet(f"{folder}/rows")
