@@ -276,7 +276,7 @@ def _stream_trips_enriched(spark: SparkSession, folder: str) -> DataFrame:
     live.enrich(
         trips, lambda: state.latest_routes(tables.event_routes(spark, folder), *attributes), kept, *attributes
     ).awaitTermination()
-    return live.enriched(spark, kept).filter("known_route").drop("known_route")
+    return live.enriched(spark, kept)
 
 
 def _stream_occupancy_updates(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,9 +329,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_occupancy_updates": _stream_occupancy_updates,
     "stream_publications_in_open_hour": _stream_publications_in_open_hour,
     "stream_hourly_leaders": lambda spark, folder: _in_utc(
-        live.append_all(
-            live.hourly_leaders(tables.publications_of_events(tables.event_stream(spark, folder)))
-        )
+        live.current_hourly_leaders(_hourly_updates(tables.event_stream(spark, folder))).read()
     ),
     "stream_counters": _streamed(
         lambda log: state.counters(tables.routes_of_events(log), tables.trips_of_events(log)),
@@ -709,7 +707,7 @@ FROM part""",
         "stream_most_used_type_per_hour": current["most_used_type_per_hour"],
         "stream_operator_with_max_occupancy": _on(_LOG, _STATE, select=_MAX_OPERATOR),
         "stream_hourly_leaders": _on(_PUBLISHED, select="") + ","
-            + _hourly_leader("AND hour + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM routes)"),
+            + _hourly_leader(),
         "stream_counters": _on(_LOG, select=_COUNTERS),
         "stream_occupancy_updates": updates["occupancy_updates"],
         "stream_publications_in_open_hour": updates["publications_in_open_hour"],

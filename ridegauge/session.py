@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -95,10 +96,28 @@ def _files(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def mark(spark: SparkSession, folder: str, run: str) -> None:
-    """Note in ``folder`` that ``run`` has finished writing it."""
+def mark(spark: SparkSession, folder: str, run: str, note: object = None) -> None:
+    """Note in ``folder`` that ``run`` has finished writing it, and what ``note`` (JSON) says of it."""
     files, place = _files(spark, f"{folder}/{_MARK}{run}")
-    files.create(place, True).close()
+    stream = files.create(place, True)
+    stream.write(bytearray(json.dumps(note).encode()))
+    stream.close()
+
+
+def note_of(spark: SparkSession, folder: str) -> object:
+    """The note on the mark of ``folder``."""
+    files, marks = _files(spark, f"{folder}/{_MARK}*")
+    stream = files.open(files.globStatus(marks)[0].getPath())
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def folders(spark: SparkSession, parent: str) -> list[str]:
+    """The names of the folders ``<name>=<value>`` in ``parent``."""
+    files, parts = _files(spark, f"{parent}/*=*")
+    return sorted(found.getPath().getName() for found in files.globStatus(parts) or [])
 
 
 def marked(spark: SparkSession, parent: str) -> dict[str, str]:

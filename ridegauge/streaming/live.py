@@ -9,12 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridegauge.operators.keyed import known
 from ridegauge.operators.windows import HOUR, windowed_counts
+from ridegauge.plans.reports import most_used_type_per_hour
 from ridegauge.plans.suite import STATES
-from ridegauge.session import stream_settings, work_folder
+from ridegauge.session import folders, mark, marked, note_of, stream_settings, work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
 
 
@@ -24,7 +26,10 @@ def hourly_updates(routes: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def hourly_leaders(routes: DataFrame, ts: str = "ts") -> DataFrame:
-    """The most used type of each closed hour, as an append-mode stream."""
+    """The most used type of each closed hour, as an append-mode stream.
+
+    ``current_hourly_leaders`` gives the open hour too.
+    """
     counted = (
         routes.withWatermark(ts, "0 seconds")
         .groupBy(F.window(ts, HOUR).alias("w"), "transportType")
@@ -55,25 +60,57 @@ def enrich(
     """Write a stream of trips with attributes of their route; ``enriched`` reads them.
 
     ``latest()`` is the route table.  It is asked anew for each batch, so a trip meets the route as
-    the table holds it when the trip comes in.  A trip on a route that is not there yet is kept,
-    without attributes and with ``known_route`` false.  A repeated batch replaces its own rows.
+    the table holds it when the trip comes in.  A trip on a route that is not there yet is held back:
+    each batch asks for the routes of all trips held so far, and a trip comes out once, in the batch
+    that finds its route (``held_back`` reads the others).  A batch counts once its mark is
+    written: one that fails half-way is not seen, and one that is repeated does nothing.  A stream on a new
+    checkpoint would send all trips again, so it needs a folder of its own and gets an error.
     """
+    spark = trips.sparkSession
     bare = known(trips.drop(*attributes), "routeId")
     checkpoint = f"{folder}/checkpoint"
 
     def apply(rows: DataFrame, batch: int) -> None:
-        route = latest().select(F.col("id").alias("routeId"), *attributes, F.lit(True).alias("known_route"))
-        joined = rows.join(route, "routeId", "left").fillna(False, ["known_route"])
-        target = f"{folder}/rows/{_run_of(rows.sparkSession, checkpoint)}-{batch}"
-        joined.write.mode("overwrite").parquet(target)
+        run, done = _run_of(spark, checkpoint), _finished(spark, folder)
+        others = set(done.values()) - {run}
+        if others:
+            raise ValueError(f"{folder} holds batches of run {others.pop()}, not of {run}")
+        if batch in done:
+            return
+        last = max(done, default=None)
+        if last is not None:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folder}/rows/{last}/known=false"))
+        route = latest().select(F.col("id").alias("routeId"), *attributes, F.lit(True).alias("known"))
+        met = rows.join(route, "routeId", "left").fillna(False, ["known"])
+        target = f"{folder}/rows/{batch}"
+        met.write.mode("overwrite").partitionBy("known").parquet(target)
+        for empty in {"known=false", "known=true"} - set(folders(spark, target)):
+            met.drop("known").limit(0).write.parquet(f"{target}/{empty}")
+        mark(spark, target, run, met.drop("known").schema.jsonValue())
 
     writer = bare.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     return writer.trigger(**_trigger(every)).start()
 
 
+def _finished(spark: SparkSession, folder: str) -> dict[int, str]:
+    return {int(name): run for name, run in marked(spark, f"{folder}/rows").items()}
+
+
+def _enriched(spark: SparkSession, folder: str, batches: list[int], part: str) -> DataFrame:
+    if not batches:
+        raise ValueError(f"no batch has been written to {folder} yet")
+    schema = T.StructType.fromJson(note_of(spark, f"{folder}/rows/{batches[-1]}"))
+    return spark.read.schema(schema).parquet(*(f"{folder}/rows/{batch}/{part}" for batch in batches))
+
+
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
-    """The trips that ``enrich`` has written so far."""
-    return spark.read.parquet(f"{folder}/rows/*")
+    """The trips that ``enrich`` has written so far, each with the attributes of its route."""
+    return _enriched(spark, folder, sorted(_finished(spark, folder)), "known=true")
+
+
+def held_back(spark: SparkSession, folder: str) -> DataFrame:
+    """The trips that ``enrich`` holds until their route comes."""
+    return _enriched(spark, folder, sorted(_finished(spark, folder))[-1:], "known=false")
 
 
 def _trigger(every: str | None) -> dict[str, str | bool]:
@@ -108,6 +145,65 @@ def maintain(
         return writer.trigger(**_trigger(every)).start()
 
 
+def grouped_table(spark: SparkSession, updates: DataFrame, path: str, group: str, *keys: str, **options) -> KeyedTable:
+    """The table that will hold the state of ``updates``, in buckets by ``group``, one of its keys."""
+    return KeyedTable(spark, path, (group, *keys), updates.schema, cluster=(group,), **options)
+
+
+def maintain_groups(
+    updates: DataFrame,
+    table: KeyedTable,
+    derived: KeyedTable,
+    report: Callable[[DataFrame], DataFrame],
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep ``table`` equal to the state of ``updates`` and ``derived`` to ``report`` on its groups.
+
+    ``report`` gives one row per group, such as its leader, and ``derived`` has the group as its key.
+    After each batch it runs on the groups that the batch touched, and reads their buckets only, so the
+    report of a group that is still growing follows every batch, at a cost that goes with the batch.
+    """
+    group = derived.keys
+
+    def follow(kept: KeyedTable, batch: int) -> None:
+        changed = kept.rows_of(batch).select(*group).distinct()
+        current = kept.read_like(changed).join(changed, list(group), "left_semi")
+        derived.upsert(report(current), batch, _run_of(kept.spark, checkpoint))
+
+    return maintain(updates, table, checkpoint, every, follow)
+
+
+def in_parts(updates: DataFrame, key: str, parts: int = 64) -> DataFrame:
+    """``updates`` with ``part``, a group of keys, for a leader over all keys: see ``partial_leaders``."""
+    return updates.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+
+
+def partial_leaders(updates: DataFrame, key: str, report: Callable[[DataFrame], DataFrame]) -> tuple[KeyedTable, KeyedTable]:
+    """Run ``updates`` over all that is there now; the state, and ``report`` on each part of its keys.
+
+    A leader over all keys is the leader of at most as many rows as there are parts, and after a batch
+    only the parts it touched are looked at again.
+    """
+    spark = updates.sparkSession
+    parted, folder = in_parts(updates, key), work_folder(updates.sparkSession, "leaders")
+    kept = grouped_table(spark, parted, f"{folder}/state", "part", key)
+    led = T.StructType([T.StructField("part", T.IntegerType())])
+    leaders = KeyedTable(spark, f"{folder}/leaders", ("part",), led)
+    maintain_groups(parted, kept, leaders, report, f"{folder}/checkpoint").awaitTermination()
+    return kept, leaders
+
+
+def current_hourly_leaders(updates: DataFrame) -> KeyedTable:
+    """The most used type of every hour, the open one included, from ``hourly_updates``."""
+    spark, folder = updates.sparkSession, work_folder(updates.sparkSession, "hourly")
+    counts = grouped_table(spark, updates, f"{folder}/counts", "window_start", "transportType")
+    schema = most_used_type_per_hour(spark.createDataFrame([], updates.schema)).schema
+    leaders = KeyedTable(spark, f"{folder}/leaders", ("window_start",), schema)
+    maintain_groups(updates, counts, leaders, most_used_type_per_hour, f"{folder}/checkpoint").awaitTermination()
+    return leaders
+
+
 def catch_up(updates: DataFrame, *keys: str) -> KeyedTable:
     """Run ``updates`` over all that is there now, into a fresh table in the work folder."""
     spark = updates.sparkSession

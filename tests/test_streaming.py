@@ -7,6 +7,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from ridegauge.functions.envelope import encode
+from ridegauge.operators.keyed import first_by
 from ridegauge.operators.windows import windowed_counts
 from ridegauge.plans import changelog, reports, state, suite
 from ridegauge.schemas import ROUTE, TRIP
@@ -211,23 +212,94 @@ def test_failed_batch_is_repeated(spark, log, tmp_path):
     )
 
 
-def test_enrichment_sees_routes_that_came_between_batches(spark, tmp_path):
-    trips = spark.createDataFrame([(1, 1), (2, 2), (3, None)], "id long, routeId long")
-    kept, sent = str(tmp_path / "kept"), str(tmp_path / "trips")
-    known = []
+def route_table(spark, known):
+    return lambda: spark.createDataFrame([(i, f"T{i}") for i in known], "id long, transportType string")
 
-    def latest():
-        return spark.createDataFrame([(i, f"T{i}") for i in known], "id long, transportType string")
 
-    for route in (1, 2):
+def test_a_held_back_trip_comes_out_once(spark, tmp_path):
+    trips = spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, 4)], "id long, routeId long")
+    kept, sent = str(tmp_path / "kept"), str(tmp_path / "trips")
+    known, seen = [], []
+    for route in (1, 2, 3):
         known.append(route)
         trips.withColumn("id", F.col("id") + 10 * route).coalesce(1).write.mode("append").parquet(sent)
         stream = spark.readStream.schema(trips.schema).parquet(sent)
-        live.enrich(stream, latest, kept, "transportType").awaitTermination()
-    found = live.enriched(spark, kept).select("id", "routeId", "transportType", "known_route")
+        live.enrich(stream, route_table(spark, known), kept, "transportType").awaitTermination()
+        seen.append(values(live.held_back(spark, kept).select("id")))
+    found = live.enriched(spark, kept).select("id", "routeId", "transportType")
     assert values(found) == [
-        (11, 1, "T1", True), (12, 2, None, False), (21, 1, "T1", True), (22, 2, "T2", True)
+        (11, 1, "T1"), (12, 2, "T2"), (21, 1, "T1"), (22, 2, "T2"), (31, 1, "T1"), (32, 2, "T2")
     ]
+    assert seen == [[(12,), (14,)], [(14,), (24,)], [(14,), (24,), (34,)]]
+
+
+def test_enrichment_refuses_a_new_checkpoint(spark, tmp_path):
+    trips = spark.createDataFrame([(1, 1), (2, 2)], "id long, routeId long")
+    kept, sent = str(tmp_path / "kept"), str(tmp_path / "trips")
+    trips.write.parquet(sent)
+    stream = spark.readStream.schema(trips.schema).parquet(sent)
+    live.enrich(stream, route_table(spark, [1, 2]), kept, "transportType").awaitTermination()
+    (tmp_path / "kept/checkpoint").rename(tmp_path / "old")
+    with pytest.raises(Exception, match="holds batches of run"):
+        live.enrich(stream, route_table(spark, [1, 2]), kept, "transportType").awaitTermination()
+    assert live.enriched(spark, kept).count() == 2
+
+
+def test_enrichment_repeats_a_failed_batch(spark, tmp_path):
+    trips = spark.createDataFrame([(1, 1), (2, 2)], "id long, routeId long")
+    kept, sent = str(tmp_path / "kept"), str(tmp_path / "trips")
+    trips.write.parquet(sent)
+    stream = spark.readStream.schema(trips.schema).parquet(sent)
+
+    def lost():
+        return route_table(spark, [1])().withColumn("transportType", F.raise_error(F.lit("lost")))
+
+    with pytest.raises(Exception, match="lost"):
+        live.enrich(stream, lost, kept, "transportType").awaitTermination()
+    with pytest.raises(ValueError, match="no batch"):
+        live.enriched(spark, kept)
+    live.enrich(stream, route_table(spark, [1]), kept, "transportType").awaitTermination()
+    assert values(live.enriched(spark, kept).select("id")) == [(1,)]
+    assert values(live.held_back(spark, kept).select("id")) == [(2,)]
+
+
+def test_leader_of_the_open_hour_moves(spark, tmp_path):
+    """After each batch the leaders are those of all records so far, the last hour included."""
+    minutes = [("Bus", 5), ("Taxi", 10), ("Taxi", 20), ("Bus", 61), ("Taxi", 62), ("Taxi", 63), ("Bus", 64), ("Bus", 65)]
+    start = datetime.datetime(2024, 1, 1)
+    sent, schema = str(tmp_path / "sent"), "transportType string, ts timestamp"
+    updates = None
+    for upto in (1, 4, 6, 8):
+        rows = [(kind, start + datetime.timedelta(minutes=m)) for kind, m in minutes[:upto]]
+        new = rows[{1: 0, 4: 1, 6: 4, 8: 6}[upto]:]
+        spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(sent)
+        updates = live.hourly_updates(spark.readStream.schema(schema).parquet(sent))
+        counts = live.grouped_table(spark, updates, str(tmp_path / "counts"), "window_start", "transportType", fold_every=2)
+        leaders = live.KeyedTable(
+            spark, str(tmp_path / "leaders"), ("window_start",),
+            reports.most_used_type_per_hour(spark.createDataFrame([], updates.schema)).schema, fold_every=2,
+        )
+        live.maintain_groups(
+            updates, counts, leaders, reports.most_used_type_per_hour, str(tmp_path / "checkpoint")
+        ).awaitTermination()
+        expected = windowed_counts(spark.createDataFrame(rows, schema), "transportType")
+        assert values(leaders.read()) == values(reports.most_used_type_per_hour(expected))
+
+
+def test_partial_leaders_look_at_touched_parts_only(spark, log, monkeypatch):
+    _, trips = split(tables.table(spark, log, "events"))
+    _, live_trips = split(stream(spark, log))
+    asked = []
+    before = live.KeyedTable.read_like
+    monkeypatch.setattr(live.KeyedTable, "read_like", lambda self, rows: asked.append(rows.count()) or before(self, rows))
+
+    def top(rows):
+        return first_by(rows, ["part"], [F.col("passengerId"), F.col("trips")], [-F.col("trips"), F.col("passengerId")])
+
+    _, leaders = live.partial_leaders(state.passenger_state(live_trips), "passengerId", top)
+    expected = reports.passenger_with_most_trips(state.passenger_state(trips))
+    assert values(reports.passenger_with_most_trips(leaders.read())) == values(expected)
+    assert leaders.read().count() <= 64 and len(asked) == 5
 
 
 def test_a_new_checkpoint_needs_a_new_table(spark, tmp_path):
