@@ -280,14 +280,16 @@ def _stream_trips_enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_occupancy_updates(spark: SparkSession, folder: str) -> DataFrame:
-    """All publications come first, then the trips in three micro-batches."""
+    """All publications come first, then the trips in two micro-batches."""
     log = tables.table(spark, folder, "events")
-    turn = F.when(F.col("event_type") == "signup", 0).otherwise(1 + tables.turns_of(log, "event_id", 3))
-    given = live.append_in_turns(
-        log, turn, 4,
-        lambda events: updates.occupancy_updates(tables.routes_of_events(events), tables.trips_of_events(events)),
+    turn = F.when(F.col("event_type") == "signup", 0).otherwise(1 + tables.turns_of(log, "event_id", 2))
+    kept = live.in_turns(
+        log, turn, 3,
+        lambda events, place: updates.follow_occupancy(
+            tables.routes_of_events(events), tables.trips_of_events(events), place
+        ),
     )
-    return given.select("seq", "routeId", "occupancyPercentage")
+    return updates.occupancy_updates(spark, kept).select("seq", "routeId", "occupancyPercentage")
 
 
 def _stream_publications_in_open_hour(spark: SparkSession, folder: str) -> DataFrame:

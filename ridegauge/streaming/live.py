@@ -16,7 +16,8 @@ from ridegauge.operators.keyed import known
 from ridegauge.operators.windows import HOUR, windowed_counts
 from ridegauge.plans.reports import most_used_type_per_hour
 from ridegauge.plans.suite import STATES
-from ridegauge.session import folders, mark, marked, note_of, stream_settings, work_folder
+from ridegauge.session import stream_settings, work_folder
+from ridegauge.sinks.batches import BatchFolders
 from ridegauge.sinks.keyed_table import KeyedTable
 
 
@@ -49,7 +50,7 @@ def keyed_table(spark: SparkSession, updates: DataFrame, path: str, *keys: str)
     return KeyedTable(spark, path, keys, updates.schema)
 
 
-def _run_of(spark: SparkSession, checkpoint: str) -> str:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
     """The identity of the stream that a checkpoint belongs to; a new checkpoint has a new one."""
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
@@ -71,49 +72,34 @@ def enrich(
     checkpoint = f"{folder}/checkpoint"
 
     def apply(rows: DataFrame, batch: int) -> None:
-        run, done = _run_of(spark, checkpoint), _finished(spark, folder)
-        others = set(done.values()) - {run}
-        if others:
-            raise ValueError(f"{folder} holds batches of run {others.pop()}, not of {run}")
+        run = run_of(spark, checkpoint)
+        done = kept.finished(run)
         if batch in done:
             return
-        last = max(done, default=None)
-        if last is not None:
-            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folder}/rows/{last}/known=false"))
+        if done:
+            rows = rows.unionByName(kept.read(done[-1:], "known=false").select(*rows.columns))
         route = latest().select(F.col("id").alias("routeId"), *attributes, F.lit(True).alias("known"))
         met = rows.join(route, "routeId", "left").fillna(False, ["known"])
-        target = f"{folder}/rows/{batch}"
-        met.write.mode("overwrite").partitionBy("known").parquet(target)
-        for empty in {"known=false", "known=true"} - set(folders(spark, target)):
-            met.drop("known").limit(0).write.parquet(f"{target}/{empty}")
-        mark(spark, target, run, met.drop("known").schema.jsonValue())
+        kept.write(met, batch, run, part="known")
 
+    kept = BatchFolders(spark, f"{folder}/rows")
     writer = bare.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
-    return writer.trigger(**_trigger(every)).start()
-
-
-def _finished(spark: SparkSession, folder: str) -> dict[int, str]:
-    return {int(name): run for name, run in marked(spark, f"{folder}/rows").items()}
-
-
-def _enriched(spark: SparkSession, folder: str, batches: list[int], part: str) -> DataFrame:
-    if not batches:
-        raise ValueError(f"no batch has been written to {folder} yet")
-    schema = T.StructType.fromJson(note_of(spark, f"{folder}/rows/{batches[-1]}"))
-    return spark.read.schema(schema).parquet(*(f"{folder}/rows/{batch}/{part}" for batch in batches))
+    return writer.trigger(**trigger_of(every)).start()
 
 
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     """The trips that ``enrich`` has written so far, each with the attributes of its route."""
-    return _enriched(spark, folder, sorted(_finished(spark, folder)), "known=true")
+    kept = BatchFolders(spark, f"{folder}/rows")
+    return kept.read(kept.finished(), "known=true")
 
 
 def held_back(spark: SparkSession, folder: str) -> DataFrame:
     """The trips that ``enrich`` holds until their route comes."""
-    return _enriched(spark, folder, sorted(_finished(spark, folder))[-1:], "known=false")
+    kept = BatchFolders(spark, f"{folder}/rows")
+    return kept.read(kept.finished()[-1:], "known=false")
 
 
-def _trigger(every: str | None) -> dict[str, str | bool]:
+def trigger_of(every: str | None) -> dict[str, str | bool]:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
@@ -132,7 +118,7 @@ def maintain(
     """
 
     def apply(rows: DataFrame, batch: int) -> None:
-        table.upsert(rows, batch, _run_of(rows.sparkSession, checkpoint))
+        table.upsert(rows, batch, run_of(rows.sparkSession, checkpoint))
         if then:
             then(table, batch)
 
@@ -142,7 +128,7 @@ def maintain(
         .foreachBatch(apply)
     )
     with stream_settings(updates.sparkSession):
-        return writer.trigger(**_trigger(every)).start()
+        return writer.trigger(**trigger_of(every)).start()
 
 
 def grouped_table(spark: SparkSession, updates: DataFrame, path: str, group: str, *keys: str, **options) -> KeyedTable:
@@ -169,7 +155,7 @@ def maintain_groups(
     def follow(kept: KeyedTable, batch: int) -> None:
         changed = kept.rows_of(batch).select(*group).distinct()
         current = kept.read_like(changed).join(changed, list(group), "left_semi")
-        derived.upsert(report(current), batch, _run_of(kept.spark, checkpoint))
+        derived.upsert(report(current), batch, run_of(kept.spark, checkpoint))
 
     return maintain(updates, table, checkpoint, every, follow)
 
@@ -241,21 +227,32 @@ def append_all(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
 
 
-def append_in_turns(
-    rows: DataFrame, turn: Column, turns: int, build: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """What ``build`` makes of a stream that gets ``rows`` in several micro-batches, one a ``turn`` from 0.
+def in_turns(
+    rows: DataFrame, turn: Column, turns: int, start: Callable[[DataFrame, str], StreamingQuery]
+) -> str:
+    """Run a stream that gets ``rows`` in several micro-batches, one a ``turn`` from 0; the folder it has.
 
-    The rows of a turn are written where the stream reads, then the stream goes on from its checkpoint.
+    The rows of a turn are written where the stream reads, then ``start(stream, folder)`` goes on from the
+    checkpoint that it keeps in the folder.
     """
     spark, folder = rows.sparkSession, work_folder(rows.sparkSession, "turns")
     rows.limit(0).write.parquet(f"{folder}/log")  # a stream needs its folder
-    made = build(spark.readStream.schema(rows.schema).parquet(f"{folder}/log"))
-    writer = made.writeStream.outputMode("append").format("parquet")
-    writer = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     for number in range(turns):
         rows.where(turn == number).write.mode("append").parquet(f"{folder}/log")
+        start(spark.readStream.schema(rows.schema).parquet(f"{folder}/log"), folder).awaitTermination()
+    return folder
+
+
+def append_in_turns(
+    rows: DataFrame, turn: Column, turns: int, build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """What ``build`` makes of a stream that gets ``rows`` in turns, as files."""
+    spark = rows.sparkSession
+
+    def start(stream: DataFrame, folder: str) -> StreamingQuery:
+        writer = build(stream).writeStream.outputMode("append").format("parquet")
+        writer = writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
         with stream_settings(spark):
-            query = writer.start(f"{folder}/rows")
-        query.awaitTermination()
-    return spark.read.schema(made.schema).parquet(f"{folder}/rows")
+            return writer.start(f"{folder}/rows")
+
+    return spark.read.parquet(f"{in_turns(rows, turn, turns, start)}/rows")

@@ -14,13 +14,13 @@ LOG = "turn int, seq long, id long, routeId long, passengerCapacity long"
 def occupancy(spark, rows, turns):
     log = spark.createDataFrame(rows, LOG)
 
-    def build(stream):
-        return updates.occupancy_updates(
+    def start(stream, folder):
+        return updates.follow_occupancy(
             stream.where("id IS NOT NULL OR (routeId IS NULL AND passengerCapacity IS NOT NULL)").select("id", "passengerCapacity", "seq"),
-            stream.where("id IS NULL AND passengerCapacity IS NULL").select("routeId", "seq"),
+            stream.where("id IS NULL AND passengerCapacity IS NULL").select("routeId", "seq"), folder,
         )
 
-    found = live.append_in_turns(log, F.col("turn"), turns, build)
+    found = updates.occupancy_updates(spark, live.in_turns(log, F.col("turn"), turns, start))
     return [(r.seq, r.routeId, r.passengers, r.capacity) for r in found.orderBy("seq").collect()]
 
 
@@ -40,6 +40,32 @@ def test_a_later_batch_counts_as_later(spark):
     assert sorted(occupancy(spark, rows, 2), key=lambda r: r[2]) == [(3, 7, 1, 4), (1, 7, 2, 4)]
 
 
+def test_a_batch_that_failed_half_way_is_repeated(spark, monkeypatch):
+    """The updates of the second batch are there, its state is not; the run that takes over adds each once."""
+    rows = [(0, 1, 7, None, 4), (0, 2, None, 7, None), (1, 3, None, 7, None), (2, 4, None, 7, None)]
+    upsert, failed = updates.KeyedTable.upsert, []
+
+    def lose(self, rows, batch, run="only"):
+        if batch == 1 and not failed:
+            failed.append(batch)
+            raise RuntimeError("lost")
+        upsert(self, rows, batch, run)
+
+    monkeypatch.setattr(updates.KeyedTable, "upsert", lose)
+    start = updates.follow_occupancy
+
+    def twice(*given):
+        query = start(*given)
+        try:
+            query.awaitTermination()
+            return query
+        except Exception:
+            return start(*given)
+
+    monkeypatch.setattr(updates, "follow_occupancy", twice)
+    assert occupancy(spark, rows, 3) == [(2, 7, 1, 4), (3, 7, 2, 4), (4, 7, 3, 4)] and failed
+
+
 @pytest.mark.parametrize("turns", [1, 4])
 def test_time_moves_with_each_record(spark, turns):
     minutes = {"Bus": [10, 65, 50, 80, 20, 125, 119, 121], "Taxi": [130, 10, 140, 119]}
@@ -67,9 +93,10 @@ def test_order_by_time_partition_and_offset(spark):
     log = spark.createDataFrame(rows, "routeId long, partition int, offset long, ts timestamp, n long")
     log = log.withColumn("id", F.when(F.col("n") == 8, 1)).withColumn("passengerCapacity", F.lit(5).cast("long"))
 
-    def build(stream):
+    def start(stream, folder):
         routes = stream.where("id IS NOT NULL").select("id", "passengerCapacity", "ts", "partition", "offset")
-        return updates.occupancy_updates(routes, stream.where("id IS NULL").select("routeId", "ts", "partition", "offset"))
+        trips = stream.where("id IS NULL").select("routeId", "ts", "partition", "offset")
+        return updates.follow_occupancy(routes, trips, folder)
 
-    found = live.append_in_turns(log, F.lit(0), 1, build)
+    found = updates.occupancy_updates(spark, live.in_turns(log, F.lit(0), 1, start))
     assert values(found.select("passengers", "partition", "offset")) == [(1, 0, 9), (2, 1, 3), (3, 2, 0)]
