@@ -8,6 +8,7 @@ One update per input record: all route publications first, then the trips in ``s
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridegauge.functions import exact
 from ridegauge.functions.occupancy import available_seats, occupancy_pct
 from ridegauge.operators.keyed import first_by, known
 from ridegauge.operators.running import SLICE_ROWS, running
@@ -49,6 +50,12 @@ def _capacity_updates(routes: DataFrame, slice_rows: int) -> DataFrame:
     return grown.agg(F.sum(F.col("capacity").cast("decimal(18,0)")).cast(_EXACT).alias("value"))
 
 
+def _seats_of_trips() -> Column:
+    """What the trips of a route report in all: ``capacity * n - (1 + ... + n)``; null without a capacity."""
+    places = F.col("capacity").cast("decimal(18,0)") * F.col("passengers").cast("decimal(18,0)")
+    return (places - _sum_of_counts("passengers")).cast(_EXACT)
+
+
 def total_available_seats_changelog(
     routes: DataFrame, trips: DataFrame, as_type: str = "bigint", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -58,12 +65,7 @@ def total_available_seats_changelog(
     adds up to ``capacity * n - (1 + ... + n)`` per route.
     """
     known_routes = known(state.route_state(routes, trips), "capacity", "passengers")
-    per_route = known_routes.select(
-        (
-            F.col("capacity").cast("decimal(18,0)") * F.col("passengers").cast("decimal(18,0)")
-            - _sum_of_counts("passengers")
-        ).cast(_EXACT).alias("value")
-    )
+    per_route = known_routes.select(_seats_of_trips().alias("value"))
     updates = per_route.unionByName(_capacity_updates(routes, slice_rows))
     return _one_number(updates.agg(F.sum("value").alias("value")), as_type)
 
@@ -72,12 +74,13 @@ def total_occupancy_changelog(
     routes: DataFrame, trips: DataFrame, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Occupancy computed from the two accumulated totals."""
-    passengers = total_passengers_changelog(state.route_passengers(trips), _EXACT)
-    seats = total_available_seats_changelog(routes, trips, _EXACT, slice_rows)
-    each = passengers.select(F.col("value").alias("p")).unionByName(
-        seats.select(F.col("value").alias("s")), allowMissingColumns=True
+    per_route = state.route_state(routes, trips)
+    counts = known(per_route, "passengers").select(
+        _sum_of_counts("passengers").alias("p"), _seats_of_trips().alias("s")
     )
-    totals = known(each.agg(F.max("p").alias("p"), F.max("s").alias("s")), "p", "s")
+    grown = _capacity_updates(routes, slice_rows).select(F.col("value").alias("s"))
+    each = counts.agg(F.sum("p").alias("p"), F.sum("s").alias("s")).unionByName(grown, allowMissingColumns=True)
+    totals = known(each.agg(F.sum("p").alias("p"), F.sum("s").alias("s")), "p", "s")
     return totals.select(
         F.lit(0).cast("bigint").alias("routeId"),
         occupancy_pct(F.col("p"), F.col("s")).alias("occupancyPercentage"),
@@ -196,12 +199,13 @@ def average_updates(
     updates = known(
         occupancy_updates(routes, trips, "transportType", slice_rows=slice_rows), "transportType"
     )
-    pct = F.col("occupancyPercentage").cast("double").alias("pct")
+    pct = F.col("occupancyPercentage")
+    parts = updates.select("seq", "transportType", exact.scaled(pct).alias("pct"), exact.beyond(pct).alias("beyond"))
     summed = running(
-        written(updates.select("seq", "transportType", pct), "updates"), ["transportType"], "seq",
-        {"total": ("sum", "pct"), "k": ("count", "seq")}, slice_rows=slice_rows,
+        written(parts, "updates"), ["transportType"], "seq",
+        {"total": ("sum", "pct"), "most": ("max", "beyond"), "k": ("count", "seq")}, slice_rows=slice_rows,
     )
-    average = (F.col("total") / F.col("k").cast("double")).cast("float")
+    average = exact.mean_of(F.col("total"), F.col("most"), F.col("k"))
     return summed.select("seq", "transportType", average.alias("average"))
 
 

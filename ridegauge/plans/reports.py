@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridegauge.functions import exact
 from ridegauge.functions.occupancy import available_seats, occupancy_pct, whole_average
 from ridegauge.operators.keyed import first_by, known
 
@@ -95,7 +96,8 @@ def least_occupied_route_per_type(typed: DataFrame) -> DataFrame:
 
 
 def avg_occupancy_per_type(typed: DataFrame) -> DataFrame:
-    mean = F.avg(F.col("occupancyPercentage").cast("double")).cast("float")
+    """The mean occupancy of each type, the same however the rows are partitioned."""
+    mean = exact.mean(F.col("occupancyPercentage"))
     return (
         known(typed, "name")
         .groupBy(F.col("name").alias("transportType"))

@@ -1,0 +1,61 @@
+"""Means that do not depend on how the rows are partitioned."""
+
+import struct
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ridegauge.functions import exact
+from ridegauge.plans import changelog, reports, state
+from ridegauge.sources import tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def bits(x):
+    return None if x is None else struct.pack("<f", x)
+
+
+def test_mean_is_the_same_in_any_order(spark):
+    draw = np.random.default_rng(6)
+    values = np.float32(draw.uniform(0, 1, 4000) ** 8 * 10.0 ** draw.integers(-3, 6, 4000)).tolist()
+    rows = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "k int, v float")
+    found = set()
+    for parts in range(1, 11):
+        dealt = rows.repartition(parts, F.xxhash64("v", F.lit(parts)))
+        got = dealt.groupBy("k").agg(exact.mean(F.col("v")).alias("m")).orderBy("k").collect()
+        found.add(tuple(bits(r.m) for r in got))
+    assert len(found) == 1
+    whole = [sum(map(Fraction, values[k::3])) / len(values[k::3]) for k in range(3)]
+    assert found.pop() == tuple(bits(float(np.float32(float(w)))) for w in whole)
+
+
+def test_mean_of_odd_values(spark):
+    rows = spark.createDataFrame(
+        [(1, 50.0), (1, float("inf")), (2, None), (3, -100.0), (3, 100.0), (4, 1e20)], "k int, v float"
+    )
+    got = {r.k: r.m for r in rows.groupBy("k").agg(exact.mean(F.col("v")).alias("m")).collect()}
+    assert got == {1: float("inf"), 2: None, 3: 0.0, 4: pytest.approx(1e20)}
+
+
+def test_reports_are_the_same_in_any_partitioning(spark):
+    routes, trips = tables.event_routes(spark, SF), tables.event_trips(spark, SF)
+    found = set()
+    for parts in (1, 3, 7):
+        r, t = routes.repartition(parts, "seq"), trips.repartition(11 - parts, F.hash("seq", F.lit(parts)))
+        travelled = state.travelled_routes(r, t, "transportType")
+        means = reports.avg_occupancy_per_type(reports.occupancy_by(travelled, "transportType"))
+        averages = changelog.average_updates(r, t, slice_rows=1 << parts * 2)
+        found.add((
+            tuple(sorted((m.transportType, bits(m.occupancyPercentage)) for m in means.collect())),
+            tuple(sorted((a.seq, a.transportType, bits(a.average)) for a in averages.collect())),
+        ))
+    assert len(found) == 1
+
+
+def test_total_occupancy_reads_each_input_twice(spark):
+    report = changelog.total_occupancy_changelog(tables.event_routes(spark, SF), tables.event_trips(spark, SF))
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 4
