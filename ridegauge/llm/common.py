@@ -34,6 +34,23 @@ def in_batches(
     return rows.select(*columns).mapInArrow(run, schema)
 
 
+def unused(name: str, rows: DataFrame) -> str:
+    """``name``, with underscores at its end until no column of ``rows`` has it."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The ``chosen`` labels (``of`` and others) with the text of their document.
+
+    An id that comes several times gives one row, its smallest text, so a bound on labels bounds the rows.
+    """
+    own = docs.select("doc_id", "text").join(chosen.select("of").distinct(), F.col("doc_id") == F.col("of"), "left_semi")
+    return own.groupBy("doc_id").agg(F.min("text").alias("text")).join(chosen, F.col("doc_id") == F.col("of"))
+
+
 def sampled_labels(labels: DataFrame, at_most: int, *needed: str) -> DataFrame:
     """Up to ``at_most`` labelled ids in an order that has nothing to do with the labels.
 

@@ -13,7 +13,8 @@ ended, which changes none of their matches but keeps them linear, and off the st
 as a million digits.
 
 Null texts count as empty.  Offsets are code points, ends exclusive.  All columns of the input pass
-through; results are in one struct column.  Repeated rows and repeated ``doc_id`` do not matter, as
+through, whatever their names; results are in one struct column, and ``masked`` uses a name that the table
+does not have.  Repeated rows and repeated ``doc_id`` do not matter, as
 no step joins rows.  With no candidates at all nothing is added to the base spans.
 """
 
@@ -24,7 +25,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridegauge.llm.common import whole
+from ridegauge.llm.common import unused, whole
 from ridegauge.session import written
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -40,9 +41,10 @@ FINDERS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "spelled": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}} ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]{{1,63}}"
-               r"(?: ?(?:[(\[](?:dot|DOT)[)\]]|\.) ?[A-Za-z0-9-]{1,63}){1,8}",
-    "local": r"(?<![0-9A-Za-z.+(-])\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,4}(?![0-9A-Za-z]|[.-][0-9])",
+    "spelled": rf"(?<!{_LOCAL}){_LOCAL}++ ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]++"
+               r"(?: ?(?:[(\[](?:dot|DOT)[)\]]|\.) ?[A-Za-z0-9-]++)++",
+    "local": r"(?<![0-9A-Za-z.+(-])\(?[0-9]{2,4}\)?(?:"
+             r"(?:[ .-][0-9]{2,4}(?![0-9A-Za-z])){2,}+(?![.-][0-9])|(?:[ .-][0-9]{2,4}(?= )){2,}+)",
     "alone": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])",
     "secret": r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|bearer)"
               r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?[a-z0-9+/_.-]{12,}+",
@@ -330,23 +332,24 @@ def masked(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     ``n_chars``, where there is such a column, becomes the length of the new text.  Null texts stay.
     """
-    spans = accepted(detected(docs, text, "_pii"), model, "_pii")
+    own = unused("_pii", docs)
+    spans = accepted(detected(docs, text, own), model, own)
     marks = ", ".join(_text(f"<{kind.upper()}>") for kind in KINDS)
-    by_start = "array_sort(transform(_pii, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))"
+    by_start = f"array_sort(transform({own}, s -> named_struct('start', s.start, 'end', s.end, 'kind', s.kind)))"
     rebuilt = (
         f"aggregate({by_start}, named_struct('at', 0, 'parts', cast(array() AS array<string>)), "
         "(a, s) -> named_struct('at', greatest(a.at, s.end), 'parts', CASE WHEN s.start >= a.at THEN "
         f"concat(a.parts, array(substr({text}, a.at + 1, s.start - a.at), element_at(array({marks}), s.kind + 1))) "
         f"ELSE a.parts END), a -> concat(array_join(a.parts, ''), substr({text}, a.at + 1)))"
     )
-    new = spans.withColumn(text, F.expr(f"CASE WHEN size(_pii) > 0 THEN {rebuilt} ELSE {text} END"))
+    new = spans.withColumn(text, F.expr(f"CASE WHEN size({own}) > 0 THEN {rebuilt} ELSE {text} END"))
     if "n_chars" in docs.columns:
         new = new.withColumn(
-            "n_chars", F.expr(f"CASE WHEN size(_pii) > 0 THEN length({text}) ELSE n_chars END").cast(
+            "n_chars", F.expr(f"CASE WHEN size({own}) > 0 THEN length({text}) ELSE n_chars END").cast(
                 docs.schema["n_chars"].dataType
             )
         )
-    return new.select(*docs.columns)
+    return new.drop(own)
 
 
 def spans(docs: DataFrame) -> DataFrame:

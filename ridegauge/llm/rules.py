@@ -8,7 +8,9 @@ the other third, and kept while they are precise there.  The list is emitted as
 
 Null texts count as texts without words.  Rows whose statistics are null are not covered by any
 condition and get the default.  With no labels, or none of one class, the list is empty and only
-the default is left.
+the default is left.  An id that comes several times teaches its smallest text, and each of its rows is
+judged.  Texts of any length are counted whole.  Other columns pass through whatever their names.  A list
+has at most ``most_rules`` rules (32) of at most four conditions.
 """
 
 from collections.abc import Iterator
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridegauge.llm.common import SPACE_BYTES, sampled_labels, whole
+from ridegauge.llm.common import SPACE_BYTES, one_text, sampled_labels, unused, whole
 
 # The symbols that are counted, the window in which repeated words are looked for,
 # and the limits of the base rule.
@@ -224,7 +226,7 @@ def learned(docs: DataFrame, labels: DataFrame, at_most: int = 20_000) -> Decisi
     """A list that rejects what ``labels.quality = 0`` marks, from at most ``at_most`` labels."""
     chosen = sampled_labels(labels, at_most, "quality").withColumnRenamed("doc_id", "of")
     rows = (
-        docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("of"))
+        one_text(docs, chosen)
         .filter("text IS NOT NULL")
         .select("quality", statistics().alias("counted"))
         .select("quality", *(c.alias(name) for name, c in features("counted").items()))
@@ -237,13 +239,23 @@ def learned(docs: DataFrame, labels: DataFrame, at_most: int = 20_000) -> Decisi
     return learn(values, (rows["quality"] == 0).to_numpy())
 
 
-def judged(docs: DataFrame, rules: DecisionList) -> DataFrame:
-    """``docs`` with a struct ``judged`` of counts, ``base_failed`` and ``kept``."""
-    counted = docs.withColumn("judged", statistics())
-    names = [F.col(f"judged.{name}").alias(name) for name in COUNTS]
-    failed = base_failed("judged")
+def judged(docs: DataFrame, rules: DecisionList, column: str = "judged") -> DataFrame:
+    """``docs`` with a struct of counts, ``base_failed`` and ``kept``.
+
+    It is the last column and named ``column``, with underscores after it if ``docs`` has that already.
+    """
+    column = unused(column, docs)
+    counted = docs.withColumn(column, statistics())
+    names = [F.col(f"{column}.{name}").alias(name) for name in COUNTS]
+    failed = base_failed(column)
     return counted.withColumn(
-        "judged",
+        column,
         F.struct(*names, failed.alias("base_failed"),
-                 (~failed & rules.column(features("judged"))).alias("kept")),
+                 (~failed & rules.column(features(column))).alias("kept")),
     )
+
+
+def without_junk(docs: DataFrame, rules: DecisionList) -> DataFrame:
+    """``docs`` that neither the base rule nor a learned one rejects."""
+    rows = judged(docs, rules)
+    return rows.filter(F.col(rows.columns[-1])["kept"]).drop(rows.columns[-1])

@@ -12,7 +12,8 @@ text is scored whole.
 
 Null texts count as empty; they get the probabilities of a text without any known word.  Conflicting
 labels are both used.  Without labels of both classes a category's probability is its share of the
-labels (0 without any).
+labels (0 without any).  An id that comes several times is fitted with its smallest text, and each of its
+rows is scored.  Texts of any length are scored whole.  Other columns pass through whatever their names.
 """
 
 import math
@@ -26,7 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridegauge.llm.common import sampled_labels, whole
+from ridegauge.llm.common import one_text, sampled_labels, unused, whole
+from ridegauge.session import written
 
 # The chain: general categories first, the one that decides last.  Each is a condition on labels.
 CATEGORIES = {
@@ -123,15 +125,16 @@ def fitted(
         F.col("doc_id").alias("of"),
         *(F.expr(condition).cast("int").alias(name) for name, condition in categories.items()),
     )
-    sample = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("of"))
+    sample = written(one_text(docs, chosen), "toxicity-sample")
     sizes = sample.agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories)).first()
     if not sizes["n"]:
         return Chain({}, {c: np.append(np.zeros(i), -40.0) for i, c in enumerate(categories)})
-    counted = (
+    counted = written(
         sample.select(F.explode(_distinct(whole("text"))).alias("feature"), *categories)
         .groupBy(F.col("feature"))
         .agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in categories))
-        .filter("n >= 5")
+        .filter("n >= 5"),
+        "toxicity-features",
     )
     names: dict[tuple, str] = {}
     for category in categories:
@@ -174,8 +177,11 @@ def fitted(
     return Chain(places, weights)
 
 
-def scored(docs: DataFrame, chain: Chain) -> DataFrame:
-    """``docs`` with a struct ``toxicity`` of the chain's probabilities, ``p_<category>``."""
+def scored(docs: DataFrame, chain: Chain, column: str = "toxicity") -> DataFrame:
+    """``docs`` with a struct of the chain's probabilities, ``p_<category>``.
+
+    It is the last column and named ``column``, with underscores after it if ``docs`` has that already.
+    """
     names = [f"p_{category}" for category in chain.weights]
 
     @F.pandas_udf(", ".join(f"{name} double" for name in names))
@@ -189,10 +195,10 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
                 blocks.append(chain.probabilities(x))
             yield pd.DataFrame(np.concatenate(blocks) if blocks else [], columns=names, dtype=float)
 
-    return docs.withColumn("toxicity", score(whole("text")))
+    return docs.withColumn(unused(column, docs), score(whole("text")))
 
 
 def without_toxic(docs: DataFrame, chain: Chain, least: float = 0.5) -> DataFrame:
     """``docs`` whose last category in the chain is less probable than ``least``."""
-    last = f"toxicity.p_{list(chain.weights)[-1]}"
-    return scored(docs, chain).filter(F.col(last) < least).select(*docs.columns)
+    rows = scored(docs, chain)
+    return rows.filter(F.col(rows.columns[-1])[f"p_{list(chain.weights)[-1]}"] < least).drop(rows.columns[-1])

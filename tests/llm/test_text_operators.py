@@ -462,6 +462,47 @@ def test_pipeline_stages_on_awkward_rows(spark, awkward, labels, tmp_path):
         assert stage(spark, empty, str(tmp_path)).count() == 0, name
 
 
+def test_stages_leave_clashing_columns_alone(spark, docs, tmp_path):
+    names = ("judged", "toxicity", "_pii", "Toxicity_", "body", "at", "of", "row", "pii", "key", "s", "x", "kept")
+    plain = docs.filter("doc_id % 4 = 0")
+    extra = plain.select("*", *(F.concat(F.lit(f"{n}:"), "doc_id").alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, SF)
+        assert out.schema.simpleString() == extra.schema.simpleString(), name
+        rows = {r.doc_id: r for r in out.collect()}
+        assert all(r[n] == f"{n}:{i}" for i, r in rows.items() for n in names), name
+        same = {r.doc_id: r.text for r in stage(spark, plain, SF).collect()}
+        assert {i: r.text for i, r in rows.items()} == same, name
+
+
+def test_repeated_ids_are_one_row_of_the_sample(spark):
+    many = spark.range(3000).selectExpr("7L AS doc_id", "'word ' || (id % 900) AS text").unionByName(
+        spark.createDataFrame([(8, "other"), (9, None)], "doc_id long, text string"))
+    chosen = spark.createDataFrame([(7, 1), (7, 0), (8, 1), (9, 0)], "of long, quality int")
+    from ridegauge.llm.common import one_text
+
+    got = sorted((r.doc_id, r.quality, r.text) for r in one_text(many, chosen).collect())
+    assert got == [(7, 0, "word 0"), (7, 1, "word 0"), (8, 1, "other"), (9, 0, None)]
+
+
+def test_pii_without_bounds(spark):
+    labels = " (dot) ".join(f"part{i}" for i in range(12))
+    local = "x" * 300
+    texts = {
+        1: f"mail me at {local} (at) {labels} please", 2: "call 12 34 56 78 90 11 now", 3: "call 12 34 56 78 now",
+        4: "12 34 " * 20_000, 5: "a (dot) b " * 20_000 + "q (at) " + "c.d." * 20_000 + "com", 6: "11 22 33 444.5 x",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {
+        r.doc_id: [(r.text[c["start"]:c["end"]], pii.KINDS[c["kind"]]) for c in r.pii if not c["base"]]
+        for r in pii.detected(rows).collect()
+    }
+    assert found[1] == [(f"{local} (at) {labels} please".removesuffix(" please"), "email")]
+    assert found[2] == [("12 34 56 78 90 11", "phone")] and found[3] == []
+    assert found[4] == [] and len(found[5][0][0]) > 80_000
+    assert found[6] == [] or found[6][0][1] == "phone"
+
+
 def test_pipeline(spark, docs):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {r.doc_id for r in rows} < {r.doc_id for r in docs.collect()}
