@@ -20,8 +20,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def junk_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or the learned decision list go."""
-    judged = rules.judged(docs, rules.learned(docs, table(spark, sf_dir, "labels")))
-    return judged.filter("judged.kept").select(*docs.columns)
+    return rules.without_junk(docs, rules.learned(docs, table(spark, sf_dir, "labels")))
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
