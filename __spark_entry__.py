@@ -17,11 +17,11 @@ from ridegauge.functions import envelope
 from ridegauge.operators import windows
 from ridegauge.operators.ordering import positions
 from ridegauge.plans import changelog, history, reports, state
-from ridegauge.schemas import ROUTE
+from ridegauge.schemas import ROUTE, TRIP
 from ridegauge.session import work_folder
 from ridegauge.sinks.keyed_table import KeyedTable
-from ridegauge.sources import tables
-from ridegauge.streaming import live, updates
+from ridegauge.sources import messages, tables
+from ridegauge.streaming import live, polling, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,28 @@ def _operators_from_table(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
+def _operators_polled(spark: SparkSession, folder: str) -> DataFrame:
+    """The operator table, read whole by two polls."""
+    place = work_folder(spark, "polled")
+    operators = reports.operators_list(tables.part_routes(spark, folder))
+    table = KeyedTable(spark, f"{place}/table", ("operator",), operators.schema)
+    for _ in range(2):
+        polling.poll_into(table, lambda: operators, f"{place}/checkpoint").awaitTermination()
+    return table.read()
+
+
+def _trip_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips as messages, the seventh line of each order cut off in the middle."""
+    trips = tables.line_trips(spark, folder).select("id", "routeId", "passengerId", "transportType")
+    sent = envelope.encode(trips, "Trip", F.col("id")).select("key", "value")
+    broken = F.col("key").cast("bigint") % 8 == 7
+    return sent.select(F.when(broken, F.substring("value", 1, 20)).otherwise(F.col("value")).alias("value"))
+
+
+def _trips_from_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return messages.split(_trip_messages(spark, folder), TRIP)
+
+
 def _route_messages(spark: SparkSession, folder: str) -> DataFrame:
     routes = tables.part_routes(spark, folder).select(*ROUTE.fieldNames())
     return envelope.encode(routes, "Route", F.concat(F.lit("route_"), F.col("id")))
@@ -109,6 +131,8 @@ def _decoded_messages(spark: SparkSession, folder: str) -> DataFrame:
 STATE_QUERIES: dict[str, Query] = {
     "operators_list": _on_routes(reports.operators_list),
     "operators_from_table": _operators_from_table,
+    "operators_polled": _operators_polled,
+    "trips_from_messages": _trips_from_messages,
     "routes_latest": lambda spark, folder: state.latest_routes(
         tables.event_routes(spark, folder)
     ).drop("seq", "ts"),
@@ -533,6 +557,15 @@ def oracle_sql() -> dict[str, str]:
     current = {
         "operators_list": "SELECT DISTINCT p_type AS operator FROM part",
         "operators_from_table": "SELECT DISTINCT p_type AS operator FROM part",
+        "operators_polled": "SELECT DISTINCT p_type AS operator FROM part",
+        "trips_from_messages": """
+SELECT CASE WHEN l_linenumber < 7 THEN l_orderkey * 8 + l_linenumber END AS id,
+       CASE WHEN l_linenumber < 7 THEN l_partkey END AS routeId,
+       CAST(NULL AS VARCHAR) AS origin, CAST(NULL AS VARCHAR) AS destination,
+       CASE WHEN l_linenumber < 7 THEN l_orderkey END AS passengerId,
+       CASE WHEN l_linenumber < 7 THEN CONCAT('T', CAST(l_partkey % 25 AS VARCHAR)) END AS transportType,
+       CASE WHEN l_linenumber = 7 THEN '{"schema":{"type":"s' END AS unreadable
+FROM lineitem""",
         "routes_latest": _on(_LOG, select=_LATEST),
         "partitions_routes_latest": _on(_DEALT, select=_LATEST),
         "passengers_per_route":

@@ -31,6 +31,20 @@ def topic(spark: SparkSession, name: str, servers: str, stream: bool = False, **
     return raw.selectExpr("value", "partition", "offset", "timestamp AS ts")
 
 
+def split(messages: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
+    """Every message that is not null, parsed once: its record's fields, and ``unreadable``.
+
+    That is the message as text if none of the fields could be read from it, else null.  Position and
+    time are kept; with ``strict`` a malformed message raises.
+    """
+    keep = tuple(c for c in ("seq", *MESSAGE_ORDER) if c in messages.columns)
+    sent = messages.withColumnRenamed("value", "_sent").where(F.col("_sent").isNotNull())
+    parsed = decode(sent, schema, "_sent", keep=(*keep, "_sent"), strict=strict)
+    empty = F.coalesce(*(F.col(name).cast("string") for name in schema.fieldNames())).isNull()
+    unread = F.when(empty, F.col("_sent").cast("string")).alias("unreadable")
+    return parsed.select(*keep, *schema.fieldNames(), unread)
+
+
 def records(
     messages: DataFrame, schema: T.StructType, key: str | None = None, strict: bool = False
 ) -> DataFrame:
@@ -40,19 +54,14 @@ def records(
     with ``strict`` a malformed one raises.  Rows that lack a field are kept, as each report leaves
     out only what its own grouping needs; name a ``key`` to leave out rows without that field.
     """
-    keep = tuple(c for c in ("seq", *MESSAGE_ORDER) if c in messages.columns)
-    decoded = decode(messages, schema, keep=keep, strict=strict)
-    if key is not None:
-        return known(decoded, key)
-    return decoded.dropna("all", subset=schema.fieldNames())
+    read = split(messages, schema, strict).where("unreadable IS NULL").drop("unreadable")
+    return known(read, key) if key is not None else read
 
 
 def unreadable(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """The messages, as they came, that are not null and that ``records`` leaves out."""
-    wanted = T.StructType([T.StructField("payload", schema)])
-    payload = F.from_json(F.col("value").cast("string"), wanted)["payload"]
-    empty = F.coalesce(*(payload[name].cast("string") for name in schema.fieldNames())).isNull()
-    return messages.filter(F.col("value").isNotNull() & empty)
+    """The messages, as text, that are not null and that ``records`` leaves out, with position and time."""
+    lost = split(messages, schema).where("unreadable IS NOT NULL").withColumnRenamed("unreadable", "value")
+    return lost.select(*[c for c in messages.columns if c in ("value", "seq", *MESSAGE_ORDER)])
 
 
 def _in_order(found: DataFrame) -> DataFrame:
@@ -87,7 +96,7 @@ def message_files(spark: SparkSession, folder: str, stream: bool = False) -> Dat
 def operators_in_database(
     spark: SparkSession, url: str, query: str = "SELECT * FROM operators", **properties: str
 ) -> DataFrame:
-    """The operator table as it is now.  Schedule the job to poll; consumers tolerate repeats."""
+    """The operator table as it is now; ``streaming.polling`` reads it again and again."""
     return spark.read.format("jdbc").options(url=url, query=query, **properties).load()
 
 

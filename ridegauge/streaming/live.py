@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridegauge.operators.keyed import known
+from ridegauge.operators.ordering import MESSAGE_ORDER
 from ridegauge.operators.windows import HOUR, windowed_counts
 from ridegauge.plans.reports import most_used_type_per_hour
 from ridegauge.plans.suite import STATES
 from ridegauge.session import stream_settings, work_folder
 from ridegauge.sinks.batches import BatchFolders
 from ridegauge.sinks.keyed_table import KeyedTable
+from ridegauge.sources.messages import split
 
 
 def hourly_updates(routes: DataFrame, ts: str = "ts") -> DataFrame:
@@ -87,6 +89,37 @@ def enrich(
     return writer.trigger(**trigger_of(every)).start()
 
 
+def split_messages(
+    messages: DataFrame, schema: T.StructType, folder: str, every: str | None = None
+) -> StreamingQuery:
+    """Write a stream of messages as records and, beside them, those that cannot be read, parsing each once.
+
+    ``split_records`` and ``split_unreadable`` read them; a batch counts once both are written.
+    """
+    spark, checkpoint, kept = messages.sparkSession, f"{folder}/checkpoint", BatchFolders(messages.sparkSession, f"{folder}/rows")
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        run = run_of(spark, checkpoint)
+        if batch not in kept.finished(run):
+            kept.write(rows.withColumn("readable", F.col("unreadable").isNull()), batch, run, part="readable")
+
+    writer = split(messages, schema).writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
+    return writer.trigger(**trigger_of(every)).start()
+
+
+def split_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The records that ``split_messages`` has written."""
+    kept = BatchFolders(spark, f"{folder}/rows")
+    return kept.read(kept.finished(), "readable=true").drop("unreadable")
+
+
+def split_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """The messages that ``split_messages`` could not read, as text in ``unreadable``."""
+    kept = BatchFolders(spark, f"{folder}/rows")
+    read = kept.read(kept.finished(), "readable=false")
+    return read.select(*[c for c in ("seq", *MESSAGE_ORDER) if c in read.columns], "unreadable")
+
+
 def enriched(spark: SparkSession, folder: str) -> DataFrame:
     """The trips that ``enrich`` has written so far, each with the attributes of its route."""
     kept = BatchFolders(spark, f"{folder}/rows")
