@@ -281,13 +281,15 @@ def _hourly_updates(log: DataFrame) -> DataFrame:
     return live.hourly_updates(tables.publications_of_events(log))
 
 
-def _stream_operator_with_max_occupancy(spark: SparkSession, folder: str) -> DataFrame:
-    log = tables.event_stream(spark, folder)
-    occupancy = reports.occupancy_per_route(live.catch_up(_route_updates(log), "routeId").read())
-    versions = state.latest_routes(tables.routes_of_events(log), "operator")
-    latest = live.catch_up(versions, "id").read()
-    return reports.operator_with_max_occupancy(
-        reports.occupancy_with(occupancy, latest, "operator")
+def _profile_updates(log: DataFrame) -> DataFrame:
+    return state.route_profile(
+        tables.routes_of_events(log), tables.trips_of_events(log), "transportType", "operator"
+    )
+
+
+def _streamed_by(attribute: str, report: Callable[[DataFrame], DataFrame]) -> Query:
+    return _streamed(
+        _profile_updates, ("routeId",), lambda routes: report(reports.occupancy_by(routes, attribute))
     )
 
 
@@ -350,7 +352,23 @@ STREAM_QUERIES: dict[str, Query] = {
         _hourly_updates, ("window_start", "transportType"),
         lambda hourly: _in_utc(reports.most_used_type_per_hour(hourly)),
     ),
-    "stream_operator_with_max_occupancy": _stream_operator_with_max_occupancy,
+    "stream_operator_with_max_occupancy": _streamed_by("operator", reports.operator_with_max_occupancy),
+    "stream_least_occupied_route_per_type": _streamed_by(
+        "transportType", reports.least_occupied_route_per_type
+    ),
+    "stream_least_occupied_transport_type": _streamed_by(
+        "transportType", reports.least_occupied_transport_type
+    ),
+    "stream_passengers_per_route": _streamed(
+        _route_updates, ("routeId",), reports.passengers_per_route
+    ),
+    "stream_total_passengers": _streamed(_route_updates, ("routeId",), reports.total_passengers),
+    "stream_total_available_seats": _streamed(
+        _route_updates, ("routeId",), reports.total_available_seats
+    ),
+    "stream_busiest_transport_type": _streamed(
+        _type_updates, ("transportType",), reports.busiest_transport_type
+    ),
     "stream_trips_enriched": _stream_trips_enriched,
     "stream_occupancy_updates": _stream_occupancy_updates,
     "stream_publications_in_open_hour": _stream_publications_in_open_hour,
@@ -734,6 +752,24 @@ FROM part""",
         "stream_available_seats_per_route": current["log_available_seats_per_route"],
         "stream_occupancy_per_route": current["log_occupancy_per_route"],
         "stream_total_occupancy": current["log_total_occupancy"],
+        "stream_least_occupied_route_per_type": _on(_LOG, _STATE, select=_LEAST_ROUTE),
+        "stream_least_occupied_transport_type": _on(
+            _LOG, _STATE,
+            select="SELECT 'min_occupancy' AS id, type AS value FROM named GROUP BY type "
+            "ORDER BY CAST(AVG(CAST(pct AS DOUBLE)) AS FLOAT), type LIMIT 1",
+        ),
+        "stream_passengers_per_route":
+            _on(_LOG, select="SELECT routeId AS id, COUNT(*) AS value FROM trips GROUP BY routeId"),
+        "stream_total_passengers":
+            _on(_LOG, select="SELECT CAST(0 AS BIGINT) AS id, COUNT(*) AS value FROM trips"),
+        "stream_total_available_seats": _on(
+            _LOG, _STATE, select="SELECT CAST(0 AS BIGINT) AS id, s AS value FROM totals"
+        ),
+        "stream_busiest_transport_type": _on(
+            _LOG,
+            select="SELECT 'highest' AS id, type AS value FROM trips GROUP BY type "
+            "ORDER BY COUNT(*) DESC, type LIMIT 1",
+        ),
         "stream_total_passengers_changelog": updates["total_passengers_changelog"],
         "stream_avg_passengers_per_type": _on(_LOG, select=_AVERAGE),
         "stream_passenger_with_most_trips": _on(_LOG, select=_TOP_PASSENGER),

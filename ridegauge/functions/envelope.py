@@ -1,5 +1,7 @@
 """JSON messages that carry their own schema: ``{"schema": {...}, "payload": {...}}``."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +28,17 @@ def schema_literal(schema: T.StructType, name: str) -> Column:
 
 
 def encode(df: DataFrame, name: str, key: Column | None = None, envelope: bool = True) -> DataFrame:
-    """Rows to ``key, value`` messages.  Null fields are left out of the payload."""
+    """Rows to ``key, value`` messages.  Null fields are left out of the payload.
+
+    A row of nulls alone is what ``decode`` makes of a null message, and becomes one again.
+    """
     payload = F.struct(*[F.col(c) for c in df.columns])
     body = payload
     if envelope:
         body = F.struct(schema_literal(df.schema, name).alias("schema"), payload.alias("payload"))
     key = F.lit(None).cast("string") if key is None else key.cast("string")
-    return df.select(key.alias("key"), F.to_json(body).alias("value"))
+    some = reduce(Column.__or__, [F.col(c).isNotNull() for c in df.columns])
+    return df.select(key.alias("key"), F.when(some, F.to_json(body)).alias("value"))
 
 
 def decode(

@@ -82,9 +82,9 @@ def occupancy_with(occupancy: DataFrame, latest: DataFrame, attribute: str) -> D
 
 
 def occupancy_by(travelled: DataFrame, attribute: str) -> DataFrame:
-    """The same from ``state.travelled_routes``, which has the attribute already."""
+    """The same from ``state.travelled_routes`` or ``route_profile``, which have the attribute already."""
     pct = occupancy_pct(F.col("passengers"), F.col("seats")).alias("occupancyPercentage")
-    return _with_seats(travelled).select("routeId", F.col(attribute).alias("name"), pct)
+    return known(_with_seats(travelled), "passengers").select("routeId", F.col(attribute).alias("name"), pct)
 
 
 def least_occupied_route_per_type(typed: DataFrame) -> DataFrame:

@@ -33,6 +33,29 @@ def route_state(routes: DataFrame, trips: DataFrame) -> DataFrame:
     )
 
 
+def route_profile(routes: DataFrame, trips: DataFrame, *attributes: str) -> DataFrame:
+    """``route_state`` with attributes of the last published version, null where none is published.
+
+    One grouping too, so a stream keeps one state for every report on occupancies and their names.
+    """
+    none, order = F.lit(None), order_key(routes)
+    newest = F.struct(*attributes)
+    published = known(routes, "id").select(
+        F.col("id").alias("routeId"), F.col("passengerCapacity").alias("capacity"),
+        none.cast("bigint").alias("trip"), newest.alias("version"), order.alias("at"),
+    )
+    kinds = {name: published.schema[name].dataType for name in ("version", "at")}
+    travelled = known(trips, "routeId").select(
+        "routeId", none.cast("bigint").alias("capacity"), F.lit(1).cast("bigint").alias("trip"),
+        *(none.cast(kind).alias(name) for name, kind in kinds.items()),
+    )
+    grouped = published.unionByName(travelled).groupBy("routeId").agg(
+        F.sum("capacity").alias("capacity"), F.sum("trip").alias("passengers"),
+        F.max_by("version", "at").alias("version"),
+    )
+    return grouped.select("routeId", "capacity", "passengers", "version.*")
+
+
 def type_state(routes: DataFrame, trips: DataFrame) -> DataFrame:
     """``transportType, routes, trips``: route publications and trips of each type."""
     one, none = F.lit(1).cast("bigint"), F.lit(None).cast("bigint")

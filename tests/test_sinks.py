@@ -47,6 +47,14 @@ def test_roundtrip(spark, envelope):
     assert back.schema == df.schema
 
 
+@pytest.mark.parametrize("envelope", [True, False])
+def test_a_null_record_is_a_null_message(spark, envelope):
+    df = spark.createDataFrame([(None,) * 6, (None, None, None, None, None, "B")], ROUTE)
+    sent = encode(df, "Route", F.lit("k"), envelope=envelope)
+    assert [(r["key"], r["value"] is None) for r in sent.collect()] == [("k", True), ("k", False)]
+    assert values(decode(sent, ROUTE, envelope=envelope)) == values(df)
+
+
 def test_decode_null_missing_and_malformed(spark):
     data = [(0, None), (1, '{"payload":{"id":7}}'), (2, "{broken"), (3, "")]
     df = spark.createDataFrame(data, "seq bigint, value string")
