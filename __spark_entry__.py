@@ -17,8 +17,9 @@ from ridegauge.functions import envelope
 from ridegauge.operators import windows
 from ridegauge.operators.ordering import positions
 from ridegauge.plans import changelog, history, reports, state
-from ridegauge.schemas import ROUTE, TRIP
+from ridegauge.schemas import MESSAGE, ROUTE, TRIP
 from ridegauge.session import work_folder
+from ridegauge.sinks import message_log
 from ridegauge.sinks.keyed_table import KeyedTable
 from ridegauge.sources import messages, tables
 from ridegauge.streaming import live, polling, updates
@@ -318,6 +319,19 @@ def _stream_occupancy_updates(spark: SparkSession, folder: str) -> DataFrame:
     return updates.occupancy_updates(spark, kept).select("seq", "routeId", "occupancyPercentage")
 
 
+def _stream_route_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Publications sent as messages in two micro-batches, and read back from the log."""
+    routes = tables.event_routes(spark, folder).select("id", "passengerCapacity", "transportType", "operator", "seq")
+
+    def start(stream: DataFrame, place: str):
+        sent = envelope.encode(stream.drop("seq"), "Route", F.concat(F.lit("route_"), F.col("id")))
+        return message_log.write_log(sent, f"{place}/messages", f"{place}/checkpoint")
+
+    place = live.in_turns(routes, tables.turns_of(routes, "seq", 2), 2, start)
+    sent = message_log.read_log(spark, f"{place}/messages", MESSAGE)
+    return envelope.decode(sent, ROUTE, keep=("key",)).drop("origin", "destination")
+
+
 def _stream_publications_in_open_hour(spark: SparkSession, folder: str) -> DataFrame:
     orders = tables.order_publications(spark, folder)
     return live.append_in_turns(orders, tables.turns_of(orders, "seq", 4), 4, updates.in_open_hour)
@@ -371,6 +385,7 @@ STREAM_QUERIES: dict[str, Query] = {
     ),
     "stream_trips_enriched": _stream_trips_enriched,
     "stream_occupancy_updates": _stream_occupancy_updates,
+    "stream_route_messages": _stream_route_messages,
     "stream_publications_in_open_hour": _stream_publications_in_open_hour,
     "stream_hourly_leaders": lambda spark, folder: _in_utc(
         live.current_hourly_leaders(_hourly_updates(tables.event_stream(spark, folder))).read()
@@ -781,6 +796,11 @@ FROM part""",
             + _hourly_leader(),
         "stream_counters": _on(_LOG, select=_COUNTERS),
         "stream_occupancy_updates": updates["occupancy_updates"],
+        "stream_route_messages": _on(
+            _LOG,
+            select="SELECT CONCAT('route_', CAST(id AS VARCHAR)) AS key, id, "
+            "capacity AS passengerCapacity, type AS transportType, operator FROM routes",
+        ),
         "stream_publications_in_open_hour": updates["publications_in_open_hour"],
         "stream_trips_enriched": _on(
             _LOG, _UPDATES,

@@ -21,6 +21,9 @@ NAME_VALUE = _record(id=_TEXT, value=_TEXT)
 ROUTE_OCCUPANCY = _record(routeId=_LONG, occupancyPercentage=_FLOAT)
 ROUTE_OCCUPANCY_NAMED = _record(routeId=_LONG, name=_TEXT, occupancyPercentage=_FLOAT)
 
+# What a topic holds of a record.
+MESSAGE = _record(key=_TEXT, value=_TEXT)
+
 # Position and record time of a message, which travel beside its fields.
 SEQ = T.StructField("seq", T.LongType())
 TS = T.StructField("ts", T.TimestampType())
