@@ -6,7 +6,8 @@ multiplied; the matrices of a task are added there, those of all tasks in a grou
 the driver gets one matrix, whose size is that of a vector squared.
 
 Its eigenvectors are found in mixed precision.  A float32 solver gives a first basis.  Ogita and
-Aishima's refinement then works with matrix products in extended precision alone: from the basis X,
+Aishima's refinement then works with matrix products in extended precision alone, each made of
+exact products of sliced doubles: from the basis X,
 the defect of orthogonality R = I - X'X and the matrix in that basis S = X'AX follow better eigenvalues
 and a correction X + XE, and each step doubles the correct digits.  It cannot tell eigenvalues apart
 that lie closer than the error of the basis.  Columns of such a cluster are turned among themselves by
@@ -35,6 +36,8 @@ _ROWS = 4096
 
 # Extended precision where the machine has it; else double, which still refines float32.
 _HIGH = np.longdouble
+_EPS = max(float(np.finfo(_HIGH).eps), 2.0**-58)
+_SLICES = 3
 
 
 class Basis(NamedTuple):
@@ -151,13 +154,41 @@ def _clusters(values: np.ndarray, gap: float) -> list[np.ndarray]:
     return [part for part in np.split(order, ends) if len(part) > 1]
 
 
+def _slices(matrix: np.ndarray, axis: int, bits: int) -> list[np.ndarray]:
+    """Doubles that add up to ``matrix``, each with ``bits`` bits below the largest of its row or column."""
+    left, found = matrix, []
+    for _ in range(_SLICES):
+        most = np.abs(left).max(axis=axis, keepdims=True)
+        unit = np.exp2(np.ceil(np.log2(np.where(most > 0, most, 1))) - bits).astype(_HIGH)
+        whole = np.rint(left / unit) * unit
+        found.append(whole.astype(np.float64))
+        left = left - whole
+    return found
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` in extended precision out of products of doubles that are exact.
+
+    The slices have so few bits that no product of two of them, nor a sum of these, is rounded; what
+    the last slices leave out is below the precision asked for.  So the work is done by the double
+    precision matrix product of the machine, whatever the size.
+    """
+    bits = (52 - int(np.ceil(np.log2(max(a.shape[1], 2))))) // 2
+    left, right = _slices(a, 1, bits), _slices(b, 0, bits)
+    total = np.zeros((a.shape[0], b.shape[1]), _HIGH)
+    for places in range(_SLICES - 1, -1, -1):  # small terms first
+        for i in range(places + 1):
+            total += left[i] @ right[places - i]
+    return total
+
+
 def _orthogonal(axes: np.ndarray) -> np.ndarray:
     """The nearest basis of unit columns at right angles, by Newton's iteration on matrix products."""
     one = np.eye(axes.shape[1], dtype=_HIGH)
     for _ in range(60):
-        defect = one - axes.T @ axes
-        axes = axes + axes @ defect / 2
-        if np.abs(defect).max() < 4 * len(axes) * np.finfo(_HIGH).eps:
+        defect = one - product(axes.T, axes)
+        axes = axes + product(axes, defect) / 2
+        if np.abs(defect).max() < 4 * len(axes) * _EPS:
             break
     return axes
 
@@ -165,32 +196,32 @@ def _orthogonal(axes: np.ndarray) -> np.ndarray:
 def refined(matrix: np.ndarray, axes: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and eigenvectors of a symmetric matrix from an approximate basis of its eigenvectors."""
     a, x = matrix.astype(_HIGH), _orthogonal(axes.astype(_HIGH))
-    one, eps = np.eye(len(a), dtype=_HIGH), float(np.finfo(_HIGH).eps)
+    one = np.eye(len(a), dtype=_HIGH)
     size = float(np.abs(a).sum(axis=1).max())
-    values = np.diag(x.T @ a @ x)
     for _ in range(steps):
-        defect, inside = one - x.T @ x, x.T @ a @ x
+        ax = product(a, x)
+        defect, inside = one - product(x.T, x), product(x.T, ax)
         values = np.diag(inside) / (1 - np.diag(defect))
         off = inside - np.diag(values)
         error = 2 * (float(np.sqrt((off * off).sum())) + size * float(np.sqrt((defect * defect).sum())))
-        gap = max(error, len(a) * eps * size)
+        gap = max(error, len(a) * _EPS * size)
         close = np.abs(values[:, None] - values[None, :]) <= gap
         apart = np.where(close, one[0, 0], values[None, :] - values[:, None])
         step = np.where(close, defect / 2, (inside + values[None, :] * defect) / apart)
-        x = x + x @ step
+        x = x + product(x, step)
         for cluster in _clusters(np.asarray(values, np.float64), gap):
             own = _orthogonal(x[:, cluster])
             middle = values[cluster].mean()
-            block = own.T @ (a @ own - middle * own)
+            block = product(own.T, product(a, own) - middle * own)
             scale = np.abs(block).max()
             if scale > 0:
                 turn = np.linalg.eigh(np.asarray((block + block.T) / (2 * scale), np.float64))[1]
-                own = own @ _orthogonal(turn.astype(_HIGH))
+                own = product(own, _orthogonal(turn.astype(_HIGH)))
             x[:, cluster] = own
-        if float(np.abs(step).max()) < 8 * len(a) * eps:
+        if float(np.abs(step).max()) < 8 * len(a) * _EPS:
             break
     x = _orthogonal(x)
-    return np.diag(x.T @ a @ x), x
+    return np.diag(product(x.T, product(a, x))), x
 
 
 def eigen(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

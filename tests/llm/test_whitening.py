@@ -71,6 +71,18 @@ def test_refinement(values):
             assert 1 - abs(own @ found[:, i]) < (4e-15 * max(values) / gap) ** 2 + 1e-14
 
 
+@pytest.mark.parametrize("shape", [(3, 5, 4), (40, 64, 7), (1, 1, 1), (20, 1000, 20)])
+def test_product_is_that_of_whole_numbers(shape):
+    draw = np.random.default_rng(2)
+    a = draw.integers(-(2**30), 2**30, shape[:2]).astype(np.longdouble) * 2.0 ** draw.integers(-20, 20, (shape[0], 1))
+    b = draw.integers(-(2**30), 2**30, shape[1:]).astype(np.longdouble)
+    exact = np.array(a * 2.0**20, object) @ np.array(b, object)
+    got = whitening.product(a, b) * 2.0**20
+    small = np.abs(a * 2.0**20) @ np.abs(b)
+    assert (np.abs(got - exact.astype(np.longdouble)) <= small * 2.0**-58).all()
+    assert (whitening.product(np.zeros_like(a), b) == 0).all()
+
+
 def test_refinement_improves_on_its_start():
     matrix, _ = spectrum([7.0, 3.0, 2.9999, 1.0])
     low = np.linalg.eigh(matrix.astype(np.float32))[1].astype(np.float64)
