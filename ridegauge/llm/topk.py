@@ -6,8 +6,13 @@ into the first coordinates.  Vectors are sorted by length, longest first, and pa
 so are queries.  The longest blocks seed each query's k-th score.  After that a pair of blocks is
 formed only if its two largest lengths can beat the lowest seed of the query block, and inside a pair
 only rows survive whose partial product plus the product of residual lengths can reach the query's
-score so far.  Survivors get the exact integer product.  Queries meet candidates block by block;
-each pair of blocks yields at most k rows per query, which are merged by a last ranking.
+score so far.  Survivors get the exact integer product.
+
+Blocks of vectors are dealt, by the order of their length, to at most ``SLOTS`` slots, and query blocks to
+groups; a slot and a group make one task, so tasks are even and no length class is a hot key.  A task
+takes a query block through all blocks of its slot and keeps the query's k best between them, so what
+it has found narrows what follows, and it gives k rows per query however many blocks there are.  A last
+ranking merges the slots.
 
 A vector that is null, or holds a null or non-finite component, takes no part, nor does one without
 ``vec_id``.  Vectors of different lengths count as filled up with zeros.  Repeated rows (same id and
@@ -17,15 +22,19 @@ another.  An empty table gives an empty result.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ridegauge.session import written
 
 BLOCK = 2048
-QUERY_BLOCK = 512
+QUERY_BLOCK = 128
+SLOTS = 64
+_PER_SLOT = 6  # blocks of vectors, or of queries, that are worth a task of their own
 _SAFE = 2.0**52
+_PAIR = ("number", "slot", "q_ids", "q_xs", "least", "ids", "xs")
 
 
 def whole_components(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -67,37 +76,40 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
 
 
 def _packed(vectors: DataFrame, width: int, size: int) -> DataFrame:
-    """Blocks of ``size`` vectors, longest first: ``longest``, and the ids and vectors in bytes."""
+    """Blocks of ``size`` vectors, longest first: ``longest``, and the ids and vectors in bytes.
+
+    ``turn`` numbers the blocks of a task one after the other, each task from its own number on.
+    """
     def pack(batches):
-        ids, rows = [], []
+        ids, rows, turn = [], [], TaskContext.get().partitionId()
         for batch in batches:
             ids += batch["vec_id"].tolist()
             rows.append(_matrix(batch["x"], width))
             if len(ids) >= 4 * size:
                 x = np.concatenate(rows)
                 cut = len(ids) // size * size
-                yield blocks(ids[:cut], x[:cut])
-                ids, rows = ids[cut:], [x[cut:]]
+                yield blocks(ids[:cut], x[:cut], turn)
+                ids, rows, turn = ids[cut:], [x[cut:]], turn + cut // size
         if ids:
-            yield blocks(ids, np.concatenate(rows))
+            yield blocks(ids, np.concatenate(rows), turn)
 
-    def blocks(ids, x):
+    def blocks(ids, x, turn):
         norms = np.sqrt((x.astype(float) ** 2).sum(axis=1))
         found = []
         for at in range(0, len(ids), size):
             part = slice(at, at + size)
             found.append((
                 float(norms[part].max()), len(ids[part]),
-                np.array(ids[part], np.int64).tobytes(), x[part].tobytes(),
+                np.array(ids[part], np.int64).tobytes(), x[part].tobytes(), turn + at // size,
             ))
-        return pd.DataFrame(found, columns=["longest", "rows", "ids", "xs"])
+        return pd.DataFrame(found, columns=["longest", "rows", "ids", "xs", "turn"])
 
     squared = F.aggregate("x", F.lit(0.0), lambda a, c: a + c.cast("double") * c)
     ordered = vectors.withColumn("squared", squared)
     sorted_rows = ordered.repartitionByRange(F.desc("squared"), F.col("vec_id")).sortWithinPartitions(
         F.desc("squared"), "vec_id"
     )
-    return sorted_rows.select("vec_id", "x").mapInPandas(pack, "longest double, rows int, ids binary, xs binary")
+    return sorted_rows.select("vec_id", "x").mapInPandas(pack, "longest double, rows int, ids binary, xs binary, turn int")
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -108,25 +120,45 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return q @ c.T
 
 
-def _best(queries, qx, ids, cx, k, least, turn, head, lengths) -> list[tuple]:
-    """Rows (query number, vec_id, score) of the k best of a block for each query of a block."""
-    found = []
-    rotated = cx.astype(float) @ turn
-    rest = np.sqrt(np.maximum((rotated[:, head:] ** 2).sum(axis=1), 0))
-    turned = qx.astype(float) @ turn
-    q_rest = np.sqrt(np.maximum((turned[:, head:] ** 2).sum(axis=1), 0))
-    slack = 1e-9 * (1 + np.outer(np.sqrt((turned**2).sum(axis=1)), lengths))
-    bound = turned[:, :head] @ rotated[:, :head].T + np.outer(q_rest, rest) + slack
-    alive = bound >= least[:, None]
-    for i in np.flatnonzero(alive.any(axis=1)):
-        rows = np.flatnonzero(alive[i])
-        rows = rows[ids[rows] != queries[i]]
-        if not len(rows):
-            continue
-        scores = _products(qx[i : i + 1], cx[rows])[0]
-        order = np.lexsort((ids[rows], -scores))[:k]
-        found += [(i, int(ids[rows][j]), int(scores[j])) for j in order]
-    return found
+class _Best:
+    """The k best of each query of a block, over all blocks of vectors that it has met."""
+
+    def __init__(self, queries, qx, least, k, turn, head):
+        self.queries, self.qx, self.least, self.k, self.turn, self.head = queries, qx, least.copy(), k, turn, head
+        self.turned = qx.astype(float) @ turn
+        self.lengths = np.sqrt((self.turned**2).sum(axis=1))
+        self.rest = np.sqrt(np.maximum((self.turned[:, head:] ** 2).sum(axis=1), 0))
+        none = np.empty(0, np.int64)
+        self.ids, self.scores = [none] * len(queries), [none] * len(queries)
+
+    def meet(self, ids: np.ndarray, cx: np.ndarray) -> None:
+        lengths = np.sqrt((cx.astype(float) ** 2).sum(axis=1))
+        slack = 1e-9 * (1 + np.outer(self.lengths, lengths))
+        hopeful = (np.outer(self.lengths, lengths) + slack >= self.least[:, None]).any(axis=1)
+        if not hopeful.any():
+            return
+        rotated = cx.astype(float) @ self.turn
+        rest = np.sqrt(np.maximum((rotated[:, self.head:] ** 2).sum(axis=1), 0))
+        bound = self.turned[:, : self.head] @ rotated[:, : self.head].T + np.outer(self.rest, rest) + slack
+        alive = bound >= self.least[:, None]
+        for i in np.flatnonzero(alive.any(axis=1)):
+            rows = np.flatnonzero(alive[i])
+            rows = rows[ids[rows] != self.queries[i]]
+            if not len(rows):
+                continue
+            found = np.concatenate([self.ids[i], ids[rows]])
+            scores = np.concatenate([self.scores[i], _products(self.qx[i : i + 1], cx[rows])[0]])
+            order = np.lexsort((found, -scores))[: self.k]
+            self.ids[i], self.scores[i] = found[order], scores[order]
+            if len(order) == self.k:
+                self.least[i] = max(self.least[i], float(scores[order[-1]]))
+
+    def rows(self, number: int) -> pd.DataFrame:
+        place = np.repeat(np.arange(len(self.ids)), [len(found) for found in self.ids])
+        return pd.DataFrame({
+            "query": number, "place": place, "query_id": self.queries[place],
+            "vec_id": np.concatenate(self.ids), "score": np.concatenate(self.scores),
+        })
 
 
 def top_k(
@@ -168,36 +200,44 @@ def top_k(
         _packed(queries, width, QUERY_BLOCK).withColumn("number", F.monotonically_increasing_id())
         .mapInPandas(seeded, "number long, ids binary, xs binary, least binary, needs double"), "query-blocks",
     )
-    # Each block of vectors goes to the query blocks it can matter to, by an equality on how long it
-    # is: lengths are cut into classes, and a query block is listed under each class it needs.
-    longest = blocks.agg(F.max("longest")).first()[0]
-    classes = 32
-    of_class = F.least(F.floor(F.col("longest") / (longest or 1.0) * classes), F.lit(classes - 1)).cast("int")
-    needed = F.greatest(F.floor(F.greatest(F.col("needs"), F.lit(0.0)) / (longest or 1.0) * classes), F.lit(0))
+    longest, many = blocks.agg(F.max("longest"), F.count("*")).first()
+    slots = max(1, min(SLOTS, -(-many // _PER_SLOT)))
+    groups = max(1, min(SLOTS, -(-query_blocks.count() // _PER_SLOT)))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
     listed = query_blocks.filter(F.col("needs") <= longest).select(
         "number", F.col("ids").alias("q_ids"), F.col("xs").alias("q_xs"), "least", "needs",
-        F.explode(F.sequence(F.least(needed, F.lit(classes - 1)).cast("int"), F.lit(classes - 1))).alias("class"),
+        F.pmod(F.xxhash64("number"), F.lit(groups)).cast("int").alias("group"), every(slots).alias("slot"),
     )
-    pairs = listed.join(blocks.withColumn("of_class", of_class), F.col("class") == F.col("of_class")).filter(
-        "longest >= needs"
+    # blocks are numbered in order of length, so neighbours go to different slots and each has long and short ones
+    dealt = blocks.select(
+        "longest", "ids", "xs", F.pmod("turn", F.lit(slots)).alias("of_slot"), every(groups).alias("of_group")
     )
+    # a merge join goes through a slot once for each query block, and holds it on disk if need be
+    pairs = listed.join(
+        dealt.hint("merge"), (F.col("slot") == F.col("of_slot")) & (F.col("group") == F.col("of_group"))
+    ).filter("longest >= needs")
 
     def search(batches):
+        """The pairs of a query block follow one another, as the join goes through its blocks one by one."""
+        best, at = None, None
         for rows in batches:
-            for ids, xs, q_ids, q_xs, least, number in zip(
-                rows["ids"], rows["xs"], rows["q_ids"], rows["q_xs"], rows["least"], rows["number"]
-            ):
-                c_ids, cx = np.frombuffer(ids, np.int64), np.frombuffer(xs, np.int64).reshape(-1, width)
-                q, qx = np.frombuffer(q_ids, np.int64), np.frombuffer(q_xs, np.int64).reshape(-1, width)
-                lengths = np.sqrt((cx.astype(float) ** 2).sum(axis=1))
-                found = _best(q, qx, c_ids, cx, k, np.frombuffer(least, float), turn, min(head, width), lengths)
-                if found:
-                    place, vec, score = (np.array(x, np.int64) for x in zip(*found))
-                    yield pd.DataFrame({
-                        "query": number, "place": place, "query_id": q[place], "vec_id": vec, "score": score,
-                    })
-
-    best = pairs.select("number", "q_ids", "q_xs", "least", "ids", "xs").mapInPandas(
+            for number, slot, q_ids, q_xs, least, ids, xs in zip(*(rows[c] for c in _PAIR)):
+                if (number, slot) != at:
+                    if best is not None:
+                        yield best.rows(at[0])
+                    at = number, slot
+                    best = _Best(
+                        np.frombuffer(q_ids, np.int64), np.frombuffer(q_xs, np.int64).reshape(-1, width),
+                        np.frombuffer(least, float), k, turn, min(head, width),
+                    )
+                best.meet(np.frombuffer(ids, np.int64), np.frombuffer(xs, np.int64).reshape(-1, width))
+        if best is not None:
+            yield best.rows(at[0])
+
+    best = pairs.select(*_PAIR).mapInPandas(
         search, "query long, place long, query_id long, vec_id long, score long"
     )
     ranked = W.partitionBy("query", "place").orderBy(F.desc("score"), "vec_id")
