@@ -8,9 +8,12 @@ Every word of the training texts is clustered, over the word bigrams of all of t
 by frequency; a table holds, for each word, which words come before and after it and how often.  In
 each round the tasks sum these by class; a share of the words, drawn anew each round, may move to the
 class that raises the likelihood most.  The ``most_units`` most frequent words are exchanged first,
-then all.  A round that lowers the likelihood is undone and the share halved.  It ends when a round
+then all.  A round that lowers the likelihood is undone and the share halved.  When a round
 of at least half of the words gains less than ``TOLERANCE`` of what all rounds before have gained, or
-after twelve rounds in a row without a gain.
+twelve rounds in a row gain nothing, a last round offers a move to every word at once, and is kept if it gains.
+
+Words meet their numbers by a 64-bit hash; a pair of words with one hash would count for both, and
+a thousand million words are expected to hold 0.03 such pairs.
 
 The word counts and neighbours are distributed tables.  The classes of all words, one byte each, are
 on the driver and in every task that exchanges.  Scoring looks up the frequent words in the task and
@@ -216,7 +219,7 @@ def exchanged(
     classes = (np.arange(size) % many).astype(np.uint8 if many <= 256 else np.int32)
     drawn = np.random.default_rng(11)
     transitions = _transitions(around, classes, many)
-    gained, share, turn, failed, first = 0.0, 1.0, 0, 0, min(size, most_units)
+    gained, share, turn, failed, first, last = 0.0, 1.0, 0, 0, min(size, most_units), False
     while size and (rounds is None or turn < rounds):
         turn += 1
         among = first if first < size else size
@@ -229,13 +232,16 @@ def exchanged(
         gain = _likelihood(counted) - _likelihood(transitions)
         if gain > 0:
             classes, transitions, gained = moved, counted, gained + gain
+        if last:
+            break
         failed = 0 if gain > 0 else failed + 1
         if failed and failed < 12 and (len(ids) or share < 1):
             share = share / 2 if len(ids) else 1.0
         elif failed or gain <= TOLERANCE * gained and share >= 0.5:
             if first == size:
-                break
-            first, share, failed = size, 0.5, 0
+                last, share = True, 1.0
+            else:
+                first, share, failed = size, 0.5, 0
         else:
             share = min(0.5, 2 * share)
     return classes, transitions
