@@ -6,30 +6,40 @@ that gives its place in the archive.  Sizes and places are written as ZIP64.  Pa
 bytes that Spark's own writer puts into files, one row a file, so any file system Spark knows will
 do; the line end that writer adds is the ZIP comment.
 
-The reader finds the end record, follows the ZIP64 locator where there is one, parses the central
-directory, and cuts single records out by their places.  Nothing is extracted.
+The reader lists the packages without their content.  A task per package finds the end record, follows
+the ZIP64 locator where there is one, and reads the central directory and the index, all by ranges.  The
+places of records, in spans of about ``SPAN`` bytes, are dealt evenly over tasks, which read just these
+ranges; so one large package is many tasks' work and no package is ever in memory as a whole.  Nothing is
+extracted.  Ranges are read through Arrow's file systems; where these cannot open a package and only
+Spark can, each package is read whole into its task and its records are cut out there.
 
 Null payloads are empty.  Of rows with equal payloads of at least ``least`` bytes the one with the
 smallest ``page_id`` is a response, the others are revisits of it without a payload; rows with that
-same ``page_id`` are responses too.  Where all of them lack a ``page_id``, all are responses.
+same ``page_id`` are responses too.  Where all of them lack a ``page_id``, all are responses.  Payloads of any
+length are stored whole.  No rows give no packages and read back as none.  Only the id, the URL and the page are read,
+so other columns may have any name.
 """
 
 import hashlib
 import io
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridegauge.llm.common import whole
-from ridegauge.session import work_folder
+from ridegauge.session import work_folder, written
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 _WIDE, _WIDE16 = 0xFFFFFFFF, 0xFFFF
 _COMMENT = b"\n"
+SPAN = 1 << 20
+SPANS_PER_TASK = 64
 
 
 # --- ZIP ---------------------------------------------------------------------------------
@@ -221,33 +231,83 @@ def write(pages: DataFrame, folder: str, most: int = 4 << 20) -> None:
     ).option("lineSep", _COMMENT.decode()).option("compression", "none").text(folder)
 
 
+_SCHEMA = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
+    ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
+    ("payload_digest", pa.string()),
+])
+_COLUMNS = (
+    "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, "
+    "payload_digest string"
+)
+
+
+def opened(path: str) -> pa.NativeFile:
+    """A package for reading by ranges, from the path that Spark lists."""
+    uri = path.replace("file:/", "file:///", 1) if re.match("file:/[^/]", path) else path
+    files, place = fs.FileSystem.from_uri(uri)
+    return files.open_input_file(place)
+
+
+def _opens(path: str) -> bool:
+    try:
+        opened(path).close()
+    except (OSError, ValueError, NotImplementedError):  # Arrow's own errors are kinds of these
+        return False
+    return True
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of the packages in ``folder``: its ``page_id, url, record_type, refers_to,
     payload, payload_bytes, payload_digest``; a revisit has no payload, but its length and digest."""
-    schema = pa.schema([
-        ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
-        ("refers_to", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
-        ("payload_digest", pa.string()),
-    ])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    packages = files.select("path", "length").filter("length > 0")
+    first = packages.first()
+    if first is None:
+        return spark.createDataFrame([], _COLUMNS)
+    if not _opens(first["path"]):
+        return _read_whole(files)
+
+    def spans(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(*(column.to_pylist() for column in batch.columns)):
+                with opened(path) as file:
+                    found = list(_spans(lambda at, many: file.read_at(many, at), size))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(found)), pa.array([at for at, _ in found], pa.int64()),
+                     pa.array([lengths for _, lengths in found], pa.list_(pa.int64()))],
+                    names=["path", "at", "lengths"],
+                )
 
+    def records(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, at, lengths in zip(*(column.to_pylist() for column in batch.columns)):
+                with opened(path) as file:
+                    packed = memoryview(file.read_at(sum(lengths), at))
+                rows, start = [], 0
+                for length in lengths:
+                    rows.append(_record(packed[start : start + length]))
+                    start += length
+                yield _batch(rows, _SCHEMA)
+
+    placed = written(packages.mapInArrow(spans, "path string, at long, lengths array<long>"), "spans")
+    tasks = max(spark.sparkContext.defaultParallelism, placed.count() // SPANS_PER_TASK)
+    return placed.repartition(tasks).mapInArrow(records, _COLUMNS)
+
+
+def _read_whole(files: DataFrame) -> DataFrame:
     def records(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                whole_file = memoryview(content.as_buffer())
-                rows = []
-                for row in _cut(lambda at, size: whole_file[at : at + size], len(whole_file)):
-                    rows.append(row)
-                    if len(rows) == 256:
-                        yield _batch(rows, schema)
-                        rows = []
-                if rows:
-                    yield _batch(rows, schema)
+                package = memoryview(content.as_buffer())
+                for at, lengths in _spans(lambda at, many: package[at : at + many], len(package)):
+                    rows = []
+                    for length in lengths:
+                        rows.append(_record(package[at : at + length]))
+                        at += length
+                    yield _batch(rows, _SCHEMA)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
-    return files.select("content").mapInArrow(
-        records, "page_id long, url string, record_type string, refers_to long, payload binary, "
-        "payload_bytes long, payload_digest string",
-    )
+    return files.select("content").mapInArrow(records, _COLUMNS)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -256,24 +316,34 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _cut(read_range, size: int) -> Iterator[tuple]:
-    """The records of one package, each read by its place in the index."""
+def _spans(read_range, size: int) -> Iterator[tuple[int, list[int]]]:
+    """Where spans of records of one package start, and the lengths of the records in each."""
     places = directory(read_range, size)
-    start = places[DATA][0]
+    start, at, lengths = places[DATA][0], 0, []
     for line in bytes(read_range(*places[INDEX])).decode().splitlines():
-        at, length = map(int, line.split(" ")[2:])
-        fields, payload = parsed(zlib.decompress(read_range(start + at, length), 31))
-        kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
-        if kind == "revisit":
-            payload, many = None, int(fields["X-Payload-Length"])
-        else:
-            many = len(payload)
-            if hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
-        yield (
-            _number(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], kind,
-            _number(fields.get("WARC-Refers-To")), payload, many, digest,
-        )
+        place, length = map(int, line.split(" ")[2:])
+        if lengths and (place != at + sum(lengths) or sum(lengths) + length > SPAN):
+            yield start + at, lengths
+            lengths = []
+        at = at if lengths else place
+        lengths.append(length)
+    if lengths:
+        yield start + at, lengths
+
+
+def _record(packed) -> tuple:
+    fields, payload = parsed(zlib.decompress(packed, 31))
+    kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
+    if kind == "revisit":
+        payload, many = None, int(fields["X-Payload-Length"])
+    else:
+        many = len(payload)
+        if hashlib.sha256(payload).hexdigest() != digest:
+            raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
+    return (
+        _number(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], kind,
+        _number(fields.get("WARC-Refers-To")), payload, many, digest,
+    )
 
 
 def written_and_read(pages: DataFrame) -> DataFrame:
