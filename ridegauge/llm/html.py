@@ -17,8 +17,9 @@ fewest; the pages of a host as the distinct sketches of its pages, by the functi
 Copies whose shingles differ in part count in that proportion.
 
 The pages of a host are dealt to parts of about ``PART`` characters.  A task ranks the suffixes of its
-part by prefix doubling and names the prefixes that are as frequent there as boilerplate is on the
-host; no boilerplate is rarer than that in all parts.  The places of the named prefixes in all pages of
+part by prefix doubling and names the prefixes that are as frequent there as boilerplate has to be in one
+part at least.  Where that is a single page, which is so on hosts of long pages or of near copies, a part
+says nothing, and prefixes are counted over the host one by one instead.  The places of the named prefixes in all pages of
 the host are then counted.  So a host with a third of all pages is never in one place, and only named
 prefixes are sent on.
 
@@ -28,6 +29,7 @@ host of their own.  Repeated rows each come out.
 
 import html as entities
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -311,18 +313,37 @@ def named_prefixes(pages: list[list[str]], least: float) -> np.ndarray:
     return _mixed(hashes).view(np.int64)
 
 
+def _packed(page_blocks: list[str]) -> bytes:
+    """The blocks of a page in few bytes, as they are written and exchanged."""
+    return zlib.compress("\n".join(page_blocks).encode()) if page_blocks else b""
+
+
+def _unpacked(packed: bytes) -> list[str]:
+    return zlib.decompress(packed).decode().split("\n") if packed else []
+
+
 def _named(rows: pd.DataFrame) -> pd.DataFrame:
-    least = max(1.0, rows["need"].iloc[0] * len(rows) / rows["pages"].iloc[0])
-    found = named_prefixes([list(b) for b in rows["blocks"]], least)
+    found = named_prefixes([_unpacked(b) for b in rows["blocks"]], rows["least"].iloc[0])
     return pd.DataFrame({"host": rows["host"].iloc[0], "prefix": found})
 
 
+def _prefixes(batches):
+    """``host, prefix, sketch``: every prefix of each page, with what else the page holds."""
+    for rows in batches:
+        for host, page_blocks in zip(rows["host"], rows["blocks"]):
+            tokens, block = _tokens(_unpacked(page_blocks))
+            places, hashes = _grams(tokens, block, LENGTH)
+            if len(places):
+                rest = sketches(tokens, block)[1][:, 0]
+                yield pd.DataFrame({"host": host, "prefix": hashes, "sketch": rest[block[places]]}).drop_duplicates()
+
+
 def _places(batches):
     """``host, prefix, j, sketch``: the named prefixes of each page, with what else the page holds."""
     for rows in batches:
         out = []
         for host, page_blocks, named in zip(rows["host"], rows["blocks"], rows["named"]):
-            tokens, block = _tokens(list(page_blocks))
+            tokens, block = _tokens(_unpacked(page_blocks))
             places, hashes = _grams(tokens, block, LENGTH)
             here = np.isin(hashes, np.asarray(named, np.int64))
             if here.any():
@@ -367,7 +388,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 texts = [[text for text, _ in page] for page in found]
                 yield pd.DataFrame({
                     "row": range(row, row + len(part)), "page_id": part["page_id"].array, "url": part["url"].array, "host": part["host"].array,
-                    "blocks": texts, "marks": [[marked for _, marked in page] for page in found],
+                    "blocks": [_packed(page) for page in texts], "marks": [[marked for _, marked in page] for page in found],
                     "size": [sum(map(len, page)) for page in texts],
                     "sketch": [sketches(*_tokens(page))[0].tolist() for page in texts],
                 })
@@ -376,7 +397,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1)), F.lit(""))
     parsed = written(
         pages.select(F.col("page_id").cast("long"), "url", whole("html").alias("html"), host.alias("host")).mapInPandas(
-            cut, "row long, page_id long, url string, host string, blocks array<string>, marks array<boolean>, "
+            cut, "row long, page_id long, url string, host string, blocks binary, marks array<boolean>, "
             "size long, sketch array<long>"
         ), "pages",
     )
@@ -393,29 +414,39 @@ def extracted(pages: DataFrame) -> DataFrame:
             F.greatest(F.lit(LEAST), MARKED_SHARE * F.col("distinct")).alias("need_marked"),
         ), "hosts",
     )
-    named = (
+    rows = (
         parsed.select("row", "host", "blocks").join(hosts, F.col("host") == F.col("at"))
-        .withColumn("part", F.pmod(F.xxhash64("row"), F.greatest("parts", F.lit(1))))
-        .select("host", "part", "blocks", "pages", "need").groupBy("host", "part")
-        .applyInPandas(_named, "host string, prefix long")
+        .withColumn("least", F.col("need") / F.greatest("parts", F.lit(1)))
+    )
+    ranked = (
+        rows.filter("least > 1").withColumn("part", F.pmod(F.xxhash64("row"), F.greatest("parts", F.lit(1))))
+        .select("host", "part", "blocks", "least").groupBy("host", "part").applyInPandas(_named, "host string, prefix long")
+    )
+    # so many parts that a single page may be all that a part has of boilerplate: prefixes are counted one by one
+    one_by_one = (
+        rows.filter("least <= 1").select("host", "blocks").mapInPandas(_prefixes, "host string, prefix long, sketch long")
+        .distinct().groupBy("host", "prefix").count()
+        .join(hosts.select("at", "need"), F.col("host") == F.col("at")).filter("count >= need").select("host", "prefix")
     )
+    named = ranked.unionByName(one_by_one)
     of_host = written(named.groupBy(F.col("host").alias("at")).agg(F.collect_set("prefix").alias("named")), "named")
     counted = (
         parsed.select("host", "blocks").join(of_host, F.col("host") == F.col("at")).select("host", "blocks", "named")
         .mapInPandas(_places, "host string, prefix long, j int, sketch long").distinct()
         .groupBy("host", "prefix", "j").count().groupBy("host", "prefix").agg(F.min("count").alias("n"))
     )
-    boilerplate = (
+    # written, so that its size is known before the join: texts are exchanged only if it is not small
+    boilerplate = written(
         counted.join(hosts, F.col("host") == F.col("at")).filter("n >= need").groupBy("at").agg(
             F.collect_list(F.when(F.col("n") >= F.col("need_marked"), F.col("prefix"))).alias("anywhere"),
             F.collect_list("prefix").alias("unmarked"),
-        )
+        ), "boilerplate",
     )
 
     def keep(batches):
         for rows in batches:
             text = [
-                "\n\n".join(b if a is None else unique_runs(list(b), m, np.asarray(a, np.int64), np.asarray(u, np.int64)))
+                "\n\n".join(_unpacked(b) if a is None else unique_runs(_unpacked(b), m, np.asarray(a, np.int64), np.asarray(u, np.int64)))
                 for b, m, a, u in zip(rows["blocks"], rows["marks"], rows["anywhere"], rows["unmarked"])
             ]
             yield pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": text})

@@ -227,6 +227,26 @@ def test_near_copies_of_a_repeated_id(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
 
 
+def test_topk_gives_k_rows_per_query_and_slot(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    x = np.int64(draw.normal(0, 40, (3000, 8)))
+    vectors = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, x array<long>")
+    queries = vectors.filter("vec_id % 30 = 0")
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk, "SLOTS", 4)
+    found = topk.top_k(vectors, queries, k=5, seeds=1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" in plan
+    scores = x[::30] @ x.T
+    scores[np.arange(100), np.arange(0, 3000, 30)] = -10**9
+    expected = {
+        (30 * q, r + 1, int(v), int(scores[q][v]))
+        for q in range(100) for r, v in enumerate(np.lexsort((np.arange(3000), -scores[q]))[:5])
+    }
+    assert {tuple(r) for r in found.collect()} == expected
+
+
 def test_top_k_leaves_out_what_cannot_take_part(spark):
     rows = [(0, [1.0, 0.0]), (20, None), (1, [0.5, None]), (2, [float("nan"), 1.0]), (3, [2.0, 1.0]), (4, [2.0, -1.0]), (4, [2.0, -1.0])]
     vectors = topk.whole_components(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
@@ -330,6 +350,23 @@ def test_html_against_brute_force(spark, monkeypatch, part):
     assert texts_of(spark, pages) == expected
 
 
+@pytest.mark.parametrize("part", [100, 3000, 1_000_000])
+def test_html_parts_do_not_change_the_text(spark, monkeypatch, part):
+    """Parts of a page each, of some pages, and one part name the same boilerplate, and little else."""
+    monkeypatch.setattr(html, "PART", part)
+    draw = np.random.default_rng(9)
+    notice = " ".join(f"n{i}" for i in range(12))
+    own = [" ".join(f"w{x}" for x in draw.integers(0, 10**6, 60)) for _ in range(40)]
+    pages = [(i, "https://h.example/x", f"<p>{text}</p><p>{notice}</p>") for i, text in enumerate(own)]
+    copies = [(100 + i, "https://c.example/", f"<p>{own[0]} {i}</p><p>{notice}</p><p>{own[i % 4]}</p>") for i in range(40)]
+    named, before = [], html.written
+    monkeypatch.setattr(html, "written", lambda df, purpose: before(df, purpose) if purpose != "named" else named.append(before(df, purpose)) or named[-1])
+    found = texts_of(spark, pages + copies)
+    assert [found[i] for i in range(40)] == own
+    names = {r["at"]: len(r["named"]) for r in named[0].collect()}
+    assert names["h.example"] == 5
+
+
 def test_html_sketches():
     a, b, c = ("one two three four five", "six", "seven eight nine ten")
     page, rest = html.sketches(*html._tokens([a, b, c]))
@@ -395,6 +432,37 @@ def test_warc_places():
         warc.directory(lambda at, n: b"no zip"[at : at + n], 6)
 
 
+@pytest.mark.parametrize("by_ranges", [True, False])
+def test_warc_spans(spark, tmp_path, monkeypatch, by_ranges):
+    monkeypatch.setattr(warc, "SPAN", 2000)
+    if not by_ranges:
+        monkeypatch.setattr(warc, "_opens", lambda path: False)
+    draw = np.random.default_rng(1)
+    texts = {i: "".join(map(chr, draw.integers(33, 0x2000, int(n)))) for i, n in enumerate(draw.integers(0, 3000, 60))}
+    texts[60] = "x" + "".join(map(chr, draw.integers(33, 127, 400_000)))
+    pages = spark.createDataFrame([(i, f"u{i}", t) for i, t in texts.items()], "page_id long, url string, html string")
+    folder = str(tmp_path / "packages")
+    warc.write(pages.repartition(2), folder, most=100_000)
+    rows = warc.read(spark, folder).collect()
+    assert {r.page_id: bytes(r.payload).decode() for r in rows} == texts and len(rows) == 61
+    assert all(r.payload_digest == hashlib.sha256(texts[r.page_id].encode()).hexdigest() for r in rows)
+
+
+def test_warc_spans_hold_neighbours(monkeypatch):
+    monkeypatch.setattr(warc, "SPAN", 100)
+    index = "1 response 0 60\n2 response 60 40\n3 response 100 1\n4 response 101 500\n5 revisit 601 7\n"
+    packed = warc.stored_zip([(warc.DATA, b"z" * 608), (warc.INDEX, index.encode())]) + b"\n"
+    reads = []
+
+    def ranged(at, many):
+        reads.append(many)
+        return packed[at : at + many]
+
+    start = warc.directory(lambda at, n: packed[at : at + n], len(packed))[warc.DATA][0]
+    found = [(at - start, lengths) for at, lengths in warc._spans(ranged, len(packed))]
+    assert found == [(0, [60, 40]), (100, [1]), (101, [500]), (601, [7])]
+
+
 def test_warc_awkward_pages(spark):
     same = "<p>" + "x" * 200
     pages = [(3, "u", same), (1, "u\n", same), (None, None, same), (2, None, None), (4, "u", "é"), (1, "u", same)]
