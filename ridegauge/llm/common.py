@@ -46,9 +46,12 @@ def one_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The ``chosen`` labels (``of`` and others) with the text of their document.
 
     An id that comes several times gives one row, its smallest text, so a bound on labels bounds the rows.
+    ``chosen`` has to be bounded (see ``sampled_labels``): it is broadcast, so that the other texts stay where they are.
     """
-    own = docs.select("doc_id", "text").join(chosen.select("of").distinct(), F.col("doc_id") == F.col("of"), "left_semi")
-    return own.groupBy("doc_id").agg(F.min("text").alias("text")).join(chosen, F.col("doc_id") == F.col("of"))
+    ids = F.broadcast(chosen.select("of").distinct())
+    own = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("of"), "left_semi")
+    texts = own.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
 
 
 def sampled_labels(labels: DataFrame, at_most: int, *needed: str) -> DataFrame:
