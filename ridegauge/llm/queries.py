@@ -34,7 +34,8 @@ def registered(query: Query) -> Query:
 
 def op1_brown_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return brown.scored(docs, brown.fitted(docs.filter(~brown.held_out())))
+    texts = brown.coded(docs, ~brown.held_out())
+    return brown.scored(texts, brown.fitted(texts))
 
 
 def op2_pii_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:

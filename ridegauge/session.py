@@ -48,11 +48,10 @@ def build(app: str = "ridegauge", master: str | None = None, **settings: str) ->
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """The stream settings while a query starts; it keeps them, the session gets its own back."""
-    before = {name: spark.conf.get(name, None) for name in STREAM_SETTINGS}
+def _set_for_now(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
-        for name, value in STREAM_SETTINGS.items():
+        for name, value in settings.items():
             spark.conf.set(name, value)
         yield
     finally:
@@ -63,6 +62,19 @@ def stream_settings(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def stream_settings(spark: SparkSession):
+    """The stream settings while a query starts; it keeps them, the session gets its own back."""
+    return _set_for_now(spark, STREAM_SETTINGS)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """While this is entered, a job's shuffle files go with its end, not when the driver collects its garbage.
+
+    For steps whose results are written or collected: a table that is run again shuffles again.
+    """
+    return _set_for_now(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path for tables and stream checkpoints, in the folder ``spark.checkpoint.dir`` names.
 
