@@ -78,7 +78,7 @@ class Coded:
     rows: DataFrame
 
 
-def coded(docs: DataFrame, learn: Column | bool = True, most_tokens: int = 1 << 22) -> Coded:
+def coded(docs: DataFrame, learn: Column | bool = True, most_tokens: int = 1 << 20) -> Coded:
     """All rows of ``doc_id, text`` in chunks of ``most_tokens`` words or more; ``learn`` says which are training texts."""
 
     def chunks(batches):
@@ -215,7 +215,7 @@ def in_line(codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return line
 
 
-def neighbours(numbered_texts: DataFrame, size: int, tokens: int, most_pairs: int = 4_000_000) -> DataFrame:
+def neighbours(numbered_texts: DataFrame, size: int, tokens: int, most_pairs: int = 2_000_000) -> DataFrame:
     """For each part of the words (``ids``) the words before and after each, and how often they come there.
 
     Packed: how many different words come before each (``bk``), these (``b``) and their counts (``bn``), likewise after.
@@ -353,12 +353,16 @@ def best_classes(sides: np.ndarray, own: np.ndarray, transitions: np.ndarray) ->
         change[every, own] = _log(rest) - _log(rest + mine)
         gain += change
     # pairs before and after the unit meet where it goes to the class of both
-    unit, g = np.nonzero((before > 0) & (after > 0))
+    units_, sides_ = np.divmod(np.flatnonzero(sides), 2 * many)
+    is_before = sides_ < many
+    met_before, met_after = (units_[is_before], sides_[is_before]), (units_[~is_before], sides_[~is_before] - many)
+    unit, g = (x[after[met_before] > 0] for x in met_before)
     b, a = before[unit, g], after[unit, g]
     twice = np.maximum(transitions[g, g] - (own[unit] == g) * (b + a), 0)
     gain[unit, g] += _log(twice + b + a) - _log(twice + b) - _log(twice + a) + _log(twice)
-    for mine, others, counts in ((before, after, transitions), (after, before, transitions.T)):
-        unit, other = np.nonzero(mine)
+    for mine, others, counts, (unit, other) in (
+        (before, after, transitions, met_before), (after, before, transitions.T, met_after)
+    ):
         for at in range(0, len(unit), 16_384):
             k, g = unit[at : at + 16_384], other[at : at + 16_384]
             n = mine[k, g]
@@ -374,7 +378,9 @@ def best_classes(sides: np.ndarray, own: np.ndarray, transitions: np.ndarray) ->
             np.maximum(rest, 0, out=rest)
             change[same] = _log(rest + n[same, None]) - _log(rest)
             first = np.flatnonzero(np.diff(k, prepend=-1))
-            gain[k[first]] += np.add.reduceat(change, first, axis=0)
+            turn = np.arange(len(k)) - np.repeat(first, np.diff(first, append=len(k)))  # each unit's first, second, ...
+            for entries in np.split(np.argsort(turn, kind="stable"), np.cumsum(np.bincount(turn))[:-1]):
+                gain[k[entries]] += change[entries]
     best = gain.argmax(axis=1)
     return best, gain.max(axis=1) - gain[every, own]
 
